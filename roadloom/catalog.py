@@ -20,7 +20,7 @@ K = 3
 DRIVER_K = 2  # in-driver comparisons: pairs of cities
 SIGNATURE = 64
 MERCH_SIGNATURE = 32
-LSH_THRESHOLD = 0.5
+LSH_THRESHOLD = 0.2
 STANDARD_LSH_THRESHOLD = 0.1
 JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
 REACH = 0.45
@@ -44,7 +44,8 @@ def _tables(spark: SparkSession, folder: str, k: int = K):
     return actual, standard, ft.with_features(actual, k), ft.with_features(standard, k)
 
 
-def _r(column, name: str, digits: int = 6):
+def _r(column, name: str, digits: int = 10):
+    # Ten digits: shares of 64 or 128 parts end exactly on a half at six.
     column = F.col(column) if isinstance(column, str) else column
     return F.round(column, digits).alias(name)
 
@@ -94,7 +95,7 @@ def city_codes(spark, folder):
 
 
 def item_codes(spark, folder):
-    items = _actual(spark, folder).select(F.explode(F.map_keys(shape.merch())).alias("item"))
+    items = _actual(spark, folder).select(F.explode(shape.items()).alias("item"))
     return ft.dictionary(items, "item")
 
 
@@ -140,7 +141,7 @@ def route_city_order(spark, folder):
 
 
 def _driver_forms(spark, folder) -> DataFrame:
-    return sj.collapse(ft.with_features(_actual(spark, folder), DRIVER_K), DRIVER)
+    return cut_lineage(sj.collapse(ft.with_features(_actual(spark, folder), DRIVER_K), DRIVER))
 
 
 def driver_forms(spark, folder):
@@ -149,25 +150,25 @@ def driver_forms(spark, folder):
 
 def driver_pairs_jaccard(spark, folder):
     pairs = sj.jaccard_pairs(_driver_forms(spark, folder), JACCARD_MIN, DRIVER)
-    inter = F.size(F.array_intersect("a.shingles", "b.shingles"))
+    inter = F.size(F.array_intersect("pa.shingles", "pb.shingles"))
     return pairs.select(
-        "driver", F.col("a.form").alias("a"), F.col("b.form").alias("b"),
-        inter.alias("inter"), (F.col("a.n") + F.col("b.n") - inter).alias("union_n"), "jaccard",
+        "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
+        inter.alias("inter"), (F.col("pa.n") + F.col("pb.n") - inter).alias("union_n"), "jaccard",
     )
 
 
 def driver_pairs_ruzicka(spark, folder):
     pairs = sj.ruzicka_pairs(_driver_forms(spark, folder), RUZICKA_MIN, DRIVER)
     return pairs.select(
-        "driver", F.col("a.form").alias("a"), F.col("b.form").alias("b"),
-        measures.pair_sums("a", "b")["smin"].alias("smin"), _r("ruzicka", "ruzicka"),
+        "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
+        measures.pair_sums("pa", "pb")["smin"].alias("smin"), _r("ruzicka", "ruzicka"),
     )
 
 
 def driver_pairs_cosine(spark, folder):
     pairs = sj.cosine_pairs(_driver_forms(spark, folder), COSINE_MIN, DRIVER)
     return pairs.select(
-        "driver", F.col("a.form").alias("a"), F.col("b.form").alias("b"),
+        "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
         _r("cosine", "cosine"), _r(measures.half_cosine(F.col("cosine")), "half_cosine"),
     )
 
@@ -176,23 +177,23 @@ def driver_pairs_l2(spark, folder):
     actual = _actual(spark, folder)
     scale = ft.quantity_scale(actual, _standard(actual)).scalar()
     pairs = sj.jaccard_pairs(_driver_forms(spark, folder), JACCARD_MIN, DRIVER)
-    sums = measures.pair_sums("a", "b")
+    sums = measures.pair_sums("pa", "pb")
     d = measures.l2(sums["dot"], sums["qa"], sums["qb"], scale)
     return pairs.select(
-        "driver", F.col("a.form").alias("a"), F.col("b.form").alias("b"),
-        _r(d, "l2"), _r(measures.l2_similarity(d), "l2_sim"),
+        "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
+        _r(d, "l2", 6), _r(measures.l2_similarity(d), "l2_sim", 6),
     )
 
 
 def _fused_query(fusion: str, metric: str):
     def query(spark, folder):
         pairs = sj.jaccard_pairs(_driver_forms(spark, folder), JACCARD_MIN, DRIVER)
-        sums = measures.pair_sums("a", "b")
+        sums = measures.pair_sums("pa", "pb")
         d = measures.fuse(
             1 - F.col("jaccard"), measures.merch_distance(metric, sums), fusion, CANONICAL.alpha
         )
         return pairs.select(
-            "driver", F.col("a.form").alias("a"), F.col("b.form").alias("b"), _r(d, "d")
+            "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), _r(d, "d")
         )
 
     return query
@@ -221,7 +222,7 @@ def std_similarity(spark, folder):
         "rid", "std_no", "inter", "smin", "dot",
         _r(measures.jaccard(c["inter"], c["na"], c["nb"]), "jaccard"),
         _r(measures.ruzicka(c["smin"], c["wa"], c["wb"]), "ruzicka"),
-        _r(cos, "cosine"), _r(d, "l2"),
+        _r(cos, "cosine"), _r(d, "l2", 6),
         _r(st.fused_similarity(CANONICAL), "sim"),
     )
 
@@ -281,7 +282,7 @@ def driver_score_ratio(spark, folder):
     voted = ds.votes(st.best_standard(sims))
     means = ds.driver_mean_score(sims, voted, drivers, standard)
     ratios = ds.score_ratios(means, ds.top_standards(voted, standard, drivers))
-    return ratios.select("rank", _r("mean_ratio", "mean_ratio"), _r("improvement", "improvement", 4))
+    return ratios.select("rank", _r("mean_ratio", "mean_ratio", 6), _r("improvement", "improvement", 4))
 
 
 def own_standard_distance(spark, folder):
@@ -292,7 +293,7 @@ def own_standard_distance(spark, folder):
 def standard_distance_report(spark, folder):
     _, standard, sims = _sims(spark, folder)
     costs = reports.standard_distances(st.own_standard(sims, standard), standard)
-    return reports.spread(costs, "mean_dist").select(*[_r(c, c) for c in ("mean", "std", "cv")])
+    return reports.spread(costs, "mean_dist").select(*[_r(c, c, 6) for c in ("mean", "std", "cv")])
 
 
 def driver_load(spark, folder):
@@ -335,7 +336,8 @@ def divergence_summary(spark, folder):
 
 
 def _set_forms(spark, folder) -> DataFrame:
-    return sj.collapse(ft.with_features(_actual(spark, folder, False), K, False), [], False)
+    features = ft.with_features(_actual(spark, folder, False), DRIVER_K, False)
+    return cut_lineage(sj.collapse(features, [], False))
 
 
 def minhash_signatures(spark, folder):
@@ -359,15 +361,15 @@ def _candidates(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 def lsh_candidates(spark, folder):
     _, pairs = _candidates(spark, folder)
-    return pairs.select(F.col("a.form").alias("a"), F.col("b.form").alias("b"), "share")
+    return pairs.select(F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), "share")
 
 
 def signature_similarity(spark, folder):
     _, pairs = _candidates(spark, folder)
     return pairs.select(
-        F.col("a.form").alias("a"), F.col("b.form").alias("b"),
-        hashing.matching_share("a.sig", "b.sig", SIGNATURE).alias("estimate"),
-        _r(hashing.signature_ruzicka("a.sig", "b.sig"), "sig_ruzicka"),
+        F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
+        hashing.matching_share("pa.sig", "pb.sig", SIGNATURE).alias("estimate"),
+        _r(hashing.signature_ruzicka("pa.sig", "pb.sig"), "sig_ruzicka", 6),
     )
 
 
@@ -378,7 +380,7 @@ def lsh_isolated(spark, folder):
 
 def lsh_report(spark, folder):
     forms, pairs = _candidates(spark, folder)
-    pairs = cut_lineage(pairs.select("a", "b"))
+    pairs = cut_lineage(pairs.select("pa", "pb"))
     n = F.col("forms")
     linked = lsh.linked_ids(pairs).agg(F.count("*")).scalar()
     kept = pairs.agg(F.count("*")).scalar()
@@ -431,14 +433,14 @@ def pair_vectors(spark, folder):
 
 def driver_dominant_standard(spark, folder):
     vecs = cut_lineage(ideal.pair_features(_actual(spark, folder)))
-    return ideal.dominant_standard(vecs).select("driver", "sroute", _r("mass", "mass"))
+    return ideal.dominant_standard(vecs).select("driver", "sroute", _r("mass", "mass", 6))
 
 
 def _pair_ideal(pick: str):
     def query(spark, folder):
         vecs = cut_lineage(ideal.pair_features(_actual(spark, folder)))
         best = ideal.ideal_by_pairs(vecs, pick)
-        return best.select("driver", "rid", "sroute", _r("sum_d", "sum_d"))
+        return best.select("driver", "rid", "sroute", _r("sum_d", "sum_d", 6))
 
     return query
 
@@ -483,14 +485,14 @@ def running_divergence(spark, folder):
     means = ideal.mean_distances(signed, "cosine", CANONICAL.alpha)
     costs = means.groupBy("driver").agg(F.min("mean_d").alias("best"), F.avg("mean_d").alias("mean"))
     out = reports.running_ratio(costs)
-    return out.select(*[_r(c, c) for c in out.columns])
+    return out.select(*[_r(c, c, 6) for c in out.columns])
 
 
 # --- clustering and recommendation ----------------------------------------
 
 
 def route_components(spark, folder):
-    forms = cut_lineage(_driver_forms(spark, folder))
+    forms = _driver_forms(spark, folder)
     edges = sj.fused_edges(forms, REACH, DRIVER)
     return cc.connected_components(edges, forms, "form")
 
@@ -599,14 +601,14 @@ def standard_spread(spark, folder):
 def standard_pair_spread(spark, folder):
     vecs, _ = _positional_by_sroute(spark, folder)
     spread = reports.mean_pair_distance(vecs, "sroute")
-    return spread.select("sroute", "n", _r("mean_dist", "mean_dist"))
+    return spread.select("sroute", "n", _r("mean_dist", "mean_dist", 6))
 
 
 def nearest_center_by_sroute(spark, folder):
     vecs, planned = _positional_by_sroute(spark, folder)
     labelled = vecs.withColumnRenamed("sroute", "label")
     found = recommend.nearest_clusters(labelled.select("label", "vec", "q"), planned)
-    return found.select("std_no", "label", _r("dist", "dist"))
+    return found.select("std_no", "label", _r("dist", "dist", 6))
 
 
 def cluster_purity(spark, folder):
@@ -627,12 +629,12 @@ def kmeans_labels(spark, folder):
 
 def kmeans_clustroids(spark, folder):
     _, clustroids = _kmeans(spark, folder)
-    return clustroids.select("label", "rid", "members", _r("sum_d", "sum_d"))
+    return clustroids.select("label", "rid", "members", _r("sum_d", "sum_d", 6))
 
 
 def route_svd(spark, folder):
     vecs = cut_lineage(vx.pair_vectors(_actual(spark, folder), "rid"))
-    return vx.truncated_svd(vecs, 25).select("rid", "component", _r("value", "value"))
+    return vx.truncated_svd(vecs, 25).select("rid", "component", _r("value", "value", 6))
 
 
 def positional_density(spark, folder):
@@ -643,7 +645,7 @@ def positional_density(spark, folder):
     threshold = 0.98
     pairs = vx.vector_cosine_pairs(forms, threshold, ["sroute"], [])
     edges = pairs.select(
-        F.col("a.form").alias("a"), F.col("b.form").alias("b"), (1 - F.col("cosine")).alias("d")
+        F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), (1 - F.col("cosine")).alias("d")
     )
     return density.hierarchical_density(
         forms.select(F.col("form").alias("node"), "weight"), edges, 1 - threshold, 4, 3, min_samples=1

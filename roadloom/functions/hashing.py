@@ -38,22 +38,18 @@ def unit_tokens(merch: str | Column) -> Column:
     )
 
 
-def signature(tokens: str | Column, size: int, seed: int = 17) -> Column:
-    """MinHash signature, or an empty array for an empty set."""
-    family = F.array(
-        *[
-            F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-            for a, b in hash_family(size, seed)
-        ]
+def signature(tokens: str, size: int, seed: int = 17) -> Column:
+    """MinHash signature of an array column, or an empty array for an empty set.
+
+    One SQL text, because building hundreds of literals one call at a time is slow.
+    """
+    family = ", ".join(f"struct({a}L AS a, {b}L AS b)" for a, b in hash_family(size, seed))
+    return F.expr(
+        f"""CASE WHEN size({tokens}) > 0 THEN
+            transform(array({family}),
+                p -> array_min(transform({tokens}, x -> (p.a * x + p.b) % {MODULUS}L)))
+            ELSE cast(array() AS array<bigint>) END"""
     )
-    column = F.col(tokens) if isinstance(tokens, str) else tokens
-    minima = F.transform(
-        family,
-        lambda p: F.array_min(
-            F.transform(column, lambda x: (p["a"] * x + p["b"]) % F.lit(MODULUS))
-        ),
-    )
-    return F.when(F.size(column) > 0, minima).otherwise(F.array().cast("array<bigint>"))
 
 
 def matching_share(left: str, right: str, size: int) -> Column:
@@ -65,8 +61,8 @@ def matching_share(left: str, right: str, size: int) -> Column:
 def signature_ruzicka(left: str, right: str) -> Column:
     """Sum of minima over sum of maxima of the signature values; 0 for empty signatures."""
     zero = F.lit(0).cast("bigint")
-    low = F.aggregate(F.zip_with(left, right, F.least), zero, lambda acc, x: acc + x)
-    high = F.aggregate(F.zip_with(left, right, F.greatest), zero, lambda acc, x: acc + x)
+    low = F.aggregate(F.zip_with(left, right, lambda x, y: F.least(x, y)), zero, lambda acc, x: acc + x)
+    high = F.aggregate(F.zip_with(left, right, lambda x, y: F.greatest(x, y)), zero, lambda acc, x: acc + x)
     return F.when(
         (F.size(left) > 0) & (F.size(right) > 0), F.coalesce(F.try_divide(low, high), F.lit(0.0))
     ).otherwise(F.lit(0.0))

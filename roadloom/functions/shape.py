@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    Stacked projections are merged, so an expression used inside a lambda would
+    be evaluated for every element; the one-row generator keeps it apart.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def nodes(route: str = "route") -> Column:
     """Cities in visiting order: every trip's start, then the last trip's end."""
     last = F.try_element_at(F.col(route), F.lit(-1))["to"]
@@ -33,14 +42,23 @@ def city_pairs(route: str = "route") -> Column:
     )
 
 
-def merch(route: str = "route") -> Column:
-    """Item -> quantity over the whole route, without leaving the row."""
-    entries = F.flatten(
+def trip_loads(route: str = "route") -> Column:
+    """All (item, quantity) entries of a route, trip by trip."""
+    return F.flatten(
         F.transform(
             route, lambda t: F.coalesce(F.map_entries(t["merchandise"]), _no_entries())
         )
     )
-    totals = F.transform(
+
+
+def items(route: str = "route") -> Column:
+    """Distinct items of a route."""
+    return F.array_distinct(F.transform(trip_loads(route), lambda e: e["key"]))
+
+
+def totals(entries: str) -> Column:
+    """Map of key -> summed value over an array of (key, value) entries."""
+    summed = F.transform(
         F.array_distinct(F.transform(entries, lambda e: e["key"])),
         lambda item: F.struct(
             item.alias("key"),
@@ -51,7 +69,7 @@ def merch(route: str = "route") -> Column:
             ).alias("value"),
         ),
     )
-    return F.map_from_entries(totals)
+    return F.map_from_entries(summed)
 
 
 def _no_entries() -> Column:

@@ -19,20 +19,26 @@ def with_features(routes: DataFrame, k: int = 3, merchandise: bool = True) -> Da
     n: number of shingles; w, q: sum and sum of squares of the quantities.
     """
     zero = F.lit(0).cast("bigint")
-    out = routes.withColumn("cities", shape.nodes())
-    out = out.withColumn("shingles", shape.shingles("cities", k)).withColumn(
+    out = shape.once(routes, "cities", shape.nodes())
+    out = shape.once(out, "shingles", shape.shingles("cities", k)).withColumn(
         "n", F.size("shingles")
     )
     if merchandise:
         amounts = F.map_values("merch")
         out = (
-            out.withColumn("merch", shape.merch())
+            with_merch(out)
             .withColumn("w", F.aggregate(amounts, zero, lambda acc, x: acc + x))
             .withColumn("q", F.aggregate(amounts, zero, lambda acc, x: acc + x * x))
         )
     return out.drop("route", "cities")
 
 
+def with_merch(routes: DataFrame) -> DataFrame:
+    """Add ``merch``: item -> quantity over the whole route, without leaving the row."""
+    loads = shape.once(routes, "_loads", shape.trip_loads())
+    return shape.once(loads, "merch", shape.totals("_loads")).drop("_loads")
+
+
 def shingle_rows(features: DataFrame, *keep: str) -> DataFrame:
     """Long form ``(*keep, shingle)``: the incidence matrix without its zeros."""
     return features.select(*keep, F.explode("shingles").alias("shingle"))
@@ -91,8 +97,8 @@ def scaled_merch(
         divisor = top.scalar() * F.col("trips")
     else:
         divisor = scale.scalar()
-    rows = actual.select(
-        "rid", F.size("route").alias("trips"), F.explode(shape.merch()).alias("item", "qty")
+    rows = with_merch(actual).select(
+        "rid", F.size("route").alias("trips"), F.explode("merch").alias("item", "qty")
     )
     return rows.select(
         "rid",
@@ -122,7 +128,7 @@ def profile(actual: DataFrame, standard: DataFrame) -> DataFrame:
         F.count_distinct("driver").alias("n_drivers"),
     )
     cities = both.select(F.explode(shape.nodes()).alias("v")).agg(F.count_distinct("v"))
-    items = both.select(F.explode(F.map_keys(shape.merch())).alias("v")).agg(F.count_distinct("v"))
+    items = both.select(F.explode(shape.items()).alias("v")).agg(F.count_distinct("v"))
     return scalars.withColumn("n_cities", cities.scalar()).withColumn("n_items", items.scalar())
 
 

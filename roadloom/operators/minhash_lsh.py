@@ -7,19 +7,21 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.functions import hashing, tuning
+from roadloom.functions import hashing, shape, tuning
 from roadloom.operators.similarity_join import PAYLOAD, set_entries, similar_pairs
-from roadloom.session import broadcast_if_small
+from roadloom.session import broadcast_if_small, cut_lineage
 
 
 def with_signature(features: DataFrame, size: int) -> DataFrame:
     """Add ``sig``; an empty set has an empty signature and matches nothing."""
-    return features.withColumn("sig", hashing.signature(hashing.set_tokens("shingles"), size))
+    tokens = shape.once(features, "_tokens", hashing.set_tokens("shingles"))
+    return shape.once(tokens, "sig", hashing.signature("_tokens", size)).drop("_tokens")
 
 
 def with_merch_signature(features: DataFrame, size: int) -> DataFrame:
     """Add ``msig``, the signature of the carried units (another seed than ``sig``)."""
-    return features.withColumn("msig", hashing.signature(hashing.unit_tokens("merch"), size, 29))
+    tokens = shape.once(features, "_tokens", hashing.unit_tokens("merch"))
+    return shape.once(tokens, "msig", hashing.signature("_tokens", size, 29)).drop("_tokens")
 
 
 def candidate_pairs(forms: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -30,10 +32,10 @@ def candidate_pairs(forms: DataFrame, bands: int, rows: int) -> DataFrame:
     """
     limit = tuning.share_threshold(bands, rows)
     least = max(1, math.ceil(limit * bands - 1e-9))
-    keyed = forms.withColumn("bands", hashing.band_keys("sig", bands, rows))
+    keyed = cut_lineage(shape.once(forms, "bands", hashing.band_keys("sig", bands, rows)))
     payload = [c for c in PAYLOAD if c in forms.columns] + ["sig", "bands"]
     pairs = similar_pairs(keyed, set_entries("bands"), F.lit(float(least)), [], payload)
-    share = F.size(F.array_intersect("a.bands", "b.bands")) / F.lit(bands)
+    share = F.size(F.array_intersect("pa.bands", "pb.bands")) / F.lit(bands)
     return pairs.withColumn("share", share).filter(F.col("share") >= limit)
 
 
@@ -56,5 +58,5 @@ def standard_candidates(
 def linked_ids(pairs: DataFrame) -> DataFrame:
     """All forms that occur in some pair."""
     return (
-        pairs.select(F.explode(F.array("a.form", "b.form")).alias("form")).distinct()
+        pairs.select(F.explode(F.array("pa.form", "pb.form")).alias("form")).distinct()
     )

@@ -86,8 +86,9 @@ def divergence(actual: DataFrame, standard: DataFrame) -> DataFrame:
     shares of the plan. Both routes sit in one row after the join on
     ``sroute``, so nothing is exploded.
     """
-    def load(route: str):
-        entries = F.flatten(
+    def legs(route: str):
+        """(from,to,item -> quantity) entries, trip by trip."""
+        return F.flatten(
             F.transform(
                 route,
                 lambda t: F.transform(
@@ -99,21 +100,12 @@ def divergence(actual: DataFrame, standard: DataFrame) -> DataFrame:
                 ),
             )
         )
-        totals = F.transform(
-            F.array_distinct(F.transform(entries, lambda e: e["key"])),
-            lambda k: F.struct(
-                k.alias("key"),
-                F.aggregate(
-                    F.filter(entries, lambda e: e["key"] == k),
-                    F.lit(0).cast("bigint"),
-                    lambda acc, e: acc + e["value"],
-                ).alias("value"),
-            ),
-        )
-        return F.map_from_entries(totals)
 
-    driven = actual.select("rid", "driver", "sroute", shape.nodes().alias("an"), load("route").alias("al"))
-    planned = standard.select("sroute", shape.nodes().alias("sn"), load("route").alias("sl"))
+    def loaded(routes: DataFrame, name: str) -> DataFrame:
+        return shape.once(shape.once(routes, "_legs", legs("route")), name, shape.totals("_legs"))
+
+    driven = loaded(actual, "al").select("rid", "driver", "sroute", shape.nodes().alias("an"), "al")
+    planned = loaded(standard, "sl").select("sroute", shape.nodes().alias("sn"), "sl")
     joined = driven.join(planned, "sroute")
     ak, sk = F.map_keys("al"), F.map_keys("sl")
     changed = F.filter(F.array_intersect(ak, sk), lambda k: F.col("al")[k] != F.col("sl")[k])
@@ -176,5 +168,5 @@ def invalid_distances(edges: DataFrame, column: str = "d") -> DataFrame:
     """One row: number of edges, and of those with a null or NaN distance."""
     bad = F.col(column).isNull() | F.isnan(column)
     return edges.agg(
-        F.count("*").alias("pairs"), F.sum(F.when(bad, 1).otherwise(0)).alias("invalid")
+        F.count("*").alias("pairs"), F.count(F.when(bad, 1)).alias("invalid")
     )

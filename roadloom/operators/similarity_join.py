@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import measures
+from roadloom.session import cut_lineage
 
 BLOCK_ROWS = 2_000
 EPS = 1e-9
@@ -62,13 +63,13 @@ def members_of(features: DataFrame, forms: DataFrame, group: list[str], with_mer
     )
 
 
-def _leading(rows: DataFrame, tokens: Column) -> DataFrame:
-    """Add ``lead``: the tokens, rare first, up to the point where ``need`` gets out of reach."""
-    long = rows.select("form", F.inline(tokens).alias("token", "x"))
+def _leading(rows: DataFrame, group: list[str], tokens: Column, need: Column) -> DataFrame:
+    """``form, *group, lead``: the tokens, rare first, until ``need`` gets out of reach."""
+    long = rows.select("form", *group, need.alias("need"), F.inline(tokens).alias("token", "x"))
     frequency = long.groupBy("token").agg(F.count("*").alias("freq"))
     ordered = (
         long.join(frequency, "token")
-        .groupBy("form")
+        .groupBy("form", *group, "need")
         .agg(F.array_sort(F.collect_list(F.struct("freq", "token", "x"))).alias("ordered"))
     )
 
@@ -77,8 +78,8 @@ def _leading(rows: DataFrame, tokens: Column) -> DataFrame:
         return F.aggregate(tail, F.lit(0.0), lambda acc, t: acc + t["x"])
 
     kept = F.filter("ordered", lambda t, i: remaining(i) >= F.col("need") - F.lit(EPS))
-    return rows.join(ordered, "form").withColumn(
-        "lead", F.transform(kept, lambda t: F.struct(t["freq"], t["token"]))
+    return ordered.select(
+        "form", *group, F.transform(kept, lambda t: F.struct(t["freq"], t["token"])).alias("lead")
     )
 
 
@@ -90,25 +91,25 @@ def similar_pairs(
     payload: list[str],
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Pairs ``(*group, a, b)``, a.form < b.form, that share a leading token.
+    """Pairs ``(*group, pa, pb)``, pa.form < pb.form, that share a leading token.
 
-    ``tokens`` is an array of (token, weight) structs; ``need`` the least
-    overlap weight with which this row can take part in a qualifying pair.
-    Every pair at or above it is returned, some below it too: filter on the
-    measure. Rows without tokens pair with nothing.
+    ``rows`` should be materialised, it is scanned three times. ``tokens`` is an
+    array of (token, weight) structs; ``need`` the least overlap weight with
+    which this row can take part in a qualifying pair. Every pair at or above it
+    is returned, some below it too: filter on the measure. Rows without tokens
+    pair with nothing.
     """
-    led = _leading(rows.withColumn("need", need), tokens).select(
-        *group, F.struct("form", *payload).alias("row"), "lead", F.explode("lead").alias("key")
-    )
+    leads = cut_lineage(_leading(rows, group, tokens, need))
     popular = (
-        led.groupBy(*group, "key")
-        .agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") > block_rows)
-        .withColumn("blocks", F.ceil(F.col("rows") / block_rows).cast("int"))
-        .drop("rows")
+        leads.select(*group, F.explode("lead").alias("key"))
+        .groupBy(*group, "key")
+        .agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+        .filter(F.col("blocks") > 1)
     )
+    led = rows.select("form", F.struct("form", *payload).alias("row")).join(leads, "form")
     blocked = (
-        led.join(popular, [*group, "key"], "left")
+        led.select(*group, "row", "lead", F.explode("lead").alias("key"))
+        .join(popular, [*group, "key"], "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("block", F.pmod(F.xxhash64("row.form"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -116,15 +117,20 @@ def similar_pairs(
         .withColumn("hi", F.greatest("block", "other"))
         .drop("blocks", "other")
     )
-    on = [*group, "key", "lo", "hi"]
-    left = blocked.select(*on, F.col("row").alias("a"), F.col("lead").alias("la"), F.col("block").alias("ba"))
-    right = blocked.select(*on, F.col("row").alias("b"), F.col("lead").alias("lb"), F.col("block").alias("bb"))
-    met_here = (F.least("ba", "bb") == F.col("lo")) & (F.greatest("ba", "bb") == F.col("hi"))
-    first_shared = F.array_min(F.array_intersect("la", "lb")) == F.col("key")
-    return (
-        left.join(right, on)
-        .filter((F.col("a.form") < F.col("b.form")) & met_here & first_shared)
-        .select(*group, "a", "b")
+    # Both sides are the same plan, so Spark shuffles it once and reads it twice.
+    left, right = blocked.alias("l"), blocked.alias("r")
+    same = F.lit(True)
+    for name in [*group, "key", "lo", "hi"]:
+        same = same & (F.col(f"l.{name}") == F.col(f"r.{name}"))
+    met_here = (F.least("l.block", "r.block") == F.col("l.lo")) & (
+        F.greatest("l.block", "r.block") == F.col("l.hi")
+    )
+    first_shared = F.array_min(F.array_intersect("l.lead", "r.lead")) == F.col("l.key")
+    ordered_pair = F.col("l.row.form") < F.col("r.row.form")
+    return left.join(right, same & ordered_pair & met_here & first_shared).select(
+        *[F.col(f"l.{g}").alias(g) for g in group],
+        F.col("l.row").alias("pa"),
+        F.col("r.row").alias("pb"),
     )
 
 
@@ -148,8 +154,8 @@ def jaccard_pairs(forms: DataFrame, threshold: float, group: list[str]) -> DataF
     pairs = similar_pairs(
         forms, set_entries("shingles"), F.lit(threshold) * F.col("n"), group, payload
     )
-    inter = F.size(F.array_intersect("a.shingles", "b.shingles"))
-    value = measures.jaccard(inter, F.col("a.n"), F.col("b.n"))
+    inter = F.size(F.array_intersect("pa.shingles", "pb.shingles"))
+    value = measures.jaccard(inter, F.col("pa.n"), F.col("pb.n"))
     return pairs.withColumn("jaccard", value).filter(F.col("jaccard") >= threshold - EPS)
 
 
@@ -158,7 +164,7 @@ def ruzicka_pairs(forms: DataFrame, threshold: float, group: list[str]) -> DataF
     pairs = similar_pairs(
         forms, _entries(lambda x: x), F.lit(threshold) * F.col("w"), group, PAYLOAD
     )
-    sums = measures.pair_sums("a", "b")
+    sums = measures.pair_sums("pa", "pb")
     value = measures.ruzicka(sums["smin"], sums["wa"], sums["wb"])
     return pairs.withColumn("ruzicka", value).filter(F.col("ruzicka") >= threshold - EPS)
 
@@ -172,7 +178,7 @@ def cosine_pairs(forms: DataFrame, threshold: float, group: list[str]) -> DataFr
         group,
         PAYLOAD,
     )
-    sums = measures.pair_sums("a", "b")
+    sums = measures.pair_sums("pa", "pb")
     value = measures.cosine(sums["dot"], sums["qa"], sums["qb"])
     return pairs.withColumn("cosine", value).filter(F.col("cosine") >= threshold - EPS)
 
@@ -190,10 +196,10 @@ def fused_edges(
     if metric not in ("jaccard", "cosine"):
         raise ValueError("fused edges need a bounded merchandise metric")
     pairs = jaccard_pairs(forms, 1 - reach / alpha, group)
-    sums = measures.pair_sums("a", "b")
+    sums = measures.pair_sums("pa", "pb")
     d = measures.fuse(
         1 - F.col("jaccard"), measures.merch_distance(metric, sums), "mean", alpha
     )
     return pairs.select(
-        *group, F.col("a.form").alias("a"), F.col("b.form").alias("b"), d.alias("d")
+        *group, F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), d.alias("d")
     ).filter(F.col("d") <= reach + EPS)

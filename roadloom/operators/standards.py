@@ -31,20 +31,16 @@ def standard_pair_sums(actual: DataFrame, standard: DataFrame) -> DataFrame:
     ).withColumnRenamed("x", "y")
     right = broadcast_if_small(right)
     item = F.col("is_item")
+    # The per-side columns are grouping keys: they depend on rid and std_no, and
+    # as aggregates they would turn the hash aggregation into a sort.
+    sides = ["driver", "sroute", F.col("n").alias("na"), "nb", F.col("w").alias("wa"), "wb", F.col("q").alias("qa"), "qb"]
     return (
         left.join(right, ["is_item", "token"])
-        .groupBy("rid", "std_no")
+        .groupBy("rid", "std_no", *sides)
         .agg(
             F.sum(F.when(item, F.lit(0)).otherwise(F.lit(1))).alias("inter"),
             F.sum(F.when(item, F.least("x", "y")).otherwise(F.lit(0))).alias("smin"),
             F.sum(F.when(item, F.col("x") * F.col("y")).otherwise(F.lit(0))).alias("dot"),
-            *[
-                F.first(c).alias(out)
-                for c, out in (
-                    ("driver", "driver"), ("sroute", "sroute"), ("n", "na"), ("nb", "nb"),
-                    ("w", "wa"), ("wb", "wb"), ("q", "qa"), ("qb", "qb"),
-                )
-            ],
         )
     )
 

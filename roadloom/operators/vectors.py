@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import measures, shape
-from roadloom.operators.features import dictionary
+from roadloom.operators.features import dictionary, with_merch
 from roadloom.operators.ordering import best_per
 from roadloom.operators.similarity_join import EPS, similar_pairs
 from roadloom.session import broadcast_if_small, cut_lineage
@@ -24,7 +24,7 @@ def code_tables(*routes: DataFrame) -> tuple[DataFrame, DataFrame]:
     for other in routes[1:]:
         stacked = stacked.unionByName(other.select("route"))
     cities = stacked.select(F.explode(shape.nodes()).alias("city"))
-    items = stacked.select(F.explode(F.map_keys(shape.merch())).alias("item"))
+    items = stacked.select(F.explode(shape.items()).alias("item"))
     return cut_lineage(dictionary(cities, "city")), cut_lineage(dictionary(items, "item"))
 
 
@@ -113,7 +113,7 @@ def pair_vectors(routes: DataFrame, *keep: str) -> DataFrame:
     Narrow: a route without load has no item entries.
     """
     zero = F.lit(0.0)
-    carried = routes.select(*keep, shape.city_pairs().alias("pairs"), shape.merch().alias("merch"))
+    carried = with_merch(routes).select(*keep, shape.city_pairs().alias("pairs"), "merch")
     total = F.aggregate(F.map_values("merch"), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     entries = F.concat(
         F.transform("pairs", lambda p: F.struct(F.concat(F.lit("p:"), p).alias("key"), F.lit(1.0).alias("value"))),
@@ -126,8 +126,7 @@ def pair_vectors(routes: DataFrame, *keep: str) -> DataFrame:
         ),
     )
     return (
-        carried.withColumn("total", total)
-        .withColumn("vec", F.map_from_entries(entries))
+        shape.once(shape.once(carried, "total", total), "vec", F.map_from_entries(entries))
         .withColumn("q", F.aggregate(F.map_values("vec"), zero, lambda acc, x: acc + x * x))
         .drop("pairs", "merch", "total")
     )
@@ -136,7 +135,7 @@ def pair_vectors(routes: DataFrame, *keep: str) -> DataFrame:
 def vector_cosine_pairs(
     vectors: DataFrame, threshold: float, group: list[str], payload: list[str]
 ) -> DataFrame:
-    """Pairs ``(*group, a, b, cosine)`` with cosine >= threshold (> 0) of their ``vec``.
+    """Pairs ``(*group, pa, pb, cosine)`` with cosine >= threshold (> 0) of their ``vec``.
 
     vectors: ``form, vec, q`` and what ``payload`` names.
     """
@@ -148,13 +147,13 @@ def vector_cosine_pairs(
     )
     need = F.lit(threshold * threshold) * F.col("q")
     pairs = similar_pairs(vectors, tokens, need, group, ["vec", "q", *payload])
-    va, vb = F.col("a.vec"), F.col("b.vec")
+    va, vb = F.col("pa.vec"), F.col("pb.vec")
     dot = F.aggregate(
         F.array_intersect(F.map_keys(va), F.map_keys(vb)),
         F.lit(0.0),
         lambda acc, k: acc + va[k] * vb[k],
     )
-    value = measures.cosine(dot, F.col("a.q"), F.col("b.q"))
+    value = measures.cosine(dot, F.col("pa.q"), F.col("pb.q"))
     return pairs.withColumn("cosine", value).filter(F.col("cosine") >= threshold - EPS)
 
 
@@ -164,8 +163,8 @@ def standard_cosine(actual: DataFrame, standard: DataFrame) -> DataFrame:
     right = standard.select("std_no", F.col("q").alias("qb"), F.explode("vec").alias("slot", "y"))
     return (
         left.join(broadcast_if_small(right), "slot")
-        .groupBy("rid", "std_no")
-        .agg(F.sum(F.col("x") * F.col("y")).alias("dot"), F.first("qa").alias("qa"), F.first("qb").alias("qb"))
+        .groupBy("rid", "std_no", "qa", "qb")
+        .agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
         .select("rid", "std_no", measures.cosine(F.col("dot"), F.col("qa"), F.col("qb")).alias("sim"))
     )
 
@@ -198,8 +197,8 @@ def nearest_center(centers: DataFrame, standard: DataFrame) -> DataFrame:
     """
     a = standard.select("std_no", F.col("q").alias("qa"), F.explode("vec").alias("slot", "x"))
     b = centers.select("label", F.col("q").alias("qb"), F.explode("vec").alias("slot", "y"))
-    dots = a.join(broadcast_if_small(b), "slot").groupBy("std_no", "label").agg(
-        F.sum(F.col("x") * F.col("y")).alias("dot"), F.first("qa").alias("qa"), F.first("qb").alias("qb")
+    dots = a.join(broadcast_if_small(b), "slot").groupBy("std_no", "label", "qa", "qb").agg(
+        F.sum(F.col("x") * F.col("y")).alias("dot")
     )
     dist = measures.l2(F.col("dot"), F.col("qa"), F.col("qb"))
     return best_per(

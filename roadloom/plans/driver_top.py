@@ -34,16 +34,16 @@ def lsh_similarity(
     right = minhash_lsh.with_signature(standard, signature)
     found = minhash_lsh.standard_candidates(left, right, bands, rows)
     columns = ["sig", "shingles", "n", "merch", "w", "q"]
-    pairs = found.join(left.select("rid", "driver", "sroute", F.struct(*columns).alias("a")), "rid").join(
-        right.select("std_no", F.struct(*columns).alias("b")), "std_no"
+    pairs = found.join(left.select("rid", "driver", "sroute", F.struct(*columns).alias("pa")), "rid").join(
+        right.select("std_no", F.struct(*columns).alias("pb")), "std_no"
     )
     if route_measure == "estimate":
-        route = hashing.matching_share("a.sig", "b.sig", signature)
+        route = hashing.matching_share("pa.sig", "pb.sig", signature)
     elif route_measure == "signature ruzicka":
-        route = hashing.signature_ruzicka("a.sig", "b.sig")
+        route = hashing.signature_ruzicka("pa.sig", "pb.sig")
     else:
         raise ValueError("route_measure must be 'estimate' or 'signature ruzicka'")
-    merch = measures.merch_similarity(settings.metric, measures.pair_sums("a", "b"))
+    merch = measures.merch_similarity(settings.metric, measures.pair_sums("pa", "pb"))
     return pairs.select(
         "rid", "driver", "sroute", "std_no",
         measures.fuse(route, merch, settings.fusion, settings.alpha).alias("sim"),

@@ -53,12 +53,12 @@ def candidate_edges(
     pairs = minhash_lsh.candidate_pairs(
         minhash_lsh.with_signature(forms, signature), bands, rows
     )
-    sums = measures.pair_sums("a", "b")
+    sums = measures.pair_sums("pa", "pb")
     route = 1 - measures.jaccard(sums["inter"], sums["na"], sums["nb"])
     merch = measures.merch_distance(settings.metric, sums)
     return pairs.select(
-        F.col("a.form").alias("a"),
-        F.col("b.form").alias("b"),
+        F.col("pa.form").alias("a"),
+        F.col("pb.form").alias("b"),
         "share",
         measures.fuse(route, merch, settings.fusion, settings.alpha).alias("d"),
     )
