@@ -20,7 +20,6 @@ K = 3
 DRIVER_K = 2  # in-driver comparisons: pairs of cities
 SIGNATURE = 64
 MERCH_SIGNATURE = 32
-LSH_THRESHOLD = 0.2
 STANDARD_LSH_THRESHOLD = 0.1
 JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
 REACH = 0.45
@@ -350,13 +349,16 @@ def merch_signatures(spark, folder):
     return signed.select("rid", F.array_join("msig", ",").alias("signature"))
 
 
-def _bands(threshold: float = LSH_THRESHOLD) -> tuple[int, int]:
-    return tuning.bands_and_rows(SIGNATURE, threshold)
+def _self_threshold(actual: DataFrame) -> float:
+    """The more routes, the stricter: a global search must not approach all pairs."""
+    routes = actual.count()
+    return tuning.lsh_threshold(routes, routes)
 
 
 def _candidates(spark, folder) -> tuple[DataFrame, DataFrame]:
     forms = _set_forms(spark, folder)
-    return forms, lsh.candidate_pairs(lsh.with_signature(forms, SIGNATURE), *_bands())
+    bands, rows = tuning.bands_and_rows(SIGNATURE, _self_threshold(_actual(spark, folder, False)))
+    return forms, lsh.candidate_pairs(lsh.with_signature(forms, SIGNATURE), bands, rows)
 
 
 def lsh_candidates(spark, folder):
@@ -397,7 +399,7 @@ def lsh_std_candidates(spark, folder):
     actual = _actual(spark, folder, False)
     left = lsh.with_signature(ft.with_features(actual, DRIVER_K, False), SIGNATURE)
     right = lsh.with_signature(ft.with_features(_standard(actual), DRIVER_K, False), SIGNATURE)
-    return lsh.standard_candidates(left, right, *_bands(STANDARD_LSH_THRESHOLD))
+    return lsh.standard_candidates(left, right, *tuning.bands_and_rows(SIGNATURE, STANDARD_LSH_THRESHOLD))
 
 
 def lsh_refined_top5(spark, folder):
@@ -518,7 +520,7 @@ def _recommended(spark, folder):
     actual = _actual(spark, folder)
     standard = _standard(actual)
     signed = cut_lineage(_signed(spark, folder, False))
-    sizing = recommend.Sizing(DRIVER_K, SIGNATURE, 0.4, 3, 10_000)
+    sizing = recommend.Sizing(DRIVER_K, SIGNATURE, _self_threshold(actual), 3, 10_000)
     labels = recommend.cluster_routes(signed.drop("sig"), sizing, CANONICAL, REACH)
     labelled = cut_lineage(signed.join(labels, "rid"))
     return actual, standard, labelled, recommend.recommended(labelled, actual, "cosine", CANONICAL.alpha)

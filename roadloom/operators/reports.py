@@ -160,7 +160,7 @@ def running_ratio(costs: DataFrame) -> DataFrame:
         F.avg("best").alias("mean_best"),
         F.avg("mean").alias("mean_mean"),
         F.avg(F.coalesce(F.try_divide("rb", "rm"), F.lit(0.0))).alias("running_ratio"),
-        F.avg(F.coalesce(F.try_divide("best", "mean"), F.lit(0.0))).alias("driver_ratio"),
+        F.avg(F.coalesce(F.try_divide(F.round("best", 9), F.round("mean", 9)), F.lit(0.0))).alias("driver_ratio"),
     ).withColumn("change", (1 - F.col("running_ratio")) * 100)
 
 

@@ -119,7 +119,6 @@ CTES: dict[str, tuple[str, str]] = {
     "units": ("merch", "SELECT rid, unnest(range(1, qty + 1)) j, item FROM merch"),
     "msig": ("units mparams", _signatures(_token("item || '#' || j") + " tok FROM units", "mparams")),
     "sforms": ("f2", "SELECT min(rid) form, count(*) weight, any_value(n) n FROM f2 GROUP BY sh"),
-    "bandsets": ("sig2", _bands("sig2", catalog.LSH_THRESHOLD)),
     "bandstd": ("sig2", _bands("sig2", catalog.STANDARD_LSH_THRESHOLD)),
 }
 
@@ -129,13 +128,29 @@ def _lsh_limit(threshold: float) -> tuple[int, float]:
     return bands, tuning.share_threshold(bands, rows)
 
 
-B3, LIMIT3 = _lsh_limit(catalog.LSH_THRESHOLD)
 B2, LIMIT2 = _lsh_limit(catalog.STANDARD_LSH_THRESHOLD)
 SIZE = catalog.SIGNATURE
-CTES["lsh"] = ("bandsets sforms", f"""SELECT a.rid a, b.rid b, count(*) / {B3} share
-    FROM (SELECT * FROM bandsets WHERE rid IN (SELECT form FROM sforms)) a
-    JOIN (SELECT * FROM bandsets WHERE rid IN (SELECT form FROM sforms)) b
-    ON a.band = b.band AND a.key = b.key AND a.rid < b.rid GROUP BY ALL HAVING count(*) / {B3} >= {LIMIT3!r}""")
+
+
+def _lsh_settings() -> str:
+    """Bands, rows and limit by the number of pairs."""
+    cases = {"bands": "", "rows": "", "lim": ""}
+    for bound, threshold in tuning.THRESHOLD_BY_PAIRS:
+        bands, rows = tuning.bands_and_rows(catalog.SIGNATURE, threshold)
+        limit = tuning.share_threshold(bands, rows)
+        when = "ELSE" if bound == float("inf") else f"WHEN n * n < {bound} THEN"
+        for name, value in (("bands", bands), ("rows", rows), ("lim", repr(limit) + "::DOUBLE")):
+            cases[name] += f" {when} {value}"
+    picked = ", ".join(f"CASE{text} END {name}" for name, text in cases.items())
+    return f"SELECT {picked} FROM (SELECT count(*) n FROM routes)"
+
+
+CTES["lshset"] = ("routes", _lsh_settings())
+CTES["bandsets"] = ("sig2 lshset sforms", """SELECT rid, i // "rows" band, string_agg(v::VARCHAR, ',' ORDER BY i) key
+    FROM sig2, lshset WHERE rid IN (SELECT form FROM sforms) GROUP BY rid, i // "rows" """)
+CTES["lsh"] = ("bandsets", """SELECT a.rid a, b.rid b, count(*) / any_value(bands) share
+    FROM bandsets a JOIN bandsets b ON a.band = b.band AND a.key = b.key AND a.rid < b.rid, lshset
+    GROUP BY a.rid, b.rid HAVING count(*) / any_value(bands) >= any_value(lim)""")
 CTES["lshstd"] = ("bandstd stds", f"""SELECT a.rid, b.rid std_no, count(*) / {B2} share
     FROM bandstd a JOIN bandstd b ON a.band = b.band AND a.key = b.key
     WHERE b.rid IN (SELECT std_no FROM stds) GROUP BY ALL HAVING count(*) / {B2} >= {LIMIT2!r}""")
@@ -164,26 +179,26 @@ CTES["psum"] = ("pdom pcos routes", """SELECT driver, sroute, rid, n - coalesce(
 
 def _group_distance(name: str, group: str, metric: str) -> None:
     """Mean or summed fused distance to every member of the group, over explicit pairs."""
+    signed = f"(SELECT rid, {group} g, i, v FROM sig2 JOIN routes USING (rid))"
     same = f"ga.{group} = gb.{group}"
     pairs = f"FROM (SELECT rid, {group} FROM routes) ga JOIN (SELECT rid, {group} FROM routes) gb ON {same}"
     if metric == "jaccard":
         needs = "routes sig2 msig"
+        keyed = f"(SELECT rid, {group} g, i, v FROM msig JOIN routes USING (rid))"
         merch = f"""SELECT x.rid a, y.rid b, count(*) / {catalog.MERCH_SIGNATURE} s
-            FROM msig x JOIN routes ga ON ga.rid = x.rid JOIN msig y ON x.i = y.i AND x.v = y.v
-            JOIN routes gb ON gb.rid = y.rid WHERE {same} GROUP BY ALL"""
+            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY ALL"""
         value = "coalesce(m.s, 0)"
     else:
         needs = "routes sig2 merch f2"
-        merch = f"""SELECT x.rid a, y.rid b, sum(x.qty * y.qty) / (sqrt(any_value(fa.q)) * sqrt(any_value(fb.q))) s
-            FROM merch x JOIN f2 fa ON fa.rid = x.rid JOIN merch y ON x.item = y.item
-            JOIN f2 fb ON fb.rid = y.rid WHERE fa.{group} = fb.{group} GROUP BY ALL"""
+        keyed = f"(SELECT rid, {group} g, item, qty, q FROM merch JOIN f2 USING (rid))"
+        merch = f"""SELECT x.rid a, y.rid b, sum(x.qty * y.qty) / (sqrt(any_value(x.q)) * sqrt(any_value(y.q))) s
+            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.item = y.item GROUP BY ALL"""
         value = "(coalesce(m.s, 0) + 1) / 2"
     CTES[name] = (needs, f"""SELECT ga.{group}, ga.rid, count(*) members,
             sum(0.5 * (1 - coalesce(r.s, 0)) + 0.5 * (1 - {value})) sum_d
         {pairs}
         LEFT JOIN (SELECT x.rid a, y.rid b, count(*) / {SIZE} s
-            FROM sig2 x JOIN routes ga ON ga.rid = x.rid JOIN sig2 y ON x.i = y.i AND x.v = y.v
-            JOIN routes gb ON gb.rid = y.rid WHERE {same} GROUP BY ALL) r ON r.a = ga.rid AND r.b = gb.rid
+            FROM {signed} x JOIN {signed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY ALL) r ON r.a = ga.rid AND r.b = gb.rid
         LEFT JOIN ({merch}) m ON m.a = ga.rid AND m.b = gb.rid
         GROUP BY ga.{group}, ga.rid""")
 
@@ -341,7 +356,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "driver_mean_distance_cosine": ("dsum_cos", "SELECT driver, rid, round(sum_d / members, 10) mean_d FROM dsum_cos"),
     "driver_mean_distance_jaccard": ("dsum_jac", "SELECT driver, rid, round(sum_d / members, 10) mean_d FROM dsum_jac"),
     "running_divergence": ("dsum_cos", """SELECT round(avg(best), 6) mean_best, round(avg(mean), 6) mean_mean,
-        round(avg(rb / rm), 6) running_ratio, round(avg(best / mean), 6) driver_ratio,
+        round(avg(rb / rm), 6) running_ratio, round(avg(coalesce(round(best, 9) / nullif(round(mean, 9), 0), 0)), 6) driver_ratio,
         round((1 - avg(rb / rm)) * 100, 6) change FROM (
         SELECT best, mean, sum(best) OVER w rb, sum(mean) OVER w rm FROM (
             SELECT driver, min(sum_d / members) best, avg(sum_d / members) mean FROM dsum_cos GROUP BY driver)
