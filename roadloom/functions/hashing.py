@@ -69,13 +69,9 @@ def signature_ruzicka(left: str, right: str) -> Column:
 
 
 def band_keys(sig: str, bands: int, rows: int) -> Column:
-    """One string per band, prefixed by its number; none for an empty signature."""
+    """One 64-bit key per band, its number hashed in; none for an empty signature."""
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda i: F.concat_ws(
-            ":",
-            i.cast("string"),
-            F.md5(F.concat_ws(",", F.slice(F.col(sig), i * rows + 1, F.lit(rows)).cast("array<string>"))),
-        ),
+        lambda i: F.xxhash64(i, F.slice(F.col(sig), i * rows + 1, F.lit(rows))),
     )
-    return F.when(F.size(sig) > 0, keys).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(sig) > 0, keys).otherwise(F.array().cast("array<bigint>"))

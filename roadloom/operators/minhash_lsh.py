@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import hashing, shape, tuning
+from roadloom.operators.features import merch_rows
 from roadloom.operators.similarity_join import PAYLOAD, set_entries, similar_pairs
 from roadloom.session import broadcast_if_small, cut_lineage
 
 
+MERCH_KINDS = 100_000
+
+
 def with_signature(features: DataFrame, size: int) -> DataFrame:
     """Add ``sig``; an empty set has an empty signature and matches nothing."""
     tokens = shape.once(features, "_tokens", hashing.set_tokens("shingles"))
@@ -20,8 +24,23 @@ def with_signature(features: DataFrame, size: int) -> DataFrame:
 
 def with_merch_signature(features: DataFrame, size: int) -> DataFrame:
     """Add ``msig``, the signature of the carried units (another seed than ``sig``)."""
-    tokens = shape.once(features, "_tokens", hashing.unit_tokens("merch"))
-    return shape.once(tokens, "msig", hashing.signature("_tokens", size, 29)).drop("_tokens")
+    loads = merch_rows(features, "rid").filter("qty > 0")
+    # A load's signature depends on (item, quantity) only: hash each distinct one
+    # once, then a route's signature is the position-wise minimum over its loads.
+    kinds = loads.select("item", "qty").distinct()
+    tokens = shape.once(
+        kinds.withColumn("load", F.create_map("item", "qty")), "_tokens", hashing.unit_tokens("load")
+    )
+    signed = cut_lineage(
+        tokens.select("item", "qty", hashing.signature("_tokens", size, 29).alias("part"))
+    )
+    minima = (
+        loads.join(broadcast_if_small(signed, MERCH_KINDS), ["item", "qty"])
+        .groupBy("rid")
+        .agg(F.array(*[F.min(F.col("part")[i]) for i in range(size)]).alias("msig"))
+    )
+    empty = F.array().cast("array<bigint>")
+    return features.join(minima, "rid", "left").withColumn("msig", F.coalesce("msig", empty))
 
 
 def candidate_pairs(forms: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -34,7 +53,7 @@ def candidate_pairs(forms: DataFrame, bands: int, rows: int) -> DataFrame:
     least = max(1, math.ceil(limit * bands - 1e-9))
     keyed = cut_lineage(shape.once(forms, "bands", hashing.band_keys("sig", bands, rows)))
     payload = [c for c in PAYLOAD if c in forms.columns] + ["sig", "bands"]
-    pairs = similar_pairs(keyed, set_entries("bands"), F.lit(float(least)), [], payload)
+    pairs = similar_pairs(keyed, set_entries("bands"), F.lit(float(least)), [], payload, unit=True)
     share = F.size(F.array_intersect("pa.bands", "pb.bands")) / F.lit(bands)
     return pairs.withColumn("share", share).filter(F.col("share") >= limit)
 

@@ -10,7 +10,7 @@ things bound the work of one task:
   copies costs one row;
 * a token that is still popular is cut into blocks, and its rows meet block by
   block in separate cells of the join key;
-* the pair is kept only at the first leading token both sides share and is
+* the pair is kept only at the smallest leading token both sides share and is
   measured right there, so no pair is shuffled twice.
 """
 
@@ -63,9 +63,16 @@ def members_of(features: DataFrame, forms: DataFrame, group: list[str], with_mer
     )
 
 
-def _leading(rows: DataFrame, group: list[str], tokens: Column, need: Column) -> DataFrame:
-    """``form, *group, lead``: the tokens, rare first, until ``need`` gets out of reach."""
-    long = rows.select("form", *group, need.alias("need"), F.inline(tokens).alias("token", "x"))
+def _leading(
+    rows: DataFrame, group: list[str], tokens: Column, need: Column, unit: bool
+) -> DataFrame:
+    """``form, *group, lead``: hashed tokens, rare first, until ``need`` gets out of reach.
+
+    Equal hashes of different tokens only add a candidate that the measure rejects.
+    """
+    long = rows.select(
+        "form", *group, need.alias("need"), F.inline(tokens).alias("token", "x")
+    ).withColumn("token", F.xxhash64("token"))
     frequency = long.groupBy("token").agg(F.count("*").alias("freq"))
     ordered = (
         long.join(frequency, "token")
@@ -74,12 +81,14 @@ def _leading(rows: DataFrame, group: list[str], tokens: Column, need: Column) ->
     )
 
     def remaining(i: Column) -> Column:
+        if unit:
+            return F.size("ordered") - i
         tail = F.slice(F.col("ordered"), i + 1, F.size("ordered"))
         return F.aggregate(tail, F.lit(0.0), lambda acc, t: acc + t["x"])
 
     kept = F.filter("ordered", lambda t, i: remaining(i) >= F.col("need") - F.lit(EPS))
     return ordered.select(
-        "form", *group, F.transform(kept, lambda t: F.struct(t["freq"], t["token"])).alias("lead")
+        "form", *group, F.transform(kept, lambda t: t["token"]).alias("lead")
     )
 
 
@@ -89,6 +98,7 @@ def similar_pairs(
     need: Column,
     group: list[str],
     payload: list[str],
+    unit: bool = False,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs ``(*group, pa, pb)``, pa.form < pb.form, that share a leading token.
@@ -97,9 +107,9 @@ def similar_pairs(
     array of (token, weight) structs; ``need`` the least overlap weight with
     which this row can take part in a qualifying pair. Every pair at or above it
     is returned, some below it too: filter on the measure. Rows without tokens
-    pair with nothing.
+    pair with nothing. ``unit`` says that all weights are 1.
     """
-    leads = cut_lineage(_leading(rows, group, tokens, need))
+    leads = cut_lineage(_leading(rows, group, tokens, need, unit))
     popular = (
         leads.select(*group, F.explode("lead").alias("key"))
         .groupBy(*group, "key")
@@ -152,7 +162,7 @@ def jaccard_pairs(forms: DataFrame, threshold: float, group: list[str]) -> DataF
     """Form pairs with shingle Jaccard >= threshold (> 0), with all pair sums available."""
     payload = [c for c in PAYLOAD if c in forms.columns]
     pairs = similar_pairs(
-        forms, set_entries("shingles"), F.lit(threshold) * F.col("n"), group, payload
+        forms, set_entries("shingles"), F.lit(threshold) * F.col("n"), group, payload, unit=True
     )
     inter = F.size(F.array_intersect("pa.shingles", "pb.shingles"))
     value = measures.jaccard(inter, F.col("pa.n"), F.col("pb.n"))

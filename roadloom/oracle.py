@@ -177,35 +177,45 @@ CTES["psum"] = ("pdom pcos routes", """SELECT driver, sroute, rid, n - coalesce(
     LEFT JOIN (SELECT a rid, sum(c) c FROM pcos GROUP BY a) USING (rid)""")
 
 
-def _group_distance(name: str, group: str, metric: str) -> None:
-    """Mean or summed fused distance to every member of the group, over explicit pairs."""
+def _group_distance(name: str, group: str, metric: str, pairs: bool = True) -> None:
+    """Summed fused distance to every member of the group.
+
+    Drivers are small, so there each part adds up joined pairs. The planned
+    routes' groups are too large for that in one process and use group totals.
+    """
     signed = f"(SELECT rid, {group} g, i, v FROM sig2 JOIN routes USING (rid))"
-    same = f"ga.{group} = gb.{group}"
-    pairs = f"FROM (SELECT rid, {group} FROM routes) ga JOIN (SELECT rid, {group} FROM routes) gb ON {same}"
     if metric == "jaccard":
         needs = "routes sig2 msig"
         keyed = f"(SELECT rid, {group} g, i, v FROM msig JOIN routes USING (rid))"
-        merch = f"""SELECT x.rid a, y.rid b, count(*) / {catalog.MERCH_SIGNATURE} s
-            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY ALL"""
+        merch = f"""SELECT x.rid, count(*) / {catalog.MERCH_SIGNATURE} s
+            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY x.rid"""
         value = "coalesce(m.s, 0)"
     else:
         needs = "routes sig2 merch f2"
         keyed = f"(SELECT rid, {group} g, item, qty, q FROM merch JOIN f2 USING (rid))"
-        merch = f"""SELECT x.rid a, y.rid b, sum(x.qty * y.qty) / (sqrt(any_value(x.q)) * sqrt(any_value(y.q))) s
-            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.item = y.item GROUP BY ALL"""
-        value = "(coalesce(m.s, 0) + 1) / 2"
-    CTES[name] = (needs, f"""SELECT ga.{group}, ga.rid, count(*) members,
-            sum(0.5 * (1 - coalesce(r.s, 0)) + 0.5 * (1 - {value})) sum_d
-        {pairs}
-        LEFT JOIN (SELECT x.rid a, y.rid b, count(*) / {SIZE} s
-            FROM {signed} x JOIN {signed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY ALL) r ON r.a = ga.rid AND r.b = gb.rid
-        LEFT JOIN ({merch}) m ON m.a = ga.rid AND m.b = gb.rid
-        GROUP BY ga.{group}, ga.rid""")
+        merch = f"""SELECT x.rid, sum(x.qty * y.qty / (sqrt(x.q) * sqrt(y.q))) s
+            FROM {keyed} x JOIN {keyed} y ON x.g = y.g AND x.item = y.item GROUP BY x.rid"""
+        value = "(coalesce(m.s, 0) + members) / 2"
+    CTES[name] = (needs, f"""SELECT {group}, rid, members,
+            0.5 * (members - coalesce(r.s, 0)) + 0.5 * (members - {value}) sum_d
+        FROM routes JOIN (SELECT {group}, count(*) members FROM routes GROUP BY {group}) USING ({group})
+        LEFT JOIN (SELECT x.rid, count(*) / {SIZE} s
+            FROM {signed} x JOIN {signed} y ON x.g = y.g AND x.i = y.i AND x.v = y.v GROUP BY x.rid) r USING (rid)
+        LEFT JOIN ({merch}) m USING (rid)""")
+    if not pairs:
+        merch = f"""SELECT x.rid, sum(x.qty / sqrt(x.q) * y.u) s FROM {keyed} x
+            JOIN (SELECT g, item, sum(qty / sqrt(q)) u FROM {keyed} GROUP BY g, item) y USING (g, item) GROUP BY x.rid"""
+        CTES[name] = (needs, f"""SELECT {group}, rid, members,
+                0.5 * (members - coalesce(r.s, 0)) + 0.5 * (members - {value}) sum_d
+            FROM routes JOIN (SELECT {group}, count(*) members FROM routes GROUP BY {group}) USING ({group})
+            LEFT JOIN (SELECT x.rid, sum(y.c) / {SIZE} s FROM {signed} x
+                JOIN (SELECT g, i, v, count(*) c FROM {signed} GROUP BY g, i, v) y USING (g, i, v) GROUP BY x.rid) r USING (rid)
+            LEFT JOIN ({merch}) m USING (rid)""")
 
 
 _group_distance("dsum_cos", "driver", "cosine")
 _group_distance("dsum_jac", "driver", "jaccard")
-_group_distance("ssum_cos", "sroute", "cosine")
+_group_distance("ssum_cos", "sroute", "cosine", pairs=False)
 
 CTES["cities"] = ("routes", """SELECT value, row_number() OVER (ORDER BY value) code
     FROM (SELECT DISTINCT unnest(nodes) AS value FROM routes)""")
