@@ -32,13 +32,21 @@ def _actual(spark: SparkSession, folder: str, merchandise: bool = True) -> DataF
     return star.actual_routes(spark, folder, merchandise)
 
 
+def _routes(spark: SparkSession, folder: str, merchandise: bool = True) -> DataFrame:
+    """The same, written once: for queries that read the routes several times.
+
+    Rebuilding them means shuffling the line items again for every use.
+    """
+    return cut_lineage(_actual(spark, folder, merchandise))
+
+
 def _standard(actual: DataFrame) -> DataFrame:
     """One planned route per ``sroute``: small, used several times, so computed once."""
     return cut_lineage(star.standard_routes(actual))
 
 
 def _tables(spark: SparkSession, folder: str, k: int = K):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     standard = _standard(actual)
     return actual, standard, ft.with_features(actual, k), ft.with_features(standard, k)
 
@@ -53,7 +61,7 @@ def _r(column, name: str, digits: int = 10):
 
 
 def route_profile(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     return ft.profile(actual, _standard(actual))
 
 
@@ -65,7 +73,7 @@ def _shingle_query(k: int):
 
 
 def shingle_vocab_size(spark, folder):
-    actual = _actual(spark, folder, False)
+    actual = _routes(spark, folder, False)
     own = ft.vocabulary(ft.with_features(actual, K, False))
     planned = ft.vocabulary(ft.with_features(_standard(actual), K, False))
     both = own.union(planned).distinct().agg(F.count("*")).scalar()
@@ -78,7 +86,7 @@ def route_merch(spark, folder):
 
 def _scaled_query(norm: str):
     def query(spark, folder):
-        actual = _actual(spark, folder)
+        actual = _routes(spark, folder)
         return ft.scaled_merch(actual, _standard(actual), norm)
 
     return query
@@ -119,7 +127,7 @@ def city_permutations(spark, folder):
 
 
 def stacked_routes(spark, folder):
-    actual = _actual(spark, folder, False)
+    actual = _routes(spark, folder, False)
     both = ft.stacked(actual, _standard(actual))
     return both.select(
         "rid", "type", F.size("route").alias("trips"), F.array_join(shape.nodes(), ">").alias("path")
@@ -173,9 +181,10 @@ def driver_pairs_cosine(spark, folder):
 
 
 def driver_pairs_l2(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     scale = ft.quantity_scale(actual, _standard(actual)).scalar()
-    pairs = sj.jaccard_pairs(_driver_forms(spark, folder), JACCARD_MIN, DRIVER)
+    forms = cut_lineage(sj.collapse(ft.with_features(actual, DRIVER_K), DRIVER))
+    pairs = sj.jaccard_pairs(forms, JACCARD_MIN, DRIVER)
     sums = measures.pair_sums("pa", "pb")
     d = measures.l2(sums["dot"], sums["qa"], sums["qb"], scale)
     return pairs.select(
@@ -267,7 +276,7 @@ def driver_top5_product(spark, folder):
 
 
 def driver_top5_maxsim(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     sims = driver_top.positional_similarity(actual, _standard(actual))
     return driver_top.top_by_best_similarity(sims).select(
         "driver", "rank", "std_no", _r("score", "score")
@@ -320,13 +329,13 @@ def route_preview(spark, folder):
 
 
 def divergence_audit(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     rows = reports.divergence(actual, _standard(actual))
     return rows.select("rid", "driver", "sroute", *[_r(c, c) for c in reports.SHARES])
 
 
 def divergence_summary(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     rows = reports.divergence_summary(reports.divergence(actual, _standard(actual)))
     return rows.select("driver", "sroute", "routes", *[_r(c, c) for c in reports.SHARES])
 
@@ -357,7 +366,8 @@ def _self_threshold(actual: DataFrame) -> float:
 
 def _candidates(spark, folder) -> tuple[DataFrame, DataFrame]:
     forms = _set_forms(spark, folder)
-    bands, rows = tuning.bands_and_rows(SIGNATURE, _self_threshold(_actual(spark, folder, False)))
+    routes = forms.agg(F.sum("weight")).first()[0]
+    bands, rows = tuning.bands_and_rows(SIGNATURE, tuning.lsh_threshold(routes, routes))
     return forms, lsh.candidate_pairs(lsh.with_signature(forms, SIGNATURE), bands, rows)
 
 
@@ -396,7 +406,7 @@ def lsh_report(spark, folder):
 
 
 def lsh_std_candidates(spark, folder):
-    actual = _actual(spark, folder, False)
+    actual = _routes(spark, folder, False)
     left = lsh.with_signature(ft.with_features(actual, DRIVER_K, False), SIGNATURE)
     right = lsh.with_signature(ft.with_features(_standard(actual), DRIVER_K, False), SIGNATURE)
     return lsh.standard_candidates(left, right, *tuning.bands_and_rows(SIGNATURE, STANDARD_LSH_THRESHOLD))
@@ -410,7 +420,7 @@ def lsh_refined_top5(spark, folder):
 
 
 def tuning_choices(spark, folder):
-    actual = _actual(spark, folder, False)
+    actual = _routes(spark, folder, False)
     sizing = recommend.size_up(actual, _standard(actual), K)
     counts = actual.agg(F.count("*").alias("routes"))
     return counts.select(
@@ -447,14 +457,14 @@ def _pair_ideal(pick: str):
     return query
 
 
-def _signed(spark, folder, merch: bool) -> DataFrame:
-    signed = lsh.with_signature(ft.with_features(_actual(spark, folder), DRIVER_K), SIGNATURE)
+def _signed(actual: DataFrame, merch: bool) -> DataFrame:
+    signed = lsh.with_signature(ft.with_features(actual, DRIVER_K), SIGNATURE)
     return lsh.with_merch_signature(signed, MERCH_SIGNATURE) if merch else signed
 
 
 def _mean_distance_query(metric: str):
     def query(spark, folder):
-        signed = cut_lineage(_signed(spark, folder, metric == "jaccard"))
+        signed = cut_lineage(_signed(_actual(spark, folder), metric == "jaccard"))
         means = ideal.mean_distances(signed, metric, CANONICAL.alpha)
         return means.select("driver", "rid", _r("mean_d", "mean_d"))
 
@@ -472,8 +482,8 @@ def density_labels_driver(spark, folder):
 
 
 def ideal_route(spark, folder):
-    actual = _actual(spark, folder)
-    signed = cut_lineage(_signed(spark, folder, True))
+    actual = _routes(spark, folder)
+    signed = cut_lineage(_signed(actual, True))
     means = cut_lineage(ideal.mean_distances(signed, "jaccard", CANONICAL.alpha))
     best = ideal.ideal_routes(cut_lineage(_labels(signed)), means)
     return ideal.fetch_routes(best, actual).select(
@@ -483,7 +493,7 @@ def ideal_route(spark, folder):
 
 
 def running_divergence(spark, folder):
-    signed = cut_lineage(_signed(spark, folder, False))
+    signed = cut_lineage(_signed(_actual(spark, folder), False))
     means = ideal.mean_distances(signed, "cosine", CANONICAL.alpha)
     costs = means.groupBy("driver").agg(F.min("mean_d").alias("best"), F.avg("mean_d").alias("mean"))
     out = reports.running_ratio(costs)
@@ -510,16 +520,16 @@ def dbscan_routes(spark, folder):
 
 
 def medoid_by_sroute(spark, folder):
-    signed = cut_lineage(_signed(spark, folder, False))
+    signed = cut_lineage(_signed(_actual(spark, folder), False))
     sums = gs.fused_distance_sums(signed, signed, "sroute", "cosine", CANONICAL.alpha)
     best = gs.medoids(sums, "sroute")
     return best.select("sroute", "rid", "members", _r("sum_d", "sum_d", 4))
 
 
 def _recommended(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     standard = _standard(actual)
-    signed = cut_lineage(_signed(spark, folder, False))
+    signed = cut_lineage(_signed(actual, False))
     sizing = recommend.Sizing(DRIVER_K, SIGNATURE, _self_threshold(actual), 3, 10_000)
     labels = recommend.cluster_routes(signed.drop("sig"), sizing, CANONICAL, REACH)
     labelled = cut_lineage(signed.join(labels, "rid"))
@@ -544,7 +554,7 @@ def recommendation_report(spark, folder):
 def medoid_standard_match(spark, folder):
     actual, standard, fa, fs = _tables(spark, folder)
     sims = st.standard_similarity(fa, fs, CANONICAL)
-    signed = cut_lineage(_signed(spark, folder, False))
+    signed = cut_lineage(_signed(actual, False))
     sums = gs.fused_distance_sums(signed, signed, "sroute", "cosine", CANONICAL.alpha)
     matches = recommend.medoid_matches(gs.medoids(sums, "sroute"), sims)
     return recommend.one_to_one(matches)
@@ -554,7 +564,7 @@ def medoid_standard_match(spark, folder):
 
 
 def _coded(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     standard = _standard(actual)
     return actual, standard, *vx.code_tables(actual, standard)
 
@@ -619,7 +629,7 @@ def cluster_purity(spark, folder):
 
 
 def _kmeans(spark, folder):
-    actual = _actual(spark, folder)
+    actual = _routes(spark, folder)
     standard = _standard(actual)
     return recommend.kmeans_recommended(actual, standard, standard.count(), max_iter=10)
 

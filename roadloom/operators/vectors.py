@@ -170,10 +170,17 @@ def standard_cosine(actual: DataFrame, standard: DataFrame) -> DataFrame:
 
 
 def ml_vectors(vectors: DataFrame, dimension: int) -> DataFrame:
-    """``features`` as an ML vector; the assembler stores it sparse when that is smaller."""
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dimension - 1)),
-        lambda i: F.coalesce(F.try_element_at("vec", i), F.lit(0)).cast("double"),
+    """``features`` as an ML vector; the assembler stores it sparse when that is smaller.
+
+    ``vec`` must have ascending keys, as :func:`positional_vectors` builds it:
+    each entry is preceded by the zeros of the gap before it.
+    """
+    dense = F.expr(
+        f"""flatten(concat(
+            transform(map_entries(vec), (e, j) -> concat(
+                array_repeat(0D, e.key - if(j = 0, -1, map_keys(vec)[j - 1]) - 1),
+                array(cast(e.value AS double)))),
+            array(array_repeat(0D, {dimension} - 1 - coalesce(array_max(map_keys(vec)), -1)))))"""
     )
     raw = vectors.withColumn("raw", array_to_vector(dense))
     return VectorAssembler(inputCols=["raw"], outputCol="features").transform(raw).drop("raw")
