@@ -62,7 +62,7 @@ def standard_candidates(
     actual: DataFrame, standard: DataFrame, bands: int, rows: int
 ) -> DataFrame:
     """``rid, std_no, share`` for driven routes and plans with enough equal bands."""
-    left = actual.select("rid", F.explode(hashing.band_keys("sig", bands, rows)).alias("band"))
+    left = actual.repartition("rid").select("rid", F.explode(hashing.band_keys("sig", bands, rows)).alias("band"))
     right = standard.select(
         "std_no", F.explode(hashing.band_keys("sig", bands, rows)).alias("band")
     )

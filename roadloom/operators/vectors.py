@@ -159,7 +159,9 @@ def vector_cosine_pairs(
 
 def standard_cosine(actual: DataFrame, standard: DataFrame) -> DataFrame:
     """``rid, std_no, sim`` for sparse vectors that share a slot; the planned side is broadcast if small."""
-    left = actual.select("rid", F.col("q").alias("qa"), F.explode("vec").alias("slot", "x"))
+    left = actual.repartition("rid").select(
+        "rid", F.col("q").alias("qa"), F.explode("vec").alias("slot", "x")
+    )
     right = standard.select("std_no", F.col("q").alias("qb"), F.explode("vec").alias("slot", "y"))
     return (
         left.join(broadcast_if_small(right), "slot")
