@@ -462,10 +462,10 @@ def _signed(actual: DataFrame, merch: bool) -> DataFrame:
     return lsh.with_merch_signature(signed, MERCH_SIGNATURE) if merch else signed
 
 
-def _mean_distance_query(metric: str):
+def _mean_distance_query(metric: str, fusion: str = "mean"):
     def query(spark, folder):
         signed = cut_lineage(_signed(_actual(spark, folder), metric == "jaccard"))
-        means = ideal.mean_distances(signed, metric, CANONICAL.alpha)
+        means = ideal.mean_distances(signed, metric, CANONICAL.alpha, fusion)
         return means.select("driver", "rid", _r("mean_d", "mean_d"))
 
     return query
@@ -722,6 +722,7 @@ QUERIES = {
     "driver_ideal_pairvec": _pair_ideal("reference"),
     "driver_ideal_pairvec_medoid": _pair_ideal("medoid"),
     "driver_mean_distance_cosine": _mean_distance_query("cosine"),
+    "driver_mean_distance_product": _mean_distance_query("cosine", "product"),
     "driver_mean_distance_jaccard": _mean_distance_query("jaccard"),
     "density_labels_driver": density_labels_driver,
     "ideal_route": ideal_route,

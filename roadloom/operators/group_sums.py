@@ -48,6 +48,20 @@ def _cosine_part(
     )
 
 
+def _cross_part(members: DataFrame, probes: DataFrame, group: str, out: str) -> DataFrame:
+    """Summed product of both similarities: unit-vector sums per (group, position, value)."""
+    unit = F.col("x") / F.sqrt(F.col("q").cast("double"))
+
+    def long(df: DataFrame) -> DataFrame:
+        rows = df.select(group, "rid", "q", "merch", F.size("sig").alias("length"), F.posexplode("sig").alias("i", "v"))
+        return rows.select(group, "rid", "q", "length", "i", "v", F.explode("merch").alias("key", "x"))
+
+    totals = long(members).groupBy(group, "i", "v", "key").agg(F.sum(unit).alias("total"))
+    return long(probes).join(totals, [group, "i", "v", "key"]).select(
+        group, "rid", (unit * F.col("total") / F.col("length")).alias(out)
+    )
+
+
 def _add_up(probes: DataFrame, group: str, parts: dict[str, DataFrame]) -> DataFrame:
     """Left-outer sum of the parts per row in one shuffle instead of a join per part."""
     names = list(parts)
@@ -77,33 +91,40 @@ def fused_distance_sums(
     group: str,
     metric: str = "cosine",
     alpha: float = 0.5,
+    fusion: str = "mean",
 ) -> DataFrame:
-    """``group, rid, members, sum_d``: mean-fused distance of each probe to every member.
+    """``group, rid, members, sum_d``: fused distance of each probe to every member.
 
     Route part: MinHash estimate from ``sig``. Merchandise part: the exact
     cosine, or for ``jaccard`` the MinHash estimate of the weighted Jaccard from
-    ``msig``. Products of the two parts and L2 do not decompose and are refused.
+    ``msig``. The product needs a cosine metric. Weighted products and L2 do
+    not decompose and are refused.
     """
     if metric not in METRICS:
         raise ValueError(f"group sums support {METRICS}")
+    if fusion not in ("mean", "product") or (fusion == "product" and metric == "jaccard"):
+        raise ValueError("group sums support the mean, and the product with a cosine metric")
     if metric == "jaccard":
         merch = _match_part(members, probes, group, "msig", "merch_sim")
     else:
         merch = _cosine_part(members, probes, group, "merch_sim", "merch", "q")
-    sums = _add_up(
-        probes,
-        group,
-        {
-            "route_sim": _match_part(members, probes, group, "sig", "route_sim"),
-            "merch_sim": merch,
-        },
-    )
+    parts = {
+        "route_sim": _match_part(members, probes, group, "sig", "route_sim"),
+        "merch_sim": merch,
+    }
+    if fusion == "product":
+        parts["both_sim"] = _cross_part(members, probes, group, "both_sim")
+    sums = _add_up(probes, group, parts)
     sizes = members.groupBy(group).agg(F.count("*").alias("members"))
     n = F.col("members")
     merch_total: Column = F.col("merch_sim")
     if metric == "cosine":
         merch_total = (merch_total + n) / 2
     distance = F.lit(alpha) * (n - F.col("route_sim")) + F.lit(1 - alpha) * (n - merch_total)
+    if fusion == "product":
+        # (1 - r)(1 - m) summed; the moved cosine halves the merchandise distance.
+        distance = n - F.col("route_sim") - F.col("merch_sim") + F.col("both_sim")
+        distance = distance / 2 if metric == "cosine" else distance
     return sums.join(sizes, group).select(group, "rid", "members", distance.alias("sum_d"))
 
 

@@ -365,6 +365,18 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(sum_d, 9), rid) = 1"""),
     "driver_mean_distance_cosine": ("dsum_cos", "SELECT driver, rid, round(sum_d / members, 10) mean_d FROM dsum_cos"),
     "driver_mean_distance_jaccard": ("dsum_jac", "SELECT driver, rid, round(sum_d / members, 10) mean_d FROM dsum_jac"),
+    "driver_mean_distance_product": ("routes sig2 merch f2", f"""SELECT driver, a.rid,
+        round(avg((1 - coalesce(s.s, 0)) * (1 - coalesce(c.c, 0)) / 2), 10) mean_d
+        FROM (SELECT driver, rid FROM routes) a JOIN (SELECT driver, rid other FROM routes) b USING (driver)
+        LEFT JOIN (SELECT x.rid, y.rid other, count(*) / {SIZE} s
+            FROM (SELECT * FROM sig2 JOIN (SELECT rid, driver FROM routes) USING (rid)) x
+            JOIN (SELECT * FROM sig2 JOIN (SELECT rid, driver FROM routes) USING (rid)) y
+            ON x.driver = y.driver AND x.i = y.i AND x.v = y.v GROUP BY ALL) s ON s.rid = a.rid AND s.other = b.other
+        LEFT JOIN (SELECT x.rid, y.rid other, sum(x.qty * y.qty / (sqrt(x.q) * sqrt(y.q))) c
+            FROM (SELECT * FROM merch JOIN (SELECT rid, driver, q FROM f2) USING (rid)) x
+            JOIN (SELECT * FROM merch JOIN (SELECT rid, driver, q FROM f2) USING (rid)) y
+            ON x.driver = y.driver AND x.item = y.item GROUP BY ALL) c ON c.rid = a.rid AND c.other = b.other
+        GROUP BY driver, a.rid"""),
     "running_divergence": ("dsum_cos", """SELECT round(avg(best), 6) mean_best, round(avg(mean), 6) mean_mean,
         round(avg(rb / rm), 6) running_ratio, round(avg(coalesce(round(best, 9) / nullif(round(mean, 9), 0), 0)), 6) driver_ratio,
         round((1 - avg(rb / rm)) * 100, 6) change FROM (
@@ -400,6 +412,27 @@ STATEMENTS: dict[str, tuple[str, str]] = {
 }
 CTES["reach"] = ("dforms dedges", """SELECT form node, form c FROM dforms
     UNION SELECT e.y, r.c FROM reach r JOIN (SELECT a x, b y FROM dedges UNION ALL SELECT b, a FROM dedges) e ON e.x = r.node""")
+CTES["gforms"] = ("f2", """SELECT min(rid) form, count(*) weight, any_value(n) n, any_value(w) w FROM f2 GROUP BY sh, mk""")
+CTES["gpairs"] = ("gforms sh2", f"""SELECT p.a, p.b, inter / (x.n + y.n - inter) j, x.w wa, y.w wb
+    FROM (SELECT s.rid a, t.rid b, count(*) inter
+          FROM (SELECT * FROM sh2 WHERE rid IN (SELECT form FROM gforms)) s
+          JOIN (SELECT * FROM sh2 WHERE rid IN (SELECT form FROM gforms)) t
+          ON s.shingle = t.shingle AND s.rid < t.rid GROUP BY ALL) p
+    JOIN gforms x ON x.form = a JOIN gforms y ON y.form = b
+    WHERE inter / (x.n + y.n - inter) >= 1 - {catalog.DBSCAN_EPS} / 0.5 - 1e-9""")
+CTES["gedges"] = ("gpairs merch", f"""SELECT a, b FROM gpairs LEFT JOIN (
+        SELECT a, b, sum(least(x.qty, y.qty)) smin FROM gpairs JOIN merch x ON x.rid = a
+        JOIN merch y ON y.rid = b AND y.item = x.item GROUP BY ALL) m USING (a, b)
+    WHERE 0.5 * (1 - j) + 0.5 * (1 - coalesce(smin / nullif(wa + wb - smin, 0), 0)) <= {catalog.DBSCAN_EPS} + 1e-9""")
+CTES["gboth"] = ("gedges", "SELECT a x, b y FROM gedges UNION ALL SELECT b, a FROM gedges")
+CTES["gcore"] = ("gforms gboth", f"""SELECT form, weight + coalesce(near, 0) >= {catalog.DBSCAN_MIN} core FROM gforms
+    LEFT JOIN (SELECT x form, sum(weight) near FROM gboth JOIN gforms ON form = y GROUP BY x) USING (form)""")
+CTES["creach"] = ("gcore gboth", """SELECT form node, form c FROM gcore WHERE core
+    UNION SELECT e.y, r.c FROM creach r JOIN gboth e ON e.x = r.node JOIN gcore k ON k.form = e.y AND k.core""")
+CTES["clabel"] = ("creach", "SELECT node, min(c) label FROM creach GROUP BY node")
+STATEMENTS["dbscan_routes"] = ("gcore clabel gboth", """SELECT form node, coalesce(own.label, edge.label, -1) AS label, core
+    FROM gcore LEFT JOIN clabel own ON own.node = form
+    LEFT JOIN (SELECT x, min(label) AS label FROM gboth JOIN clabel ON node = y GROUP BY x) edge ON edge.x = form""")
 
 
 def _ordered(names: list[str], done: list[str]) -> list[str]:
@@ -410,14 +443,17 @@ def _ordered(names: list[str], done: list[str]) -> list[str]:
     return done
 
 
+RECURSIVE = {"reach", "creach"}
+
+
 def _statement(needs: str, body: str) -> str:
     names = _ordered(needs.split(), [])
     parts = []
     for name in names:
-        recursive = name == "reach"
-        head = "reach(node, c) AS" if recursive else f"{name} AS MATERIALIZED"
+        head = f"{name}(node, c) AS" if name in RECURSIVE else f"{name} AS MATERIALIZED"
         parts.append(f"{head} ({CTES[name][1]})")
-    return f"WITH RECURSIVE {', '.join(parts)} {body}" if "reach" in names else f"WITH {', '.join(parts)} {body}"
+    keyword = "WITH RECURSIVE" if RECURSIVE & set(names) else "WITH"
+    return f"{keyword} {', '.join(parts)} {body}"
 
 
 def _tuning_statement() -> str:

@@ -167,3 +167,11 @@ def test_city_order_kept(golden):
     actual, _ = golden
     row = actual.filter("rid = 5").select(F.array_distinct(shape.nodes()).alias("c")).first()
     assert row.c == ["Rome", "Milan"]
+
+
+def test_unit_length(golden):
+    actual, standard = golden
+    cities, items = vx.code_tables(actual, standard)
+    dense = vx.ml_vectors(vx.positional_vectors(actual, cities, items), 15)
+    for row in vx.normalized(dense).collect():
+        assert row.unit.norm(2) == pytest.approx(1.0)

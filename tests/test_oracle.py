@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = [
     "route_profile", "route_shingles_k3", "driver_pairs_jaccard", "driver_pairs_ruzicka",
     "std_similarity", "driver_top5", "driver_score_ratio", "divergence_summary", "lsh_candidates",
-    "lsh_refined_top5", "driver_ideal_pairvec", "driver_mean_distance_jaccard", "components",
+    "lsh_refined_top5", "driver_ideal_pairvec", "driver_mean_distance_jaccard", "components", "dbscan_routes",
     "decoded_routes", "standard_spread", "tuning",
 ]
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")

@@ -94,6 +94,14 @@ def test_group_sums_match_pairs(spark):
                 merch = {"cosine": (cos + 1) / 2, "raw cosine": cos, "jaccard": share(a.msig, b.msig)}[metric]
                 total += 0.3 * (1 - share(a.sig, b.sig)) + 0.7 * (1 - merch)
             assert sums[r[0]] == pytest.approx(total)
+    product = {r.rid: r.sum_d for r in group_sums.fused_distance_sums(
+        signed, signed, "driver", "cosine", fusion="product").collect()}
+    for r in rows:
+        total = sum(
+            (1 - sum(u == v for u, v in zip(local[r[0]].sig, local[s[0]].sig)) / 16) * (1 - _cosine(r, s)) / 2
+            for s in rows if s[1] == r[1]
+        )
+        assert product[r[0]] == pytest.approx(total)
 
 
 def test_unit_signature_equals_direct_hashing(spark):
