@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,9 +117,56 @@ class Words:
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a piece's texts have about ``most`` bytes; a longer text is a piece of its own."""
-    size = np.asarray(pa.compute.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    size = np.asarray(pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     total, at = np.concatenate([[0], np.cumsum(size)]), 0
     while at < len(size):
         upto = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
         yield batch.slice(at, upto - at)
         at = upto
+
+
+def key_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows with equal integer keys, from batches sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    last: np.ndarray | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        for lo, hi in zip(bounds, bounds[1:]):
+            if held and (values[lo] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = values[lo]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Forest:
+    """Sets of numbers joined by links in bulk; ``up`` names each number's set by its smallest member."""
+
+    def __init__(self, n: int) -> None:
+        self.up = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        a, b = self.up[a], self.up[b]
+        while True:
+            apart = a != b
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            np.minimum.at(self.up, high, low)
+            while True:
+                above = self.up[self.up]
+                if np.array_equal(above, self.up):
+                    break
+                self.up = above
+            a, b = self.up[low], self.up[high]
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        moved = np.flatnonzero(self.up != np.arange(len(self.up)))
+        return moved, self.up[moved]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from roadloom.llm import exact_dedup, mixing
+from roadloom.llm import exact_dedup, html_extract, lattice, mixing, packing, secret_scan, simhash
 
 QUERIES = {
     "op1_pfair_mixing": mixing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op6_simhash": simhash.query,
+    "op7_packing": packing.query,
+    "op8_secret_scan": secret_scan.query,
+    "op9_html_extract": html_extract.query,
+    "op10_lattice_dedup": lattice.query,
 }
 
 SQL = {
