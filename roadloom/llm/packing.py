@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from roadloom.llm.common import slices, with_row_id
 from roadloom.session import cut_lineage
 
-CAPACITY, END_ID, GROUPS, SMALL_PART, BUCKETS = 4096, 1, 64, 8, 1024
+CAPACITY, END_ID, GROUPS, SMALL_PART, BUCKETS = 4096, 1, 16, 3, 1024
 MEMO_WORDS = 300_000
 _MEMO: dict[str, tuple] = {}
 
