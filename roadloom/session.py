@@ -17,28 +17,33 @@ def local_session(cores: str | int = "*", app: str = "roadloom", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def checkpoint_folder(spark: SparkSession) -> str:
+    """This session's checkpoint folder, set from ``spark.checkpoint.dir`` if it isn't yet.
+
+    Only a session on one machine (master ``local``) may go without that
+    setting; it then uses a temporary folder.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
+    if not context.getCheckpointDir():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and (context.master == "local" or context.master.startswith("local[")):
+            shared = tempfile.mkdtemp(prefix="roadloom-ckpt-")
+        if not shared:
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="roadloom-ckpt-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in reliable storage, so lost executors do not replay the loop."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
