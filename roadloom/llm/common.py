@@ -31,9 +31,9 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def fold(column: Column | str, modulus: int) -> Column:
+def fold(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(-1)).cast("string")) % modulus
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
 
 
 def only_rows(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
