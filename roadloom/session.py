@@ -16,6 +16,7 @@ def local_session(cores: str | int = "*", app: str = "roadloom", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
