@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from roadloom.llm import exact_dedup, html_extract, language_model, lattice, mixing, packing, quality, secret_scan, simhash
+from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, mixing, packing, quality, secret_scan, simhash
 
 QUERIES = {
     "op1_pfair_mixing": mixing.query,
     "op2_kneser_ney": language_model.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_line_dedup": line_dedup.query,
     "op5_quality_vote": quality.query,
     "op6_simhash": simhash.query,
     "op7_packing": packing.query,
