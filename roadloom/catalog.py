@@ -20,10 +20,13 @@ K = 3
 DRIVER_K = 2  # in-driver comparisons: pairs of cities
 SIGNATURE = 64
 MERCH_SIGNATURE = 32
-STANDARD_LSH_THRESHOLD = 0.1
+LSH_THRESHOLD = 0.1  # driven with driven; the same for any number of routes
+STANDARD_LSH_THRESHOLD = 0.0  # driven with planned: any equal position
 JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
-REACH = 0.45
-DBSCAN_EPS, DBSCAN_MIN = 0.3, 3
+REACH = 0.7  # clustering sees fused distances up to here
+DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
+MIN_CLUSTER = 3  # the tables hold no planted clusters: small ones count
+KMEANS_ROUNDS = 300  # K-means ends when it converges, at the latest here
 CANONICAL = Settings()
 DRIVER = ["driver"]
 
@@ -358,16 +361,9 @@ def merch_signatures(spark, folder):
     return signed.select("rid", F.array_join("msig", ",").alias("signature"))
 
 
-def _self_threshold(actual: DataFrame) -> float:
-    """The more routes, the stricter: a global search must not approach all pairs."""
-    routes = actual.count()
-    return tuning.lsh_threshold(routes, routes)
-
-
 def _candidates(spark, folder) -> tuple[DataFrame, DataFrame]:
     forms = _set_forms(spark, folder)
-    routes = forms.agg(F.sum("weight")).first()[0]
-    bands, rows = tuning.bands_and_rows(SIGNATURE, tuning.lsh_threshold(routes, routes))
+    bands, rows = tuning.bands_and_rows(SIGNATURE, LSH_THRESHOLD)
     return forms, lsh.candidate_pairs(lsh.with_signature(forms, SIGNATURE), bands, rows)
 
 
@@ -413,9 +409,9 @@ def lsh_std_candidates(spark, folder):
 
 
 def lsh_refined_top5(spark, folder):
-    _, _, fa, fs = _tables(spark, folder, DRIVER_K)
+    actual, standard, fa, fs = _tables(spark, folder, DRIVER_K)
     sims = driver_top.lsh_similarity(fa, fs, SIGNATURE, STANDARD_LSH_THRESHOLD, CANONICAL)
-    top = driver_top.top_from_similarity(sims)
+    top = driver_top.top_from_similarity(sims, standard, actual)
     return top.select("driver", "rank", "std_no", _r("score", "score"))
 
 
@@ -530,7 +526,8 @@ def _recommended(spark, folder):
     actual = _routes(spark, folder)
     standard = _standard(actual)
     signed = cut_lineage(_signed(actual, False))
-    sizing = recommend.Sizing(DRIVER_K, SIGNATURE, _self_threshold(actual), 3, 10_000)
+    _, largest = tuning.cluster_bounds(tuning.forward_expansion(actual.count(), standard.count()))
+    sizing = recommend.Sizing(DRIVER_K, SIGNATURE, LSH_THRESHOLD, MIN_CLUSTER, largest)
     labels = recommend.cluster_routes(signed.drop("sig"), sizing, CANONICAL, REACH)
     labelled = cut_lineage(signed.join(labels, "rid"))
     return actual, standard, labelled, recommend.recommended(labelled, actual, "cosine", CANONICAL.alpha)
@@ -631,7 +628,7 @@ def cluster_purity(spark, folder):
 def _kmeans(spark, folder):
     actual = _routes(spark, folder)
     standard = _standard(actual)
-    return recommend.kmeans_recommended(actual, standard, standard.count(), max_iter=10)
+    return recommend.kmeans_recommended(actual, standard, standard.count(), max_iter=KMEANS_ROUNDS)
 
 
 def kmeans_labels(spark, folder):
@@ -645,8 +642,9 @@ def kmeans_clustroids(spark, folder):
 
 
 def route_svd(spark, folder):
-    vecs = cut_lineage(vx.pair_vectors(_actual(spark, folder), "rid"))
-    return vx.truncated_svd(vecs, 25).select("rid", "component", _r("value", "value", 6))
+    actual = _routes(spark, folder)
+    vecs = cut_lineage(vx.pair_vectors(actual, "rid"))
+    return vx.truncated_svd(vecs, _standard(actual).count()).select("rid", "component", _r("value", "value", 6))
 
 
 def positional_density(spark, folder):

@@ -1,4 +1,8 @@
-"""Rules that size the MinHash, the bands and the clusters from cheap counts."""
+"""Rules for the MinHash, the bands and the clusters.
+
+Those that look at counts are suggestions (see ``recommend.size_up``): the plans
+take their parameters from the caller, whatever the number of routes.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ import math
 
 # Fixed values: (upper bound of a count, setting below it); the last entry has no bound.
 THRESHOLD_BY_PAIRS = (
-    (100_000_001, 0.0),
+    (100_000_001, 0.0),  # up to 100,000,000 pairs
     (500_000_000, 0.1),
     (1_000_000_000, 0.2),
     (10_000_000_000, 0.4),
@@ -39,7 +43,7 @@ def signature_size(vocabulary: int) -> int:
 
 
 def lsh_threshold(left_rows: int, right_rows: int) -> float:
-    """The more pairs there are, the stricter the candidate search."""
+    """Suggested threshold: the more pairs, the stricter."""
     pairs = left_rows * right_rows
     return next(t for bound, t in THRESHOLD_BY_PAIRS if pairs < bound)
 
@@ -63,7 +67,7 @@ def bands_and_rows(columns: int, threshold: float) -> tuple[int, int]:
 
 
 def usable_k(k: int, shortest_route: int, distinct_shingles: int, routes: int) -> int:
-    """Fall back to pairs of cities when routes are too short or the vocabulary too large."""
+    """Suggested shingle length: pairs of cities when routes are too short or the vocabulary too large."""
     return 2 if shortest_route < 2 or distinct_shingles * routes > MAX_DENSE_SHINGLES else k
 
 

@@ -198,18 +198,32 @@ def fused_edges(
 ) -> DataFrame:
     """All form pairs with mean-fused distance <= reach: ``*group, a, b, d``.
 
-    The merchandise part is at least 0, so such a pair has a route distance of
-    at most reach / alpha; that is the Jaccard threshold of the join.
+    The fused similarity is a weighted mean, so one of its parts is at least
+    1 - reach: the pairs come from a join on shingles and, for those whose routes
+    alone are not alike enough, from a join on merchandise. Half cosine is never
+    below one half and has no such join; there reach must stay below alpha.
     """
-    if not 0 < reach < alpha:
-        raise ValueError("reach must lie between 0 and alpha: beyond it no shingle need be shared")
+    if not 0 < reach < 1:
+        raise ValueError("reach must lie between 0 and 1")
     if metric not in ("jaccard", "cosine"):
         raise ValueError("fused edges need a bounded merchandise metric")
-    pairs = jaccard_pairs(forms, 1 - reach / alpha, group)
+    if metric == "cosine" and reach >= alpha:
+        raise ValueError("with the cosine metric reach must be below alpha")
+    both = metric == "jaccard" and alpha < 1
+    least = 1 - reach if both else 1 - reach / alpha
+    found = jaccard_pairs(forms, least, group).select(*group, "pa", "pb", "jaccard")
+    if both:
+        sums = measures.pair_sums("pa", "pb")
+        loads = ruzicka_pairs(forms, least, group).withColumn(
+            "jaccard", measures.jaccard(sums["inter"], sums["na"], sums["nb"])
+        )
+        found = found.unionByName(
+            loads.filter(F.col("jaccard") < least - EPS).select(*group, "pa", "pb", "jaccard")
+        )
     sums = measures.pair_sums("pa", "pb")
     d = measures.fuse(
         1 - F.col("jaccard"), measures.merch_distance(metric, sums), "mean", alpha
     )
-    return pairs.select(
+    return found.select(
         *group, F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), d.alias("d")
     ).filter(F.col("d") <= reach + EPS)

@@ -110,7 +110,7 @@ CTES: dict[str, tuple[str, str]] = {
             FROM (SELECT driver, a, b, coalesce(inter, 0) inter, smin, dot FROM dix FULL JOIN dmx USING (driver, a, b)) p
             JOIN dforms x ON x.form = a JOIN dforms y ON y.form = b"""),
     "jpairs": ("dpairs", f"SELECT * FROM dpairs WHERE {JAC} >= {catalog.JACCARD_MIN} - 1e-9"),
-    "dedges": ("jpairs", f"""SELECT driver, a, b, 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) d FROM jpairs
+    "dedges": ("dpairs", f"""SELECT driver, a, b, 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) d FROM dpairs
             WHERE 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) <= {catalog.REACH} + 1e-9"""),
     "params": ("", _params(catalog.SIGNATURE, 17)),
     "mparams": ("", _params(catalog.MERCH_SIGNATURE, 29)),
@@ -132,25 +132,12 @@ B2, LIMIT2 = _lsh_limit(catalog.STANDARD_LSH_THRESHOLD)
 SIZE = catalog.SIGNATURE
 
 
-def _lsh_settings() -> str:
-    """Bands, rows and limit by the number of pairs."""
-    cases = {"bands": "", "rows": "", "lim": ""}
-    for bound, threshold in tuning.THRESHOLD_BY_PAIRS:
-        bands, rows = tuning.bands_and_rows(catalog.SIGNATURE, threshold)
-        limit = tuning.share_threshold(bands, rows)
-        when = "ELSE" if bound == float("inf") else f"WHEN n * n < {bound} THEN"
-        for name, value in (("bands", bands), ("rows", rows), ("lim", repr(limit) + "::DOUBLE")):
-            cases[name] += f" {when} {value}"
-    picked = ", ".join(f"CASE{text} END {name}" for name, text in cases.items())
-    return f"SELECT {picked} FROM (SELECT count(*) n FROM routes)"
-
-
-CTES["lshset"] = ("routes", _lsh_settings())
-CTES["bandsets"] = ("sig2 lshset sforms", """SELECT rid, i // "rows" band, string_agg(v::VARCHAR, ',' ORDER BY i) key
-    FROM sig2, lshset WHERE rid IN (SELECT form FROM sforms) GROUP BY rid, i // "rows" """)
-CTES["lsh"] = ("bandsets", """SELECT a.rid a, b.rid b, count(*) / any_value(bands) share
-    FROM bandsets a JOIN bandsets b ON a.band = b.band AND a.key = b.key AND a.rid < b.rid, lshset
-    GROUP BY a.rid, b.rid HAVING count(*) / any_value(bands) >= any_value(lim)""")
+BANDS, LIMIT = _lsh_limit(catalog.LSH_THRESHOLD)
+CTES["bandsets"] = ("sig2 sforms", f"""SELECT rid, i // {SIZE // BANDS} band, string_agg(v::VARCHAR, ',' ORDER BY i) key
+    FROM sig2 WHERE rid IN (SELECT form FROM sforms) GROUP BY rid, i // {SIZE // BANDS}""")
+CTES["lsh"] = ("bandsets", f"""SELECT a.rid a, b.rid b, count(*) / {BANDS} share
+    FROM bandsets a JOIN bandsets b ON a.band = b.band AND a.key = b.key AND a.rid < b.rid
+    GROUP BY a.rid, b.rid HAVING count(*) / {BANDS} >= {LIMIT!r}""")
 CTES["lshstd"] = ("bandstd stds", f"""SELECT a.rid, b.rid std_no, count(*) / {B2} share
     FROM bandstd a JOIN bandstd b ON a.band = b.band AND a.key = b.key
     WHERE b.rid IN (SELECT std_no FROM stds) GROUP BY ALL HAVING count(*) / {B2} >= {LIMIT2!r}""")
@@ -354,9 +341,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         kept, forms * (forms - 1) // 2 total, round((1 - kept / (forms * (forms - 1) // 2)) * 100, 6) saved
         FROM (SELECT count(*) forms, (SELECT count(*) FROM lsh) kept FROM sforms)"""),
     "lsh_std_candidates": ("lshstd", "SELECT rid, std_no, share FROM lshstd"),
-    "lsh_refined_top5": ("lshsims", TOP.format("""(SELECT driver, std_no, sum(sim) score FROM (
-        SELECT * FROM lshsims WHERE sim > 0
-        QUALIFY row_number() OVER (PARTITION BY rid ORDER BY round(sim, 9) DESC, std_no) = 1) GROUP BY driver, std_no)""")),
+    "lsh_refined_top5": ("lshsims routes stds", TOP.format("""(SELECT d.driver, s.std_no, coalesce(score, 0.0) score
+        FROM (SELECT DISTINCT driver FROM routes) d CROSS JOIN stds s LEFT JOIN (
+            SELECT driver, std_no, sum(sim) score FROM (SELECT * FROM lshsims WHERE sim > 0
+                QUALIFY row_number() OVER (PARTITION BY rid ORDER BY round(sim, 9) DESC, std_no) = 1) GROUP BY driver, std_no) v
+        ON v.driver = d.driver AND v.std_no = s.std_no)""")),
     "pair_vectors": ("pv", "SELECT rid, feature, round(x, 9) value FROM pv"),
     "driver_dominant_standard": ("pdom", "SELECT driver, sroute, round(mass, 6) mass FROM pdom"),
     "driver_ideal_pairvec": ("psum", """SELECT driver, rid, sroute, round(sum_d, 6) sum_d FROM psum
@@ -413,17 +402,18 @@ STATEMENTS: dict[str, tuple[str, str]] = {
 CTES["reach"] = ("dforms dedges", """SELECT form node, form c FROM dforms
     UNION SELECT e.y, r.c FROM reach r JOIN (SELECT a x, b y FROM dedges UNION ALL SELECT b, a FROM dedges) e ON e.x = r.node""")
 CTES["gforms"] = ("f2", """SELECT min(rid) form, count(*) weight, any_value(n) n, any_value(w) w FROM f2 GROUP BY sh, mk""")
-CTES["gpairs"] = ("gforms sh2", f"""SELECT p.a, p.b, inter / (x.n + y.n - inter) j, x.w wa, y.w wb
+CTES["gpairs"] = ("gforms sh2 merch", f"""SELECT coalesce(s.a, m.a) a, coalesce(s.b, m.b) b, coalesce(inter, 0) inter, coalesce(smin, 0) smin
     FROM (SELECT s.rid a, t.rid b, count(*) inter
           FROM (SELECT * FROM sh2 WHERE rid IN (SELECT form FROM gforms)) s
           JOIN (SELECT * FROM sh2 WHERE rid IN (SELECT form FROM gforms)) t
-          ON s.shingle = t.shingle AND s.rid < t.rid GROUP BY ALL) p
-    JOIN gforms x ON x.form = a JOIN gforms y ON y.form = b
-    WHERE inter / (x.n + y.n - inter) >= 1 - {catalog.DBSCAN_EPS} / 0.5 - 1e-9""")
-CTES["gedges"] = ("gpairs merch", f"""SELECT a, b FROM gpairs LEFT JOIN (
-        SELECT a, b, sum(least(x.qty, y.qty)) smin FROM gpairs JOIN merch x ON x.rid = a
-        JOIN merch y ON y.rid = b AND y.item = x.item GROUP BY ALL) m USING (a, b)
-    WHERE 0.5 * (1 - j) + 0.5 * (1 - coalesce(smin / nullif(wa + wb - smin, 0), 0)) <= {catalog.DBSCAN_EPS} + 1e-9""")
+          ON s.shingle = t.shingle AND s.rid < t.rid GROUP BY ALL) s
+    FULL JOIN (SELECT x.rid a, y.rid b, sum(least(x.qty, y.qty)) smin
+          FROM (SELECT * FROM merch WHERE rid IN (SELECT form FROM gforms)) x
+          JOIN (SELECT * FROM merch WHERE rid IN (SELECT form FROM gforms)) y
+          ON x.item = y.item AND x.rid < y.rid GROUP BY ALL) m ON s.a = m.a AND s.b = m.b""")
+CTES["gedges"] = ("gpairs", f"""SELECT a, b FROM (SELECT p.*, x.n na, y.n nb, x.w wa, y.w wb
+        FROM gpairs p JOIN gforms x ON x.form = a JOIN gforms y ON y.form = b)
+    WHERE 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) <= {catalog.DBSCAN_EPS} + 1e-9""")
 CTES["gboth"] = ("gedges", "SELECT a x, b y FROM gedges UNION ALL SELECT b, a FROM gedges")
 CTES["gcore"] = ("gforms gboth", f"""SELECT form, weight + coalesce(near, 0) >= {catalog.DBSCAN_MIN} core FROM gforms
     LEFT JOIN (SELECT x form, sum(weight) near FROM gboth JOIN gforms ON form = y GROUP BY x) USING (form)""")

@@ -17,7 +17,7 @@ from roadloom.settings import Settings
 
 @dataclass(frozen=True)
 class Sizing:
-    """Counts-driven choices; build it with :func:`size_up` or by hand."""
+    """What a clustering needs to be told; :func:`size_up` only suggests values."""
 
     k: int
     signature: int
@@ -27,7 +27,11 @@ class Sizing:
 
 
 def size_up(actual: DataFrame, standard: DataFrame, k: int = 3) -> Sizing:
-    """Derive all sizes from a handful of counts (scalars are all that reaches the driver)."""
+    """Suggest sizes from a handful of counts (scalars are all that reaches the driver).
+
+    A suggestion to look at: no plan or query takes its parameters from here, so
+    that results mean the same at every size.
+    """
     probe = ft.with_features(actual, k, merchandise=False)
     row = actual.agg(F.count("*").alias("n"), F.min(F.size("route")).alias("shortest")).first()
     plans = standard.count()
@@ -110,7 +114,7 @@ def one_to_one(matches: DataFrame) -> DataFrame:
 
 
 def kmeans_recommended(
-    actual: DataFrame, standard: DataFrame, k: int, seed: int = 1, max_iter: int = 20
+    actual: DataFrame, standard: DataFrame, k: int, seed: int = 1, max_iter: int = 300
 ) -> tuple[DataFrame, DataFrame]:
     """K-means on positional vectors: ``(labels, clustroids)``.
 
