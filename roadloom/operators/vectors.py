@@ -34,9 +34,9 @@ def _width(items: DataFrame) -> Column:
 
 
 def positional_rows(
-    routes: DataFrame, cities: DataFrame, items: DataFrame, key: str = "rid"
+    routes: DataFrame, cities: DataFrame, items: DataFrame, key: str = "rid", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``key, slot, value``: per trip the start code, the end code and each item's quantity.
+    """``key, *keep, slot, value``: per trip the start code, the end code and each item's quantity.
 
     Slots that would hold padding zeros are simply absent.
     """
@@ -50,24 +50,24 @@ def positional_rows(
             lambda e: F.struct(F.lit(2).alias("side"), e["key"].alias("value"), e["value"].alias("qty")),
         ),
     )
-    trips = routes.select(key, F.posexplode("route").alias("pos", "t"))
-    long = trips.select(key, "pos", F.inline(parts)).withColumn("is_item", F.col("side") == 2)
+    trips = routes.select(key, *keep, F.posexplode("route").alias("pos", "t"))
+    long = trips.select(key, *keep, "pos", F.inline(parts)).withColumn("is_item", F.col("side") == 2)
     codes = cities.withColumn("is_item", F.lit(False)).unionByName(
         items.withColumn("is_item", F.lit(True))
     )
     offset = F.when(F.col("is_item"), F.col("code") + 1).otherwise(F.col("side"))
     value = F.when(F.col("is_item"), F.col("qty")).otherwise(F.col("code"))
     return long.join(broadcast_if_small(codes), ["is_item", "value"]).select(
-        key, (F.col("pos") * _width(items) + offset).cast("int").alias("slot"), value.alias("value")
+        key, *keep, (F.col("pos") * _width(items) + offset).cast("int").alias("slot"), value.alias("value")
     )
 
 
 def positional_vectors(
-    routes: DataFrame, cities: DataFrame, items: DataFrame, key: str = "rid"
+    routes: DataFrame, cities: DataFrame, items: DataFrame, key: str = "rid", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The same as one sparse row per route."""
+    """The same as one sparse row per route; ``keep`` names columns that depend on the key."""
     pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("slot", "value"))))
-    return positional_rows(routes, cities, items, key).groupBy(key).agg(
+    return positional_rows(routes, cities, items, key, keep).groupBy(key, *keep).agg(
         pairs.alias("vec"), F.sum(F.col("value") * F.col("value")).alias("q")
     )
 
@@ -157,17 +157,17 @@ def vector_cosine_pairs(
     return pairs.withColumn("cosine", value).filter(F.col("cosine") >= threshold - EPS)
 
 
-def standard_cosine(actual: DataFrame, standard: DataFrame) -> DataFrame:
-    """``rid, std_no, sim`` for sparse vectors that share a slot; the planned side is broadcast if small."""
+def standard_cosine(actual: DataFrame, standard: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rid, *keep, std_no, sim`` for sparse vectors that share a slot; the planned side is broadcast if small."""
     left = actual.repartition("rid").select(
-        "rid", F.col("q").alias("qa"), F.explode("vec").alias("slot", "x")
+        "rid", *keep, F.col("q").alias("qa"), F.explode("vec").alias("slot", "x")
     )
     right = standard.select("std_no", F.col("q").alias("qb"), F.explode("vec").alias("slot", "y"))
     return (
         left.join(broadcast_if_small(right), "slot")
-        .groupBy("rid", "std_no", "qa", "qb")
+        .groupBy("rid", *keep, "std_no", "qa", "qb")
         .agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-        .select("rid", "std_no", measures.cosine(F.col("dot"), F.col("qa"), F.col("qb")).alias("sim"))
+        .select("rid", *keep, "std_no", measures.cosine(F.col("dot"), F.col("qa"), F.col("qb")).alias("sim"))
     )
 
 

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from roadloom.functions import hashing, measures, tuning
 from roadloom.operators import driver_scores as ds, minhash_lsh, standards as st, vectors
 from roadloom.operators.ordering import best_per
+from roadloom.session import broadcast_if_small, cut_lineage
 from roadloom.settings import Settings
 
+PLANS_IN_MEMORY = 20_000  # planned routes with signatures, a few kilobytes each
+
 
 def exact_similarity(actual: DataFrame, standard: DataFrame, settings: Settings) -> DataFrame:
     """All related pairs from feature tables, exact measures."""
@@ -30,12 +33,12 @@ def lsh_similarity(
     ``signature ruzicka`` (minima over maxima of the signature values).
     """
     bands, rows = tuning.bands_and_rows(signature, threshold)
-    left = minhash_lsh.with_signature(actual, signature)
-    right = minhash_lsh.with_signature(standard, signature)
+    left = cut_lineage(minhash_lsh.with_signature(actual, signature))
+    right = cut_lineage(minhash_lsh.with_signature(standard, signature))
     found = minhash_lsh.standard_candidates(left, right, bands, rows)
     columns = ["sig", "shingles", "n", "merch", "w", "q"]
     pairs = found.join(left.select("rid", "driver", "sroute", F.struct(*columns).alias("pa")), "rid").join(
-        right.select("std_no", F.struct(*columns).alias("pb")), "std_no"
+        broadcast_if_small(right.select("std_no", F.struct(*columns).alias("pb")), PLANS_IN_MEMORY), "std_no"
     )
     if route_measure == "estimate":
         route = hashing.matching_share("pa.sig", "pb.sig", signature)
@@ -58,12 +61,14 @@ def top_from_similarity(
 
 
 def positional_similarity(actual: DataFrame, standard: DataFrame) -> DataFrame:
-    """``rid, driver, std_no, sim`` of positional vectors built over both tables."""
+    """``rid, driver, std_no, sim`` of positional vectors built over both tables.
+
+    The driver travels with its route: nothing is joined to the pairs afterwards.
+    """
     cities, items = vectors.code_tables(actual, standard)
-    a = vectors.positional_vectors(actual, cities, items)
+    a = vectors.positional_vectors(actual, cities, items, keep=("driver",))
     s = vectors.positional_vectors(standard, cities, items, "std_no")
-    sims = vectors.standard_cosine(a, s)
-    return sims.join(actual.select("rid", "driver"), "rid").select("rid", "driver", "std_no", "sim")
+    return vectors.standard_cosine(a, s, ("driver",))
 
 
 def top_by_best_similarity(sims: DataFrame) -> DataFrame:
