@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from roadloom.llm.common import whole_text, with_row_id
 from roadloom.session import cut_lineage
 
-FALSE_RATE = 0.05
+FALSE_RATE = 0.01
 GRID = 100  # p-values are rounded up to this many steps a decade
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
