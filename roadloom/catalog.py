@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,9 @@ from roadloom.operators import minhash_lsh as lsh, reports, similarity_join as s
 from roadloom.operators import standards as st, vectors as vx
 from roadloom.operators.ordering import best_per
 from roadloom.plans import driver_top, ideal, recommend
-from roadloom.session import cut_lineage
+from roadloom.session import checkpoint_folder, cut_lineage
 from roadloom.settings import Settings
-from roadloom.sources import star
+from roadloom.sources import route_files, star
 
 K = 3
 DRIVER_K = 2  # in-driver comparisons: pairs of cities
@@ -557,6 +559,103 @@ def medoid_standard_match(spark, folder):
     return recommend.one_to_one(matches)
 
 
+# --- the steps after clustering, on labels that SQL knows too ---------------
+
+
+def _scored_by_trips(spark, folder):
+    """Routes of a driver with equally many trips as clusters, with their mean distances."""
+    actual = _routes(spark, folder)
+    signed = cut_lineage(_signed(actual, False))
+    means = cut_lineage(ideal.mean_distances(signed, "cosine", CANONICAL.alpha))
+    labels = actual.select("rid", "driver", F.size("route").alias("label"))
+    return actual, labels, means
+
+
+def cluster_scores_by_trips(spark, folder):
+    _, labels, means = _scored_by_trips(spark, folder)
+    return ideal.cluster_scores(labels, means).select("driver", "label", "size", _r("score", "score", 6))
+
+
+def _ideal_by_trips(spark, folder):
+    actual, labels, means = _scored_by_trips(spark, folder)
+    return ideal.fetch_routes(ideal.ideal_routes(labels, means), actual)
+
+
+def ideal_by_trips(spark, folder):
+    return _ideal_by_trips(spark, folder).select(
+        "driver", "rid", "label", _r("best", "best", 6), _r("mean", "mean", 6), F.array_join(shape.nodes(), ">").alias("path")
+    )
+
+
+def _labelled_by_plan(spark, folder):
+    """Routes of one plan as clusters, named by the plan's number."""
+    actual = _routes(spark, folder)
+    standard = _standard(actual)
+    signed = _signed(actual, False).join(standard.select("sroute", F.col("std_no").alias("label")), "sroute")
+    return actual, standard, cut_lineage(signed)
+
+
+def recommended_by_plan(spark, folder):
+    actual, _, labelled = _labelled_by_plan(spark, folder)
+    found = recommend.recommended(labelled, actual, "cosine", CANONICAL.alpha)
+    return found.select("new_no", "rid", "label", _r("mean_d", "mean_d", 6), F.array_join(shape.nodes(), ">").alias("path"))
+
+
+def improvement_by_plan(spark, folder):
+    actual, standard, labelled = _labelled_by_plan(spark, folder)
+    found = recommend.recommended(labelled, actual, "cosine", CANONICAL.alpha)
+    sims = st.standard_similarity(ft.with_features(actual, K), ft.with_features(standard, K), CANONICAL)
+    costs = reports.standard_distances(st.own_standard(sims, standard), standard)
+    rows = recommend.recommendation_report(found, costs)
+    return rows.select("measure", *[_r(c, c, 6) for c in ("clusters", "standards", "change")])
+
+
+def cluster_sizes_by_plan(spark, folder):
+    _, _, labelled = _labelled_by_plan(spark, folder)
+    return reports.cluster_sizes(labelled)
+
+
+def medoids_in_plan_order(spark, folder):
+    actual, standard, labelled = _labelled_by_plan(spark, folder)
+    sums = gs.fused_distance_sums(labelled, labelled, "label", "cosine", CANONICAL.alpha)
+    medoids = cut_lineage(gs.medoids(sums, "label"))
+    sims = st.standard_similarity(ft.with_features(actual, K), ft.with_features(standard, K), CANONICAL)
+    ordered = recommend.order_by_plan(medoids, recommend.medoid_matches(medoids, sims))
+    return ordered.select("new_no", "std_no", "rid", "label")
+
+
+# --- files written and read back --------------------------------------------
+
+
+def _file(spark, name: str) -> str:
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}/{name}.json"
+
+
+def written_plans(spark, folder):
+    path = _file(spark, "standard")
+    planned = _standard(_actual(spark, folder))
+    route_files.write_standard(planned.withColumnRenamed("std_no", "new_no"), path)
+    again = route_files.read_standard(spark, path, multiline=False)
+    return again.select("std_no", "sroute", F.size("route").alias("trips"), F.array_join(shape.nodes(), ">").alias("path"))
+
+
+def written_top5(spark, folder):
+    path = _file(spark, "driver")
+    actual, standard, sims = _sims(spark, folder)
+    route_files.write_driver_top(driver_top.top_from_similarity(sims, standard, actual), path)
+    again = spark.read.schema("driver long, routes array<string>").json(path)
+    ranked = again.select("driver", F.posexplode("routes").alias("place", "plan"))
+    return ranked.select("driver", (F.col("place") + 1).alias("rank"), route_files.number_of("plan").alias("std_no"))
+
+
+def written_ideal(spark, folder):
+    path = _file(spark, "perfectRoute")
+    found = _ideal_by_trips(spark, folder)
+    route_files.write_perfect(found.withColumn("driver", F.col("driver").cast("string")), path)
+    again = route_files.read_perfect(spark, path)
+    return again.select("driver", F.size("route").alias("trips"), F.array_join(shape.nodes(), ">").alias("path"))
+
+
 # --- positional vectors ---------------------------------------------------
 
 
@@ -731,6 +830,15 @@ QUERIES = {
     "recommended_routes": recommended_routes,
     "recommendation_report": recommendation_report,
     "medoid_standard_match": medoid_standard_match,
+    "cluster_scores_by_trips": cluster_scores_by_trips,
+    "ideal_by_trips": ideal_by_trips,
+    "recommended_by_plan": recommended_by_plan,
+    "improvement_by_plan": improvement_by_plan,
+    "cluster_sizes_by_plan": cluster_sizes_by_plan,
+    "medoids_in_plan_order": medoids_in_plan_order,
+    "written_plans": written_plans,
+    "written_top5": written_top5,
+    "written_ideal": written_ideal,
     "positional_vectors": positional_vectors,
     "decoded_routes": decoded_routes,
     "standard_spread": standard_spread,

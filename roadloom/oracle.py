@@ -424,6 +424,35 @@ STATEMENTS["dbscan_routes"] = ("gcore clabel gboth", """SELECT form node, coales
     FROM gcore LEFT JOIN clabel own ON own.node = form
     LEFT JOIN (SELECT x, min(label) AS label FROM gboth JOIN clabel ON node = y GROUP BY x) edge ON edge.x = form""")
 
+CTES["trips"] = ("dsum_cos routes", """SELECT d.driver, d.rid, r.trips AS label, d.sum_d / d.members AS mean_d, nodes
+    FROM dsum_cos d JOIN routes r USING (rid)""")
+CTES["tscore"] = ("trips", """SELECT driver, label, count(*) size, (1 - avg(mean_d)) * count(*) score FROM trips GROUP BY driver, label""")
+CTES["tideal"] = ("trips tscore", """SELECT driver, rid, label, nodes, min(mean_d) OVER (PARTITION BY driver) best, avg(mean_d) OVER (PARTITION BY driver) mean
+    FROM trips JOIN (SELECT driver, label FROM tscore
+        QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(score, 9), label) = 1) USING (driver, label)
+    QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(mean_d, 9), rid) = 1""")
+CTES["pmedoid"] = ("ssum_cos stds routes", """SELECT std_no AS label, rid, members, sum_d / members AS mean_d, r.nodes
+    FROM ssum_cos s JOIN stds USING (sroute) JOIN (SELECT rid, nodes FROM routes) r USING (rid)
+    QUALIFY row_number() OVER (PARTITION BY sroute ORDER BY round(sum_d, 9), rid) = 1""")
+STATEMENTS |= {
+    "cluster_scores_by_trips": ("tscore", "SELECT driver, label, size, round(score, 6) score FROM tscore"),
+    "ideal_by_trips": ("tideal", """SELECT driver, rid, label, round(best, 6) best, round(mean, 6) mean,
+        array_to_string(nodes, '>') path FROM tideal"""),
+    "recommended_by_plan": ("pmedoid", """SELECT row_number() OVER (ORDER BY label) - 1 new_no, rid, label,
+        round(mean_d, 6) mean_d, array_to_string(nodes, '>') path FROM pmedoid"""),
+    "improvement_by_plan": ("pmedoid std_costs", """SELECT measure, round(c, 6) clusters, round(s, 6) standards, round(c / s * 100 - 100, 6) change FROM (
+        SELECT 'mean' measure, (SELECT avg(mean_d) FROM pmedoid) c, (SELECT avg(mean_dist) FROM std_costs) s
+        UNION ALL SELECT 'std', (SELECT stddev_pop(mean_d) FROM pmedoid), (SELECT stddev_pop(mean_dist) FROM std_costs)
+        UNION ALL SELECT 'cv', (SELECT stddev_pop(mean_d) / avg(mean_d) FROM pmedoid), (SELECT stddev_pop(mean_dist) / avg(mean_dist) FROM std_costs))"""),
+    "cluster_sizes_by_plan": ("routes stds", "SELECT std_no AS label, count(*) size FROM routes JOIN stds USING (sroute) GROUP BY std_no"),
+    "medoids_in_plan_order": ("pmedoid best", """SELECT row_number() OVER (ORDER BY std_no) - 1 new_no, std_no, rid, label FROM (
+        SELECT b.std_no, p.rid, p.label FROM pmedoid p JOIN best b USING (rid)
+        QUALIFY row_number() OVER (PARTITION BY b.std_no ORDER BY members DESC, rid) = 1)"""),
+    "written_plans": ("stds", "SELECT std_no, 's' || std_no AS sroute, trips, array_to_string(nodes, '>') path FROM stds"),
+    "written_top5": ("padded", "SELECT driver, rank, std_no FROM (" + TOP.format("padded") + ")"),
+    "written_ideal": ("tideal", """SELECT driver::VARCHAR driver, (len(nodes) - 1)::INTEGER trips, array_to_string(nodes, '>') path FROM tideal"""),
+}
+
 
 def _ordered(names: list[str], done: list[str]) -> list[str]:
     for name in names:
