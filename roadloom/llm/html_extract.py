@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -215,6 +216,16 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return sums.groupBy("host").agg(first.alias("best")).select("host", "best.path")
 
 
+def _shrunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages compressed, as they are on their way to their host's path; a null page is empty."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for whole in batches:
+        for batch in slices(whole, "html"):
+            packed = [pack((source or "").encode()) for source in batch.column("html").to_pylist()]
+            columns = [batch.column("page_id"), batch.column("url"), pa.array(packed, pa.binary()), batch.column("host")]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "html", "host"])
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row.
 
@@ -223,11 +234,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for batch in slices(whole, "html"):
                 texts = [
-                    Page(source or "").text(path)
-                    for source, path in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())
+                    Page(unpack(packed).decode()).text(path)
+                    for packed, path in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
@@ -235,7 +247,10 @@ def main_text(pages: DataFrame) -> DataFrame:
                 )
 
     kind = dict(pages.dtypes)["page_id"]
-    joined = pages.select("page_id", "url", "html", _host("url").alias("host")).join(host_paths(pages), "host", "left")
+    small = pages.select("page_id", "url", "html", _host("url").alias("host")).mapInArrow(
+        _shrunk, f"page_id {kind}, url string, html binary, host string"
+    )
+    joined = small.join(host_paths(pages), "host", "left")
     return joined.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
 
