@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from roadloom.llm.common import slices
 
+SALTS = 64
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|textarea|title|noscript|template|iframe|svg|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -250,7 +252,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     small = pages.select("page_id", "url", "html", _host("url").alias("host")).mapInArrow(
         _shrunk, f"page_id {kind}, url string, html binary, host string"
     )
-    joined = small.join(host_paths(pages), "host", "left")
+    # a host may have a third of all pages: its pages go to SALTS places
+    paths = host_paths(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = small.withColumn("salt", F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(paths, ["host", "salt"], "left")
     return joined.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
 
