@@ -25,7 +25,7 @@ MERCH_SIGNATURE = 32
 LSH_THRESHOLD = 0.1  # driven with driven; the same for any number of routes
 STANDARD_LSH_THRESHOLD = 0.0  # driven with planned: any equal position
 JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
-REACH = 0.7  # clustering sees fused distances up to here
+REACH = 0.85  # clustering sees fused distances up to here
 DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
 MIN_CLUSTER = 3  # the tables hold no planted clusters: small ones count
 KMEANS_ROUNDS = 300  # K-means ends when it converges, at the latest here

@@ -12,7 +12,9 @@ NAMES = [
     "route_profile", "route_shingles_k3", "driver_pairs_jaccard", "driver_pairs_ruzicka",
     "std_similarity", "driver_top5", "driver_score_ratio", "divergence_summary", "lsh_candidates",
     "lsh_refined_top5", "driver_ideal_pairvec", "driver_mean_distance_jaccard", "components", "dbscan_routes",
-    "decoded_routes", "standard_spread", "tuning",
+    "decoded_routes", "standard_spread", "tuning", "driver_edges", "driver_top5_maxsim", "cluster_scores_by_trips",
+    "ideal_by_trips", "recommended_by_plan", "improvement_by_plan", "cluster_sizes_by_plan", "medoids_in_plan_order",
+    "written_plans", "written_top5", "written_ideal",
 ]
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
 
@@ -28,6 +30,11 @@ def test_same_as_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) == ""
 
 
+@needs_tables
+def test_clustering_queries_work_on_real_edges(spark):
+    assert entry.queries()["driver_edges"](spark, "/root/testdata/sf0.01").count() > 1000
+
+
 @needs_tables
 def test_entry(spark):
     top = entry.entry(spark)
