@@ -17,9 +17,12 @@ pieces of each length and looks their places up; no sequence is gathered anywher
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, repeat
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from roadloom.llm.common import slices, with_row_id
 from roadloom.session import cut_lineage
 
 CAPACITY, END_ID, GROUPS, SMALL_PART, BUCKETS = 4096, 1, 16, 3, 1024
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
 _MEMO: dict[str, tuple] = {}
 
 
@@ -43,66 +46,91 @@ def vocabulary_path() -> str:
 # --- tokens --------------------------------------------------------------------------------
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies spell bytes: printable ones as they are, others from 256 up."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokens:
     """Token ids of texts by way of their words, for tokenizers that drop white space.
 
     The vocabulary's splitting never joins across white space, so a text's ids
     are its words' ids in a row; each word is encoded once and remembered, up to
-    ``MEMO_WORDS`` words. Texts with special tokens' strings, or characters on
-    which Python's and the tokenizer's white space or lower case differ, are
-    encoded whole.
+    ``MEMO_WORDS`` words. A word of Latin letters is lowered and split here, by
+    the vocabulary's own pattern, and only its parts go to the model; other
+    words go through the whole tokenizer. So do texts with special tokens'
+    strings, or with characters on which Python's and the tokenizer's
+    white space or lower case differ.
     """
 
+    #: fixed values: the vocabulary's split pattern, for characters below U+0250
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|[\W_]+")
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
         self.forget()
 
     def forget(self) -> None:
         self.memo: dict[str, int] = {}
-        self.lengths, self.flat, self.n_flat = np.zeros(1024, np.int64), np.zeros(1 << 16, np.uint32), 0
-        self.starts = np.zeros(1024, np.int64)
+        self.parts: dict[str, bytes] = {}
+        self.lengths, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _part(self, part: str) -> bytes:
+        spelled = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+        found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        if len(self.parts) < MEMO_WORDS:
+            self.parts[part] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = normalize("NFC", word)
+            if max(word) >= "\u0250" or "\u0130" in word:
+                return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        known = self.parts
+        return b"".join([known.get(p) or self._part(p) for p in self.PARTS.findall(word.lower())])
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.forget()
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        at, total = len(self.memo), sum(map(len, found))
-        while at + len(words) > len(self.lengths):
-            self.lengths, self.starts = np.resize(self.lengths, 2 * len(self.lengths)), np.resize(self.starts, 2 * len(self.starts))
-        while self.n_flat + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.lengths[at : at + len(words)] = [len(x) for x in found]
-        self.starts[at : at + len(words)] = self.n_flat + np.cumsum([0, *map(len, found)])[:-1]
-        self.flat[self.n_flat : self.n_flat + total] = [i for x in found for i in x]
-        self.n_flat += total
-        self.memo.update(zip(words, range(at, at + len(words))))
+        found = [self._word(w) for w in words]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        self.memo.update(zip(words, range(len(self.memo), len(self.memo) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), "<u4")])
 
     def whole(self, text: str) -> bool:
         if any(s in text for s in self.special):
             return True
         return not text.isascii() and "Σ" in text or any(c in text for c in "\x1c\x1d\x1e\x1f")
 
-    def ids(self, text: str) -> np.ndarray:
-        if self.whole(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        try:
-            known = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            fresh = [w for w in dict.fromkeys(words) if w not in self.memo]
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        odd = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for i, t in enumerate(texts) if self.whole(t)}
+        split = [[] if i in odd else t.split() for i, t in enumerate(texts)]
+        words = list(chain.from_iterable(split))
+        known = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(known < 0).tolist()
+        if missing:
+            fresh = list(dict.fromkeys(words[i] for i in missing))
             if len(self.memo) + len(fresh) > MEMO_WORDS:
                 self.forget()
-                fresh = list(dict.fromkeys(words))
+                fresh, missing = list(dict.fromkeys(words)), range(len(words))
             self._learn(fresh)
-            known = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+            known[missing] = [self.memo[words[i]] for i in missing]
         length = self.lengths[known]
         ends = np.cumsum(length)
-        n = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.arange(n) + np.repeat(self.starts[known] - (ends - length), length)]
+        flat = self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[known] - (ends - length), length)]
+        bounds = np.append(0, ends)[np.cumsum([0, *map(len, split)])]
+        return [odd[i] if i in odd else flat[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
 
 
 def _word_tokens(path: str) -> WordTokens:
@@ -119,10 +147,10 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _word_tokens(path)
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, most=2 << 20):
                 rows: list[tuple] = []
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    ids = np.append(tokens.ids(text or ""), np.uint32(END_ID)).astype("<u4")
+                for i, ids in enumerate(tokens.ids([t or "" for t in batch.column("text").to_pylist()])):
+                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         part = ids[at : at + capacity]
                         rows.append((i, k, at, len(part), zlib.crc32(part.tobytes()), part if with_ids else None))
