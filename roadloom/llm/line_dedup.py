@@ -9,9 +9,9 @@ their whole sets. A line goes if it equals an earlier line or is similar to
 one; the order is (doc_id, line number).
 
 A line needs one earlier match only. So each line proposes, per shared token,
-the earliest line that passes the filters, and only lines whose proposals
-all fail are matched with everything that passes. A crowd of similar lines
-is therefore linear work. Equal lines are one entry per task before anything
+the ``ENOUGH`` earliest lines that pass the filters, and only lines that have
+more of them and whose proposals all fail are matched with everything that
+passes. A crowd of similar lines is therefore linear work. Equal lines are one entry per task before anything
 moves; what moves are packed arrays.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from roadloom.llm.common import Words, key_groups, mixed, slices, whole_text, with_row_id
 from roadloom.session import cut_lineage
 
-SIMILARITY, LEAST_WORDS = 0.8, 5
+SIMILARITY, LEAST_WORDS, ENOUGH = 0.8, 5, 4
 SHARD_BITS, SKETCH_BITS, CHUNK_BITS = 6, 23, 6
 TOKEN_BITS = 44
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -119,15 +119,20 @@ def _fixed_table(rows: DataFrame, add, bits: int) -> np.ndarray:
         some = np.flatnonzero(cells)
         yield from _packed(some // size, [(some % size).astype(np.uint32), np.minimum(cells[some], 65_535).astype(np.uint16)])
 
+    return _summed_table(rows.mapInArrow(count, _schema(2)), bits)
+
+
+def _summed_table(counts: DataFrame, bits: int) -> np.ndarray:
+    size = 1 << (bits - CHUNK_BITS)
+
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in key_groups(batches, ["shard"]):
             at, n = _unpacked(group, [np.uint32, np.uint16])
             cells = np.minimum(np.bincount(at, n, size), 65_535).astype(np.uint16)
             yield pa.RecordBatch.from_pydict({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), "c0": pa.array([cells.tobytes()], pa.binary())})
 
-    made = _dealt(rows.mapInArrow(count, _schema(2))).mapInArrow(total, _schema(1)).collect()
     out = np.zeros((1 << CHUNK_BITS, size), np.uint16)
-    for row in made:
+    for row in _dealt(counts).mapInArrow(total, _schema(1)).collect():
         out[row["shard"]] = np.frombuffer(row["c0"], np.uint16)
     return out.reshape(-1)
 
@@ -177,8 +182,11 @@ def _passes(x: np.ndarray, y: np.ndarray, bits, size, place) -> np.ndarray:
     return ok & (np.bitwise_count(bits[x] ^ bits[y]) <= m + n - 2 * need)
 
 
-def _proposals(entries: list[np.ndarray], open_lines: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (later line, earlier line): the earliest that passes per token, or for open lines all that pass."""
+def _proposals(entries: list[np.ndarray], open_lines: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (later line, earlier line) at each token, and whether a later line has more of them.
+
+    Per token the ``ENOUGH`` earliest lines that pass the filters; for open lines all that pass.
+    """
     token, key, bits, doc, line, size, place = entries
     order = np.lexsort((key, line, doc, token))
     token, key, bits, doc, line, size, place = (c[order] for c in (token, key, bits, doc, line, size, place))
@@ -189,35 +197,40 @@ def _proposals(entries: list[np.ndarray], open_lines: np.ndarray | None) -> tupl
     fresh[b[(token[a] == token[b]) & (key[a] == key[b])]] = False
     token, key, bits, size, place = (c[fresh] for c in (token, key, bits, size, place))
     if not len(token):
-        return key, key
+        return key, key, np.zeros(0, bool)
     first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     start = np.repeat(first, np.diff(np.append(first, len(token))))
     nth = np.arange(len(token)) - start
-    later, earlier = [], []
-    active, turn = np.flatnonzero(nth > 0), 0
+    later, earlier = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    active, turn, had = np.flatnonzero(nth > 0), 0, np.zeros(len(token), np.int64)
     if open_lines is not None:
-        wanted = open_lines[(key[active] & np.uint64(len(open_lines) - 1)).astype(np.int64)] > 0
-        active = active[wanted]
+        active = active[open_lines[(key[active] & np.uint64(len(open_lines) - 1)).astype(np.int64)] > 0]
+    more = np.zeros(len(token), bool)
     while len(active):
         x = start[active] + turn
         ok = _passes(x, active, bits, size, place)
-        later.append(key[active[ok]])
-        earlier.append(key[x[ok]])
+        later.append(active[ok])
+        earlier.append(x[ok])
+        had[active[ok]] += 1
         turn += 1
-        go = nth[active] > turn
-        active = active[go & ~ok] if open_lines is None else active[go]
-    return np.concatenate(later or [key[:0]]), np.concatenate(earlier or [key[:0]])
+        active = active[nth[active] > turn]
+        if open_lines is None:
+            full = had[active] >= ENOUGH
+            more[active[full]] = True
+            active = active[~full]
+    later = np.concatenate(later)
+    return key[later], key[np.concatenate(earlier)], more[later]
 
 
 def _candidates(entries: DataFrame, open_lines=None) -> DataFrame:
-    """``later, earlier``: distinct pairs of line keys."""
+    """``later, earlier, more``: distinct pairs of line keys; more: the later line may have further matches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in key_groups(batches, ["shard"]):
-            y, x = _proposals(_unpacked(group, _ENTRY), None if open_lines is None else open_lines.value)
-            yield pa.RecordBatch.from_arrays([pa.array(y.view(np.int64)), pa.array(x.view(np.int64))], ["later", "earlier"])
+            y, x, more = _proposals(_unpacked(group, _ENTRY), None if open_lines is None else open_lines.value)
+            yield pa.RecordBatch.from_arrays([pa.array(y.view(np.int64)), pa.array(x.view(np.int64)), pa.array(more)], ["later", "earlier", "more"])
 
-    return entries.mapInArrow(run, "later long, earlier long").distinct()
+    return entries.mapInArrow(run, "later long, earlier long, more boolean").groupBy("later", "earlier").agg(F.max("more").alias("more"))
 
 
 def _cells_of(columns: list[str], bits: int):
@@ -272,7 +285,7 @@ def _similar_to_earlier(docs: DataFrame, sketch) -> DataFrame:
     entries = _entries(docs, sketch)
     first = cut_lineage(_candidates(entries))
     found = cut_lineage(_verified(docs, first, sketch))
-    left = cut_lineage(first.select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
+    left = cut_lineage(first.filter("more").select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
     if left.isEmpty():
         return found
     cells = context.broadcast(_fixed_table(left, _cells_of(["key"], SKETCH_BITS), SKETCH_BITS))
@@ -294,19 +307,25 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     rows = with_row_id(docs.select("doc_id", "text"))
     texts = rows.select("doc_id", "text")
 
-    def cells(whole: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for batch in slices(whole):
-            yield (Words(batch.column("text")).hashes() >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-
-    sketch = docs.sparkSession.sparkContext.broadcast(_fixed_table(texts, cells, SKETCH_BITS))
-    similar = _similar_to_earlier(texts, sketch)
-
-    def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One reading of the texts: where lines are (shards from 0), and words' counts (shards from -1 down)."""
+        cells = np.zeros(1 << SKETCH_BITS, np.uint32)
         for whole in batches:
             for batch in slices(whole):
                 lines = Lines(batch)
                 rid = batch.column("rid__").to_numpy()[lines.doc]
                 yield from _packed(_shards(lines.key), [lines.key, lines.doc_id, rid, lines.line])
+                found, n = np.unique((lines.hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
+                cells[found] += n.astype(np.uint32)
+        some = np.flatnonzero(cells)
+        size = 1 << (SKETCH_BITS - CHUNK_BITS)
+        none = np.zeros(len(some), np.uint8)
+        yield from _packed(-1 - some // size, [(some % size).astype(np.uint32), np.minimum(cells[some], 65_535).astype(np.uint16), none, none])
+
+    parts = cut_lineage(rows.mapInArrow(read, _schema(4)))
+    counts = parts.filter("shard < 0").select((-1 - F.col("shard")).alias("shard"), "c0", "c1")
+    sketch = docs.sparkSession.sparkContext.broadcast(_summed_table(counts, SKETCH_BITS))
+    similar = _similar_to_earlier(texts, sketch)
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,8 +344,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
             out[1:] |= key[1:] == key[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(rid[out]), pa.array(line[out])], ["rid__", "line"])
 
-    parts = rows.mapInArrow(where, _schema(4)).unionByName(similar.mapInArrow(flagged, _schema(4)))
-    gone = _dealt(parts).mapInArrow(decide, "rid__ long, line int")
+    both = parts.filter("shard >= 0").unionByName(similar.mapInArrow(flagged, _schema(4)))
+    gone = _dealt(both).mapInArrow(decide, "rid__ long, line int")
     return gone.groupBy("rid__").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
