@@ -71,12 +71,19 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 
 
 def _name(points: np.ndarray, table: int) -> np.ndarray:
-    """A 64-bit name of lattice points (twice a point is whole)."""
+    """A 32-bit name of lattice points (twice a point is whole); points that share a name share a cell."""
     whole = (2 * points).astype(np.int64).view(np.uint64)
     out = np.full(points.shape[:-1], table + 1, np.uint64)
     for k in range(8):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + whole[..., k])
-    return out.view(np.int64)
+    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def unit_vectors(raw: np.ndarray) -> np.ndarray:
+    """Rows at length one, in double precision."""
+    raw = raw.astype(np.float64)
+    raw = raw / np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
 
 
 def cells(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +115,7 @@ def _cell_links(group: pa.Table, tables: int, probes: int, least: float) -> tupl
     n, table = group.num_rows, group.column("t")[0].as_py()
     cell, split = group.column("cell")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
     column = lambda c: group.column(c).combine_chunks()
-    units = column("unit").flatten().to_numpy().reshape(n, -1)
+    units = unit_vectors(column("vec").flatten().to_numpy().reshape(n, -1))
     home = column("home").flatten().to_numpy().reshape(n, tables)
     visits = column("visits").flatten().to_numpy().reshape(n, tables, probes)
     times, side = column("times").to_numpy(), column("side").to_numpy()
@@ -141,7 +148,8 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     component has an id, and kept is then true for the first row. Rows of equal
     id and vector count as copies; kept is true for each of them with the smallest id.
     """
-    rows = with_row_id(vectors.select("vec_id", "embedding")).withColumn("vec", F.col("embedding").cast("array<double>"))
+    number = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    rows = with_row_id(vectors.select("vec_id", "embedding")).withColumn("vec", F.col("embedding").cast(f"array<{number}>"))
     sound = (
         F.col("vec").isNotNull()
         & F.coalesce(F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False))
@@ -167,18 +175,17 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
             sizes = pc.list_value_length(batch.column("vec")).to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                raw = part.column("vec").flatten().to_numpy().reshape(-1, size)
-                raw = raw / np.abs(raw).max(axis=1, keepdims=True)
-                units = raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
-                home, visits = cells(units)
+                home, visits = cells(unit_vectors(part.column("vec").flatten().to_numpy().reshape(-1, size)))
                 lists = lambda a: pa.FixedSizeListArray.from_arrays(pa.array(a.reshape(-1)), a.size // len(a)).cast(pa.list_(pa.from_numpy_dtype(a.dtype)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("gid"), part.column("times"), lists(units), lists(home), lists(visits)],
-                    ["gid", "times", "unit", "home", "visits"],
+                    [part.column("gid"), part.column("times"), part.column("vec"), lists(home), lists(visits)],
+                    ["gid", "times", "vec", "home", "visits"],
                 )
 
-    placed = distinct.select("gid", "times", "vec").mapInArrow(
-        place, "gid long, times long, unit array<double>, home array<long>, visits array<long>"
+    placed = cut_lineage(
+        distinct.select("gid", "times", "vec").mapInArrow(
+            place, f"gid long, times long, vec array<{number}>, home array<int>, visits array<int>"
+        )
     )
     at = F.flatten(
         F.transform(
@@ -189,12 +196,17 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
             ),
         )
     )
-    meets = cut_lineage(placed).withColumn("size", F.size("unit")).withColumn("at", F.explode(at))
-    meets = meets.select("gid", "times", "unit", "home", "visits", "size", "at.t", "at.cell")
-    crowds = meets.groupBy("size", "t", "cell").agg(F.count("*").alias("n")).filter("n > 1")
+    # which cells have company is found without the vectors; each then moves once per such cell
+    narrow = placed.select("gid", F.size("vec").alias("size"), F.explode(at).alias("at")).select("gid", "size", "at.t", "at.cell")
+    crowds = narrow.groupBy("size", "t", "cell").agg(F.count("*").alias("n")).filter("n > 1")
+    company = (
+        narrow.join(crowds, ["size", "t", "cell"])
+        .groupBy("gid")
+        .agg(F.collect_list(F.struct("t", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))).alias("at"))
+    )
+    meets = placed.join(company, "gid").withColumn("size", F.size("vec")).withColumn("at", F.explode("at"))
     blocks = (
-        meets.join(crowds, ["size", "t", "cell"])
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        meets.select("gid", "times", "vec", "home", "visits", "size", "at.t", "at.cell", "at.blocks")
         .withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
@@ -221,7 +233,7 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
             )
 
     found = cut_lineage(
-        blocks.select(*key, "side", "gid", "times", "unit", "home", "visits")
+        blocks.select(*key, "side", "gid", "times", "vec", "home", "visits")
         .repartition(*key)
         .sortWithinPartitions(*key)
         .mapInArrow(compare, "a long, b long, n long")
