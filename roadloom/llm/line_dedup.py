@@ -149,8 +149,11 @@ def _least_overlap(m: np.ndarray, n: np.ndarray) -> np.ndarray:
 _ENTRY = [np.uint64, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32]
 
 
-def _entries(docs: DataFrame, sketch) -> DataFrame:
-    """Prefix entries of every line, by shards of tokens; words that occur once anywhere can't meet another."""
+def _entries(docs: DataFrame, sketch, wanted=None) -> DataFrame:
+    """Prefix entries of every line, by shards of tokens; words that occur once anywhere can't meet another.
+
+    wanted: a table of the only tokens asked for (and some more that share its cells).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sketch.value
@@ -166,6 +169,8 @@ def _entries(docs: DataFrame, sketch) -> DataFrame:
                 bits = np.uint64(1) << (mixed(tokens) & np.uint64(63))
                 parity = np.bitwise_xor.reduceat(bits, begin) if len(begin) else np.zeros(0, np.uint64)
                 use = (place < _prefix(size)[line]) & ((tokens >> np.uint64(TOKEN_BITS - 16)) > 1)
+                if wanted is not None:
+                    use &= wanted.value[_token_cells(tokens)] > 0
                 token, line, place = tokens[use], line[use], place[use]
                 at = which[line]
                 columns = [token, lines.key[at], parity[line], lines.doc_id[at], lines.line[at], size[line].astype(np.int32), place.astype(np.int32)]
@@ -241,8 +246,18 @@ def _cells_of(columns: list[str], bits: int):
     return add
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> DataFrame:
-    """``key``: lines with a verified earlier match among the pairs."""
+def _token_cells(tokens: np.ndarray) -> np.ndarray:
+    return (mixed(tokens) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+
+
+def _prefix_cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for packed in batch.column("tokens").to_pylist():
+        tokens = np.frombuffer(packed, np.uint64)
+        yield _token_cells(tokens[: int(_prefix(np.array([len(tokens)]))[0])])
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> tuple[DataFrame, DataFrame]:
+    """``key``: lines with a verified earlier match among the pairs; and ``key, tokens`` of all their lines."""
     needed = docs.sparkSession.sparkContext.broadcast(_fixed_table(pairs, _cells_of(["later", "earlier"], SKETCH_BITS), SKETCH_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,22 +291,24 @@ def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> DataFrame:
                 near[i] = common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("later").filter(pa.array(near))], ["key"])
 
-    return both.mapInArrow(check, "key long").distinct()
+    return both.mapInArrow(check, "key long").distinct(), sets
 
 
 def _similar_to_earlier(docs: DataFrame, sketch) -> DataFrame:
     """``key`` of every line that is similar to an earlier, different one."""
     context = docs.sparkSession.sparkContext
-    entries = _entries(docs, sketch)
-    first = cut_lineage(_candidates(entries))
-    found = cut_lineage(_verified(docs, first, sketch))
+    first = cut_lineage(_candidates(_entries(docs, sketch)))
+    found, sets = _verified(docs, first, sketch)
+    found = cut_lineage(found)
     left = cut_lineage(first.filter("more").select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
     if left.isEmpty():
         return found
+    # the second round moves only entries at the tokens of lines that are still open
     cells = context.broadcast(_fixed_table(left, _cells_of(["key"], SKETCH_BITS), SKETCH_BITS))
-    rest = _candidates(entries, cells).join(left.withColumnRenamed("key", "later"), "later", "left_semi")
+    wanted = context.broadcast(_fixed_table(sets.join(left, "key", "left_semi").select("tokens"), _prefix_cells, SKETCH_BITS))
+    rest = _candidates(_entries(docs, sketch, wanted), cells).join(left.withColumnRenamed("key", "later"), "later", "left_semi")
     rest = cut_lineage(rest.join(first, ["later", "earlier"], "left_anti"))
-    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch))
+    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch)[0])
 
 
 _WHERE = [np.uint64, np.int64, np.int64, np.int32]
