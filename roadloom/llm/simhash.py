@@ -11,51 +11,73 @@ node pairs at a time. A node with more than ``BLOCK`` rows is cut into blocks
 that meet in separate cells, so neither tasks nor memory grow with a crowd.
 
 What leaves a cell is a spanning forest of its links, not the links.
+
+Dropping near copies (:func:`drop_near_copies`) is by similarity, not by bits:
+two texts are linked if their sets of five-word shingles have a Jaccard
+similarity of 0.8 or more. The same walk proposes pairs, with a budget that
+covers that similarity, and each proposed link is verified on the whole sets. A
+pair at exactly 0.8 differs in 9.7 of 64 bits on average with a deviation of
+2.9, so about 2 of 100 such pairs pass the budget of 15 bits unseen, and fewer
+above. Up to a quarter of the budget may lie in the top of a trie, hence a
+fingerprint also goes to the nodes two and three bits away.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import Forest, key_groups, only_rows, slices, with_row_id
+from roadloom.llm.common import Forest, key_groups, mixed, only_rows, slices, with_row_id
 from roadloom.operators.components import connected_components
 from roadloom.session import cut_lineage
 
 WORDS, MOST_BITS, SEED = 4, 4, 42
+#: for dropping near copies; CHECK_BITS of a second, independent fingerprint are five deviations above the mean at 0.8
+NEAR_WORDS, SIMILARITY, NEAR_BITS, CHECK_BITS = 5, 0.8, 15, 25
 QUARTERS, QUARTER_BITS, BLOCK, PER_NODE = 4, 16, 4096, 512
-LEAF, CHUNK = 32, 1 << 21
+LEAF, CHUNK, PAIRS_PER_ROW = 32, 1 << 21, 8
 
 
 # --- fingerprints --------------------------------------------------------------------------
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """64 majority bits over the XXH64 of each shingle; zero without words."""
+def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The XXH64 of each shingle; of the whole text if it has fewer words, none without words."""
     from xxhash import xxh64_intdigest
 
     found = text.lower().split()  # bytes: ASCII letters and ASCII white space
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(found)
     length = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(length + 1) - 1
     starts = (ends - length).tolist()
     if len(found) < words:
-        hashes = np.array([xxh64_intdigest(line, SEED)], np.uint64)
-    else:
-        last = ends[words - 1 :].tolist()
-        hashes = np.fromiter((xxh64_intdigest(line[s:e], SEED) for s, e in zip(starts, last)), np.uint64, len(last))
+        return np.array([xxh64_intdigest(line, SEED)], np.uint64)
+    last = ends[words - 1 :].tolist()
+    return np.fromiter((xxh64_intdigest(line[s:e], SEED) for s, e in zip(starts, last)), np.uint64, len(last))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 majority bits over the hashes; zero without any."""
+    if not len(hashes):
+        return 0
     lanes = np.unpackbits(hashes.view(np.uint8), bitorder="little").view(np.uint64).reshape(-1, 8)
     sums = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)  # byte lanes hold up to 255
     votes = sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """64 majority bits over the XXH64 of each shingle; zero without words."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``rid__, doc_id, fp`` (a signed 64-bit integer) for every row; a null text is empty."""
 
@@ -154,21 +176,41 @@ def cell_links(turned: np.ndarray, probe: np.ndarray, side: np.ndarray, split: b
     turned, probe, side = turned[order], probe[order], side[order]
     forest = Forest(len(turned))
 
-    def join(a: np.ndarray, b: np.ndarray | None, differ: int) -> None:
-        other = None if b is None else turned[b]
-        for i, j in walk(turned[a], other, depth, differ, most, head):
-            forest.link(a[i], (a if b is None else b)[j])
+    for i, j in _meetings(turned, probe, side, split, depth, most, head):
+        forest.link(i, j)
+    a, b = forest.edges()
+    return turned[a], turned[b]
+
+
+def _meetings(turned: np.ndarray, probe: np.ndarray, side: np.ndarray, split: bool, depth: int, most: int, head: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of near fingerprints in one cell of sorted ``turned``, in bulk."""
+
+    def met(a: np.ndarray, b: np.ndarray | None, differ: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i, j in walk(turned[a], None if b is None else turned[b], depth, differ, most, head):
+            yield a[i], (a if b is None else b)[j]
 
-    rows = {(p, s): np.flatnonzero((probe == p) & (side == s)) for p in (0, 1) for s in (0, 1)}
+    rows = {(p, s): np.flatnonzero((probe == p) & (side == s)) for p in range(head + 1) for s in (0, 1)}
     if split:
-        join(rows[0, 0], rows[0, 1], 0)
-        join(rows[0, 0], rows[1, 1], 1)
-        join(rows[0, 1], rows[1, 0], 1)
+        yield from met(rows[0, 0], rows[0, 1], 0)
     else:
-        join(rows[0, 0], None, 0)
-        join(rows[0, 0], rows[1, 0], 1)
-    a, b = forest.edges()
-    return turned[a], turned[b]
+        yield from met(rows[0, 0], None, 0)
+    for p in range(1, head + 1):
+        yield from met(rows[0, 0], rows[p, int(split)], p)
+        if split:
+            yield from met(rows[0, 1], rows[p, 0], p)
+
+
+def thinned(forest: Forest, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs to take so that they join all that the pairs join, at most two per row; the forest learns them."""
+    taken, left = [], np.arange(len(i))
+    while len(left):
+        a, b = forest.up[i[left]], forest.up[j[left]]
+        left, a, b = left[a != b], a[a != b], b[a != b]
+        if len(left):
+            some = left[np.union1d(np.unique(a, return_index=True)[1], np.unique(b, return_index=True)[1])]
+            forest.link(i[some], j[some])
+            taken.append(some)
+    return np.concatenate([np.zeros(0, np.int64), *taken])
 
 
 # --- the operator --------------------------------------------------------------------------
@@ -179,34 +221,43 @@ def _turn(quarter: int):
     return F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by)) if by else F.col("fp")
 
 
-def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """``a, b``: edges that connect just what links of at most ``most`` differing bits connect. fps: distinct ``fp``."""
-    head = most // QUARTERS
-    n = fps.count()
-    depth = min(QUARTER_BITS, max(6, (n // PER_NODE).bit_length()))
+def _depth(n: int) -> int:
+    return min(QUARTER_BITS, max(6, (n // PER_NODE).bit_length()))
+
+
+def _cells(fps: DataFrame, depth: int, head: int) -> DataFrame:
+    """A row per visit of a fingerprint to a cell, with the other columns of ``fps``.
+
+    A pair whose nodes differ in up to ``head`` bits meets at the lower node,
+    where ``probe`` is the number of bits the visitor's own node is away.
+    """
+    rest = [c for c in fps.columns if c != "fp"]
     own = F.col("node")
-    visits = F.array(*[F.when(own.bitwiseAND(1 << b) != 0, own.bitwiseXOR(F.lit(1 << b).cast("long"))) for b in range(depth)])
+    masks = [sum(1 << b for b in bits) for k in range(1, head + 1) for bits in combinations(range(depth), k)]
+    visits = F.filter(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: own.bitwiseXOR(m) < own)
     turned = fps.select(
-        F.explode(F.array(*[F.struct(F.lit(q).alias("trie"), _turn(q).alias("turned")) for q in range(QUARTERS)])).alias("x")
-    ).select("x.trie", "x.turned", F.shiftrightunsigned("x.turned", 64 - depth).alias("node"))
+        *rest, F.explode(F.array(*[F.struct(F.lit(q).alias("trie"), _turn(q).alias("turned")) for q in range(QUARTERS)])).alias("x")
+    ).select(*rest, "x.trie", "x.turned", F.shiftrightunsigned("x.turned", 64 - depth).alias("node"))
     rows = turned.select(
         "trie",
         "turned",
+        *rest,
         F.explode(
             F.concat(
                 F.array(F.struct(own.alias("node"), F.lit(0).alias("probe"))),
-                F.transform(F.filter(visits, lambda v: v.isNotNull()), lambda v: F.struct(v.alias("node"), F.lit(1).alias("probe"))),
+                F.transform(visits, lambda m: F.struct(own.bitwiseXOR(m).alias("node"), F.bit_count(m).alias("probe"))),
             )
             if head
             else F.array(F.struct(own.alias("node"), F.lit(0).alias("probe")))
         ).alias("at"),
-    ).select("trie", "turned", "at.node", "at.probe")
-    crowds = rows.groupBy("trie", "node").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
-    blocks = F.ceil(F.coalesce("n", F.lit(1)) / BLOCK).cast("int")
-    cells = (
+    ).select("trie", "turned", *rest, "at.node", "at.probe")
+    most = BLOCK * max(1, head * head)  # further probes only meet a node's own rows
+    crowds = rows.groupBy("trie", "node").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    blocks = F.ceil(F.coalesce("n", F.lit(1)) / most).cast("int")
+    return (
         rows.join(crowds, ["trie", "node"], "left")
         .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("turned"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("turned", *rest[:1]), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "trie",
@@ -216,12 +267,22 @@ def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
             (F.col("block") > F.col("other")).cast("int").alias("side"),
             "probe",
             "turned",
+            *rest,
         )
     )
-    key = ["trie", "node", "i", "j"]
+
+
+_CELL = ["trie", "node", "i", "j"]
+
+
+def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """``a, b``: edges that connect just what links of at most ``most`` differing bits connect. fps: distinct ``fp``."""
+    head = most // QUARTERS
+    depth = _depth(fps.count())
+    cells = _cells(fps, depth, head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in key_groups(batches, key):
+        for cell in key_groups(batches, _CELL):
             if cell.num_rows < 2:
                 continue
             quarter, i, j = (cell.column(c)[0].as_py() for c in ("trie", "i", "j"))
@@ -232,7 +293,7 @@ def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
                 found = [(x >> by) | (x << (np.uint64(64) - by)) for x in found]
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in found], ["a", "b"])
 
-    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
+    return cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, most: int = MOST_BITS) -> DataFrame:
@@ -261,9 +322,164 @@ def near_groups(docs: DataFrame, words: int = WORDS, most: int = MOST_BITS) -> D
     )
 
 
+# --- dropping near copies by verified similarity -----------------------------------------------
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """``rid__, doc_id, key, fp, check, size``: the hash, two fingerprints and the size of each text's set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                found = []
+                for text in batch.column("text").cast(pa.large_binary()).to_pylist():
+                    shingles = np.unique(shingle_hashes(text or b"", words))
+                    other = mixed(shingles)
+                    key = mixed(np.array([other.sum(dtype=np.uint64) + np.uint64(len(other))]))[0]
+                    found.append((key, majority(shingles), majority(other), len(shingles)))
+                numbers = np.array(found, np.uint64).reshape(-1, 4).T
+                columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in numbers]
+                yield pa.RecordBatch.from_arrays([batch.column("rid__"), batch.column("doc_id"), *columns], ["rid__", "doc_id", "key", "fp", "check", "size"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return with_row_id(docs.select("doc_id", "text")).mapInArrow(run, f"rid__ long, doc_id {kind}, key long, fp long, check long, size long")
+
+
+def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded: DataFrame | None = None) -> DataFrame:
+    """``a, b, trie, node, i, j``: pairs of keys within the bits and sizes of the similarity.
+
+    nodes: ``fp, key, size, label``; pairs with equal labels are left out. A cell
+    with more than ``PAIRS_PER_ROW`` pairs for each of its rows only gives pairs
+    that join all that its pairs join, and its name. crowded: the only cells
+    asked for, which give all pairs.
+    """
+    head = most // QUARTERS
+    cells = _cells(nodes.select("fp", "key", "size", "label"), depth, head)
+    if crowded is not None:
+        cells = cells.join(crowded, _CELL, "left_semi")
+    whole = crowded is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in key_groups(batches, _CELL):
+            if cell.num_rows < 2:
+                continue
+            name = [cell.column(c)[0].as_py() for c in _CELL]
+            order = np.argsort(cell.column("turned").to_numpy().view(np.uint64), kind="stable")
+            turned, probe, side, key, size, label = (cell.column(c).to_numpy()[order] for c in ("turned", "probe", "side", "key", "size", "label"))
+            held, n, forest = [], 0, None
+            for i, j in _meetings(turned.view(np.uint64), probe, side, name[2] != name[3], depth, most, head):
+                ok = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
+                i, j = i[ok], j[ok]
+                n += len(i)
+                if forest is None and not whole and n > PAIRS_PER_ROW * len(turned):
+                    forest = Forest(len(turned))
+                    i, j = (np.concatenate([*(h[k] for h in held), x]) for k, x in enumerate((i, j)))
+                    held = []
+                if forest is not None:
+                    some = np.argsort(np.bitwise_count(turned[i].view(np.uint64) ^ turned[j].view(np.uint64)), kind="stable")
+                    i, j = i[some], j[some]
+                    some = thinned(forest, i, j)
+                    i, j = i[some], j[some]
+                if whole:
+                    yield from _pair_rows(key[i], key[j], None)
+                else:
+                    held.append((i, j))
+            for i, j in held:
+                yield from _pair_rows(key[i], key[j], name if forest is not None else None)
+
+    return cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(run, "a long, b long, trie int, node long, i int, j int")
+
+
+def _pair_rows(a: np.ndarray, b: np.ndarray, cell: list | None) -> Iterator[pa.RecordBatch]:
+    """Pairs in the order of their keys; the cell is named if it holds more."""
+    if len(a):
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32())
+        names = [pa.array([None if cell is None else cell[k]] * len(a), kind) for k, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *names], ["a", "b", *_CELL])
+
+
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. rows: one row per key."""
+    sketch = rows.select("key", "check")
+    likely = (
+        pairs.join(sketch.select(F.col("key").alias("a"), F.col("check").alias("ca")), "a")
+        .join(sketch.select(F.col("key").alias("b"), F.col("check").alias("cb")), "b")
+        .filter(F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= CHECK_BITS)
+        .select("a", "b")
+    )
+    likely = cut_lineage(likely)
+    asked = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    wanted = rows.join(asked, "key", "left_semi").select("rid__", "key")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+                found = [np.unique(shingle_hashes(t or b"", words)).tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
+
+    texts = with_row_id(docs.select("text")).join(wanted, "rid__").select("key", "text")
+    shingles = cut_lineage(texts.mapInArrow(sets, "key long, shingles binary"))
+    both = (
+        likely.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(shingles.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", "x", "y")
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = np.zeros(batch.num_rows, bool)
+            for k, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                near[k] = common >= similarity * (len(x) + len(y) - common) - 1e-9
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return cut_lineage(both.mapInArrow(check, "a long, b long"))
+
+
+def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    """``rid__, doc_id, component_id, kept`` for every row; linked are texts of at least the similarity.
+
+    Texts with the same set of shingles are one node. A crowded cell first gives
+    only pairs that would join all its rows, and once these are verified the
+    pairs that are still in different components. ``kept`` as in
+    :func:`near_groups`.
+    """
+    rows = cut_lineage(_sets(docs, words))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid__")
+    nodes = cut_lineage(
+        rows.groupBy("key").agg(F.min(name).alias("best"), F.first("fp").alias("fp"), F.first("check").alias("check"), F.first("size").alias("size"))
+    )
+    one = nodes.select("key", "fp", "check", "size", F.col("best.rid__").alias("rid__"))
+    depth = _depth(nodes.count())
+
+    def joined(edges: DataFrame) -> DataFrame:
+        ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = connected_components(edges, ends).select(F.col("node").alias("key"), "component")
+        return cut_lineage(one.join(sets, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component"))
+
+    first = cut_lineage(proposed(one.withColumn("label", F.col("key")), most, similarity, depth))
+    tried = first.select("a", "b").distinct()
+    edges = _verified(docs, one, tried, words, similarity)
+    labelled = joined(edges)
+    crowded = cut_lineage(first.filter("trie IS NOT NULL").select(*_CELL).distinct())
+    if not crowded.isEmpty():
+        rest = proposed(labelled, most, similarity, depth, crowded).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        rest = cut_lineage(rest)
+        if not rest.isEmpty():
+            labelled = joined(edges.unionByName(_verified(docs, one, rest, words, similarity)))
+    grouped = nodes.select("key", "best").join(labelled.select("key", "label"), "key")
+    best = grouped.groupBy("label").agg(F.min("best").alias("first"))
+    decided = grouped.select("key", "label").join(best, "label").select("key", "first")
+    return rows.join(decided, "key").select(
+        "rid__", "doc_id", F.col("first.doc_id").alias("component_id"), (F.col("rid__") == F.col("first.rid__")).alias("kept")
+    )
+
+
 def drop_near_copies(docs: DataFrame, columns: list[str], **params) -> DataFrame:
-    """One row of each component, with the named columns."""
-    return only_rows(docs, near_groups(docs, **params).filter("kept"), columns)
+    """One row of each component of similar texts, with the named columns."""
+    return only_rows(docs, similar_groups(docs, **params).filter("kept"), columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -183,3 +183,40 @@ def test_e8_decoding_is_nearest():
     own = ((x - point) ** 2).sum(axis=1)
     for v in lattice._neighbours():
         assert (own <= ((x - point - v) ** 2).sum(axis=1) + 1e-9).all()
+
+
+def _shingles(text):
+    found = (text or "").lower().split()
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)} or {tuple(found)}
+
+
+@pytest.mark.parametrize("per_row", [8, 0])
+def test_near_copies_dropped_by_similarity(spark, monkeypatch, per_row):
+    """Planted pairs at 0.8 to 0.95 go, chains and crowds as brute force joins them; pairs below 0.8 stay."""
+    monkeypatch.setattr(simhash, "PAIRS_PER_ROW", per_row)
+    rng, texts = np.random.default_rng(11), []
+    for i in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 205)]
+        texts.append(" ".join(base))
+        for changes in ((1, 2, 3, 4)[i % 4], 8):  # each change takes 5 of 201 shingles
+            other = list(base)
+            for at in range(changes):
+                other[10 + 20 * at] = f"x{i}y{at}z{changes}"
+            texts.append(" ".join(other))
+    crowd = texts[0].split()
+    for i in range(40):
+        crowd[rng.integers(0, 205)] = f"c{i}"
+        texts.append(" ".join(crowd))
+    texts += ["", None, "short", "short one", texts[5].upper()]
+    sets = [_shingles(t) for t in texts]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    group = _groups(range(len(texts)), near)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    assert found == group
+    left = simhash.drop_near_copies(docs, ["doc_id"]).collect()
+    assert sorted(r.doc_id for r in left) == sorted(set(group.values()))
+
+
+def test_near_copies_empty_table(empty):
+    assert simhash.similar_groups(empty).count() == 0
