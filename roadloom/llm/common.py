@@ -1,8 +1,9 @@
 """What the corpus operators share: reading tables, row identities, arrays of words.
 
 Rows are named by a row id inside an operator, because doc_id may be null or
-repeated. The id follows the input's partitions, so an operator takes a stable
-input: files, a checkpoint or a local relation.
+repeated. :func:`with_row_id` follows the input's partitions and so is for one
+reading only: a second scan may be split otherwise. Where rows are decided on in
+one reading and taken in another, :func:`with_fixed_id` names them.
 """
 
 from __future__ import annotations
@@ -13,10 +14,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom.session import cut_lineage
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+ROW_BITS = 36
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +29,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_row_id(docs: DataFrame, name: str = "rid__") -> DataFrame:
-    return docs.withColumn(name, F.monotonically_increasing_id())
+    """The rows with an id that holds for one reading; an id they have stays."""
+    return docs if name in docs.columns else docs.withColumn(name, F.monotonically_increasing_id())
+
+
+def with_fixed_id(docs: DataFrame, name: str = "rid__") -> DataFrame:
+    """The rows with an id that is the same in every reading, however the scan is split.
+
+    Of a Parquet scan: the file's number, by path, and the row's number in the
+    file. Any other input is materialised once, with its ids.
+    """
+    if name in docs.columns:
+        return docs
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    try:
+        if plan.nodeName() != "LogicalRelation":
+            raise AnalysisException("not a scan of files")
+        placed = docs.select("*", F.col("_metadata.file_path").alias("file__"), F.col("_metadata.row_index").alias("row__"))
+    except AnalysisException:
+        return cut_lineage(with_row_id(docs, name))
+    files = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), "number__ long, file__ string")
+    return placed.join(F.broadcast(numbers), "file__").select(*docs.columns, (F.shiftleft("number__", ROW_BITS) + F.col("row__")).alias(name))
 
 
 def whole_text(column: str = "text") -> Column:
@@ -38,8 +66,8 @@ def fold(column: str, modulus: int) -> Column:
 
 
 def only_rows(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of ``docs`` whose row id is in ``kept`` (one column rid__), with the named columns."""
-    return with_row_id(docs.select(*columns)).join(kept.select("rid__"), "rid__", "left_semi").select(*columns)
+    """The rows of ``docs`` (with fixed ids) whose row id is in ``kept``, with the named columns."""
+    return docs.select("rid__", *columns).join(kept.select("rid__"), "rid__", "left_semi").select(*columns)
 
 
 # --- words of whole Arrow columns, without a Python object per word ---------------------------

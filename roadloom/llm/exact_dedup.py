@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import only_rows, whole_text, with_row_id
+from roadloom.llm.common import only_rows, whole_text, with_fixed_id, with_row_id
 from roadloom.session import cut_lineage
 
 BITS, ROUNDS = 4, 3
@@ -80,6 +80,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame, columns: list[str]) -> DataFrame:
     """One row of each group of equal texts, with the named columns."""
+    docs = with_fixed_id(docs)
     return only_rows(docs, exact_groups(docs).filter("kept"), columns)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import Words, key_groups, mixed, slices, whole_text, with_row_id
+from roadloom.llm.common import Words, key_groups, mixed, slices, whole_text, with_fixed_id
 from roadloom.session import cut_lineage
 
 SIMILARITY, LEAST_WORDS, ENOUGH = 0.8, 5, 4
@@ -321,7 +321,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     null id comes after all others; of repeated rows the first keeps its lines.
     Lines are named by 64 bits of hash. doc_id must be a whole number.
     """
-    rows = with_row_id(docs.select("doc_id", "text"))
+    rows = with_fixed_id(docs).select("rid__", "doc_id", "text")
     texts = rows.select("doc_id", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,16 +368,17 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, columns: list[str]) -> DataFrame:
     """All rows with the named columns; the text is without the lines to remove."""
-    joined = with_row_id(docs.select(*columns)).join(removed_lines(docs), "rid__", "left")
+    docs = with_fixed_id(docs)
+    joined = docs.select("rid__", *columns).join(removed_lines(docs), "rid__", "left")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("lines", i)), "\n")
     return joined.withColumn("text", F.when(F.col("lines").isNull(), F.col("text")).otherwise(kept)).select(*columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers from 0, joined by commas) for every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = with_fixed_id(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     n_lines = F.when(F.length(whole_text()) == 0, 0).otherwise(F.length(whole_text()) - F.length(F.replace(whole_text(), F.lit("\n"), F.lit(""))) + 1)
-    counted = with_row_id(docs).select("rid__", "doc_id", n_lines.cast("long").alias("n_lines"))
+    counted = docs.select("rid__", "doc_id", n_lines.cast("long").alias("n_lines"))
     return counted.join(removed_lines(docs), "rid__", "left").select(
         "doc_id",
         "n_lines",

@@ -18,7 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import whole_text, with_row_id
+from roadloom.llm.common import whole_text, with_fixed_id, with_row_id
 from roadloom.session import cut_lineage
 
 BLOCK_CHARS, FRAME_SLOTS, TEMPERATURE = 65_536, 1_000, 0.7
@@ -148,9 +148,10 @@ def mixed_order(
 
 def in_mixed_order(docs: DataFrame, columns: list[str], **params) -> DataFrame:
     """All documents with the named columns, their rows (files and rows in files) in the order of the mix."""
+    docs = with_fixed_id(docs)
     order = mixed_order(docs, **params).select("rid__", "slot", "place", F.col("doc_id").alias("tie__"))
     return (
-        with_row_id(docs.select(*columns))
+        docs.select("rid__", *columns)
         .join(order, "rid__")
         .repartitionByRange("slot", "place", "tie__")
         .sortWithinPartitions("slot", "place", "tie__")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import Forest, key_groups, mixed, only_rows, slices, with_row_id
+from roadloom.llm.common import Forest, key_groups, mixed, only_rows, slices, with_fixed_id, with_row_id
 from roadloom.operators.components import connected_components
 from roadloom.session import cut_lineage
 
@@ -342,7 +342,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("rid__"), batch.column("doc_id"), *columns], ["rid__", "doc_id", "key", "fp", "check", "size"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return with_row_id(docs.select("doc_id", "text")).mapInArrow(run, f"rid__ long, doc_id {kind}, key long, fp long, check long, size long")
+    return docs.select("rid__", "doc_id", "text").mapInArrow(run, f"rid__ long, doc_id {kind}, key long, fp long, check long, size long")
 
 
 def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded: DataFrame | None = None) -> DataFrame:
@@ -418,7 +418,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, si
                 found = [np.unique(shingle_hashes(t or b"", words)).tobytes() for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
 
-    texts = with_row_id(docs.select("text")).join(wanted, "rid__").select("key", "text")
+    texts = docs.select("rid__", "text").join(wanted, "rid__").select("key", "text")
     shingles = cut_lineage(texts.mapInArrow(sets, "key long, shingles binary"))
     both = (
         likely.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
@@ -446,6 +446,7 @@ def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BI
     pairs that are still in different components. ``kept`` as in
     :func:`near_groups`.
     """
+    docs = with_fixed_id(docs)
     rows = cut_lineage(_sets(docs, words))
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid__")
     nodes = cut_lineage(
@@ -479,6 +480,7 @@ def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BI
 
 def drop_near_copies(docs: DataFrame, columns: list[str], **params) -> DataFrame:
     """One row of each component of similar texts, with the named columns."""
+    docs = with_fixed_id(docs)
     return only_rows(docs, similar_groups(docs, **params).filter("kept"), columns)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from roadloom.llm import exact_dedup, lattice, line_dedup, simhash
+from roadloom.llm import exact_dedup, lattice, line_dedup, mixing, simhash
 
 
 def _normal(text):
@@ -220,3 +220,33 @@ def test_near_copies_dropped_by_similarity(spark, monkeypatch, per_row):
 
 def test_near_copies_empty_table(empty):
     assert simhash.similar_groups(empty).count() == 0
+
+
+@pytest.mark.parametrize("operator, decision", [(exact_dedup, "exact_groups"), (simhash, "similar_groups"), (line_dedup, "removed_lines"), (mixing, "mixed_order")])
+def test_rows_are_named_alike_when_the_scan_is_split_anew(spark, corpus, tmp_path, monkeypatch, operator, decision):
+    """Executors that come or go between decision and filter change a scan's partitions, not the result."""
+    parts = [corpus.filter(f"doc_id % 5 = {k}").select("doc_id", "text", "source") for k in range(5)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/docs")
+    work = {
+        "exact_groups": lambda d: exact_dedup.drop_copies(d, ["doc_id", "text"]),
+        "similar_groups": lambda d: simhash.drop_near_copies(d, ["doc_id", "text"]),
+        "removed_lines": lambda d: line_dedup.without_repeats(d, ["doc_id", "text"]),
+        "mixed_order": lambda d: mixing.in_mixed_order(d, ["doc_id", "text"], block_chars=200, frame_slots=12),
+    }[decision]
+    want = [tuple(r) for r in work(spark.read.parquet(f"{tmp_path}/docs")).collect()]
+    before, decide = spark.conf.get("spark.sql.files.openCostInBytes"), getattr(operator, decision)
+
+    def then_split_anew(*args, **kwargs):
+        out = decide(*args, **kwargs)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return out
+
+    monkeypatch.setattr(operator, decision, then_split_anew)
+    try:
+        got = [tuple(r) for r in work(spark.read.parquet(f"{tmp_path}/docs")).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert got == want if decision == "mixed_order" else sorted(got) == sorted(want)
