@@ -40,7 +40,7 @@ WORDS, MOST_BITS, SEED = 4, 4, 42
 #: for dropping near copies; CHECK_BITS of a second, independent fingerprint are five deviations above the mean at 0.8
 NEAR_WORDS, SIMILARITY, NEAR_BITS, CHECK_BITS = 5, 0.8, 15, 25
 QUARTERS, QUARTER_BITS, BLOCK, PER_NODE = 4, 16, 4096, 512
-LEAF, CHUNK, PAIRS_PER_ROW = 32, 1 << 21, 8
+LEAF, CHUNK, PAIRS_PER_ROW, VISITORS = 32, 1 << 21, 8, 32
 
 
 # --- fingerprints --------------------------------------------------------------------------
@@ -221,8 +221,9 @@ def _turn(quarter: int):
     return F.shiftleft("fp", by).bitwiseOR(F.shiftrightunsigned("fp", 64 - by)) if by else F.col("fp")
 
 
-def _depth(n: int) -> int:
-    return min(QUARTER_BITS, max(6, (n // PER_NODE).bit_length()))
+def _depth(n: int, head: int) -> int:
+    """More bits on the way mean more visits, so nodes are larger then."""
+    return min(QUARTER_BITS, max(6, (n // (PER_NODE if head < 2 else BLOCK)).bit_length()))
 
 
 def _cells(fps: DataFrame, depth: int, head: int) -> DataFrame:
@@ -251,9 +252,10 @@ def _cells(fps: DataFrame, depth: int, head: int) -> DataFrame:
             else F.array(F.struct(own.alias("node"), F.lit(0).alias("probe")))
         ).alias("at"),
     ).select("trie", "turned", *rest, "at.node", "at.probe")
-    most = BLOCK * max(1, head * head)  # further probes only meet a node's own rows
-    crowds = rows.groupBy("trie", "node").agg(F.count("*").alias("n")).filter(F.col("n") > most)
-    blocks = F.ceil(F.coalesce("n", F.lit(1)) / most).cast("int")
+    # visitors only meet a node's own rows, so with many visits per row a block has room for more of them
+    n = F.count("*") if head < 2 else F.greatest(F.count_if(F.col("probe") == 0), F.ceil(F.count("*") / VISITORS))
+    crowds = rows.groupBy("trie", "node").agg(n.alias("n")).filter(F.col("n") > BLOCK)
+    blocks = F.ceil(F.coalesce("n", F.lit(1)) / BLOCK).cast("int")
     return (
         rows.join(crowds, ["trie", "node"], "left")
         .withColumn("blocks", blocks)
@@ -278,7 +280,7 @@ _CELL = ["trie", "node", "i", "j"]
 def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """``a, b``: edges that connect just what links of at most ``most`` differing bits connect. fps: distinct ``fp``."""
     head = most // QUARTERS
-    depth = _depth(fps.count())
+    depth = _depth(fps.count(), head)
     cells = _cells(fps, depth, head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,13 +350,13 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded: DataFrame | None = None) -> DataFrame:
     """``a, b, trie, node, i, j``: pairs of keys within the bits and sizes of the similarity.
 
-    nodes: ``fp, key, size, label``; pairs with equal labels are left out. A cell
+    nodes: ``fp, key, size`` and maybe ``label``; pairs with equal labels are left out. A cell
     with more than ``PAIRS_PER_ROW`` pairs for each of its rows only gives pairs
     that join all that its pairs join, and its name. crowded: the only cells
     asked for, which give all pairs.
     """
     head = most // QUARTERS
-    cells = _cells(nodes.select("fp", "key", "size", "label"), depth, head)
+    cells = _cells(nodes.select("fp", "key", "size", *(["label"] if "label" in nodes.columns else [])), depth, head)
     if crowded is not None:
         cells = cells.join(crowded, _CELL, "left_semi")
     whole = crowded is not None
@@ -365,7 +367,8 @@ def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded
                 continue
             name = [cell.column(c)[0].as_py() for c in _CELL]
             order = np.argsort(cell.column("turned").to_numpy().view(np.uint64), kind="stable")
-            turned, probe, side, key, size, label = (cell.column(c).to_numpy()[order] for c in ("turned", "probe", "side", "key", "size", "label"))
+            turned, probe, side, key, size = (cell.column(c).to_numpy()[order] for c in ("turned", "probe", "side", "key", "size"))
+            label = cell.column("label").to_numpy()[order] if "label" in cell.column_names else key
             held, n, forest = [], 0, None
             for i, j in _meetings(turned.view(np.uint64), probe, side, name[2] != name[3], depth, most, head):
                 ok = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
@@ -399,7 +402,7 @@ def _pair_rows(a: np.ndarray, b: np.ndarray, cell: list | None) -> Iterator[pa.R
 
 
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. rows: one row per key."""
+    """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. rows: ``key, check``; a key is the id of a row with the set."""
     sketch = rows.select("key", "check")
     likely = (
         pairs.join(sketch.select(F.col("key").alias("a"), F.col("check").alias("ca")), "a")
@@ -409,7 +412,6 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, si
     )
     likely = cut_lineage(likely)
     asked = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = rows.join(asked, "key", "left_semi").select("rid__", "key")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -418,7 +420,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, si
                 found = [np.unique(shingle_hashes(t or b"", words)).tobytes() for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
 
-    texts = docs.select("rid__", "text").join(wanted, "rid__").select("key", "text")
+    texts = docs.select(F.col("rid__").alias("key"), "text").join(asked, "key", "left_semi")
     shingles = cut_lineage(texts.mapInArrow(sets, "key long, shingles binary"))
     both = (
         likely.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
@@ -452,15 +454,15 @@ def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BI
     nodes = cut_lineage(
         rows.groupBy("key").agg(F.min(name).alias("best"), F.first("fp").alias("fp"), F.first("check").alias("check"), F.first("size").alias("size"))
     )
-    one = nodes.select("key", "fp", "check", "size", F.col("best.rid__").alias("rid__"))
-    depth = _depth(nodes.count())
+    one = nodes.select(F.col("best.rid__").alias("key"), "fp", "check", "size")  # a set goes by its first row
+    depth = _depth(nodes.count(), most // QUARTERS)
 
     def joined(edges: DataFrame) -> DataFrame:
         ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = connected_components(edges, ends).select(F.col("node").alias("key"), "component")
         return cut_lineage(one.join(sets, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component"))
 
-    first = cut_lineage(proposed(one.withColumn("label", F.col("key")), most, similarity, depth))
+    first = cut_lineage(proposed(one, most, similarity, depth))
     tried = first.select("a", "b").distinct()
     edges = _verified(docs, one, tried, words, similarity)
     labelled = joined(edges)
@@ -470,9 +472,9 @@ def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BI
         rest = cut_lineage(rest)
         if not rest.isEmpty():
             labelled = joined(edges.unionByName(_verified(docs, one, rest, words, similarity)))
-    grouped = nodes.select("key", "best").join(labelled.select("key", "label"), "key")
+    grouped = nodes.select(F.col("key").alias("set"), "best", F.col("best.rid__").alias("key")).join(labelled.select("key", "label"), "key")
     best = grouped.groupBy("label").agg(F.min("best").alias("first"))
-    decided = grouped.select("key", "label").join(best, "label").select("key", "first")
+    decided = grouped.select(F.col("set").alias("key"), "label").join(best, "label").select("key", "first")
     return rows.join(decided, "key").select(
         "rid__", "doc_id", F.col("first.doc_id").alias("component_id"), (F.col("rid__") == F.col("first.rid__")).alias("kept")
     )
