@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from roadloom.llm.common import Words, key_groups, mixed, slices, whole_text, with_fixed_id
 from roadloom.session import cut_lineage
 
-SIMILARITY, LEAST_WORDS, ENOUGH = 0.8, 5, 4
+#: the query takes every line that has a word; LEAST_WORDS is what the functions take if not told
+SIMILARITY, LEAST_WORDS, EVERY_LINE, ENOUGH = 0.8, 5, 1, 4
 SHARD_BITS, SKETCH_BITS, CHUNK_BITS = 6, 23, 6
 TOKEN_BITS = 44
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -35,9 +36,9 @@ _NO_ID = np.iinfo(np.int64).max
 
 
 class Lines:
-    """The lines of a batch of texts that have at least ``LEAST_WORDS`` words."""
+    """The lines of a batch of texts that have at least ``least`` words."""
 
-    def __init__(self, batch: pa.RecordBatch) -> None:
+    def __init__(self, batch: pa.RecordBatch, least: int) -> None:
         self.words = words = Words(batch.column("text"))
         breaks = np.flatnonzero(words.data == 10)
         number = np.searchsorted(breaks, words.start) + words.doc
@@ -47,7 +48,7 @@ class Lines:
         place = np.arange(len(words)) - np.repeat(begin, count)
         parts = mixed(self.hashes + place.astype(np.uint64) * _GOLDEN)
         key = mixed(np.add.reduceat(parts, begin)) if len(begin) else np.zeros(0, np.uint64)
-        keep = count >= LEAST_WORDS
+        keep = count >= least
         self.begin, self.count, self.key = begin[keep], count[keep], key[keep]
         self.doc = words.doc[self.begin]
         first = np.searchsorted(breaks, words.bounds[:-1]) + np.arange(words.n_docs)
@@ -149,7 +150,7 @@ def _least_overlap(m: np.ndarray, n: np.ndarray) -> np.ndarray:
 _ENTRY = [np.uint64, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32]
 
 
-def _entries(docs: DataFrame, sketch, wanted=None) -> DataFrame:
+def _entries(docs: DataFrame, sketch, least: int, wanted=None) -> DataFrame:
     """Prefix entries of every line, by shards of tokens; words that occur once anywhere can't meet another.
 
     wanted: a table of the only tokens asked for (and some more that share its cells).
@@ -159,7 +160,7 @@ def _entries(docs: DataFrame, sketch, wanted=None) -> DataFrame:
         table = sketch.value
         for whole in batches:
             for batch in slices(whole):
-                lines = Lines(batch)
+                lines = Lines(batch, least)
                 order = np.lexsort((lines.line, lines.doc_id, lines.key))
                 key = lines.key[order]
                 which = np.sort(order[np.concatenate([[True], key[1:] != key[:-1]])]) if len(order) else order
@@ -256,7 +257,7 @@ def _prefix_cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield _token_cells(tokens[: int(_prefix(np.array([len(tokens)]))[0])])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> tuple[DataFrame, DataFrame]:
+def _verified(docs: DataFrame, pairs: DataFrame, sketch, least: int) -> tuple[DataFrame, DataFrame]:
     """``key``: lines with a verified earlier match among the pairs; and ``key, tokens`` of all their lines."""
     needed = docs.sparkSession.sparkContext.broadcast(_fixed_table(pairs, _cells_of(["later", "earlier"], SKETCH_BITS), SKETCH_BITS))
 
@@ -264,7 +265,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> tuple[DataFrame, Dat
         table, sent = needed.value, np.zeros(0, np.uint64)
         for whole in batches:
             for batch in slices(whole):
-                lines = Lines(batch)
+                lines = Lines(batch, least)
                 which = np.flatnonzero(table[(lines.key & np.uint64(len(table) - 1)).astype(np.int64)])
                 which = which[np.unique(lines.key[which], return_index=True)[1]]
                 which = np.sort(which[~np.isin(lines.key[which], sent)])
@@ -294,11 +295,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, sketch) -> tuple[DataFrame, Dat
     return both.mapInArrow(check, "key long").distinct(), sets
 
 
-def _similar_to_earlier(docs: DataFrame, sketch) -> DataFrame:
+def _similar_to_earlier(docs: DataFrame, sketch, least: int) -> DataFrame:
     """``key`` of every line that is similar to an earlier, different one."""
     context = docs.sparkSession.sparkContext
-    first = cut_lineage(_candidates(_entries(docs, sketch)))
-    found, sets = _verified(docs, first, sketch)
+    first = cut_lineage(_candidates(_entries(docs, sketch, least)))
+    found, sets = _verified(docs, first, sketch, least)
     found = cut_lineage(found)
     left = cut_lineage(first.filter("more").select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
     if left.isEmpty():
@@ -306,18 +307,18 @@ def _similar_to_earlier(docs: DataFrame, sketch) -> DataFrame:
     # the second round moves only entries at the tokens of lines that are still open
     cells = context.broadcast(_fixed_table(left, _cells_of(["key"], SKETCH_BITS), SKETCH_BITS))
     wanted = context.broadcast(_fixed_table(sets.join(left, "key", "left_semi").select("tokens"), _prefix_cells, SKETCH_BITS))
-    rest = _candidates(_entries(docs, sketch, wanted), cells).join(left.withColumnRenamed("key", "later"), "later", "left_semi")
+    rest = _candidates(_entries(docs, sketch, least, wanted), cells).join(left.withColumnRenamed("key", "later"), "later", "left_semi")
     rest = cut_lineage(rest.join(first, ["later", "earlier"], "left_anti"))
-    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch)[0])
+    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch, least)[0])
 
 
 _WHERE = [np.uint64, np.int64, np.int64, np.int32]
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``rid__, lines``: numbers, from 0, of the lines to remove, for rows that have any.
 
-    Lines of fewer than ``LEAST_WORDS`` words stay. A null text has no lines; a
+    Lines of fewer than ``least`` words stay, so at 1 only blank lines do. A null text has no lines; a
     null id comes after all others; of repeated rows the first keeps its lines.
     Lines are named by 64 bits of hash. doc_id must be a whole number.
     """
@@ -329,7 +330,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         cells = np.zeros(1 << SKETCH_BITS, np.uint32)
         for whole in batches:
             for batch in slices(whole):
-                lines = Lines(batch)
+                lines = Lines(batch, least)
                 rid = batch.column("rid__").to_numpy()[lines.doc]
                 yield from _packed(_shards(lines.key), [lines.key, lines.doc_id, rid, lines.line])
                 found, n = np.unique((lines.hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
@@ -342,7 +343,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     parts = cut_lineage(rows.mapInArrow(read, _schema(4)))
     counts = parts.filter("shard < 0").select((-1 - F.col("shard")).alias("shard"), "c0", "c1")
     sketch = docs.sparkSession.sparkContext.broadcast(_summed_table(counts, SKETCH_BITS))
-    similar = _similar_to_earlier(texts, sketch)
+    similar = _similar_to_earlier(texts, sketch, least)
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,10 +367,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("rid__").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
-def without_repeats(docs: DataFrame, columns: list[str]) -> DataFrame:
+def without_repeats(docs: DataFrame, columns: list[str], least: int = LEAST_WORDS) -> DataFrame:
     """All rows with the named columns; the text is without the lines to remove."""
     docs = with_fixed_id(docs)
-    joined = docs.select("rid__", *columns).join(removed_lines(docs), "rid__", "left")
+    joined = docs.select("rid__", *columns).join(removed_lines(docs, least), "rid__", "left")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("lines", i)), "\n")
     return joined.withColumn("text", F.when(F.col("lines").isNull(), F.col("text")).otherwise(kept)).select(*columns)
 
@@ -379,7 +380,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = with_fixed_id(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     n_lines = F.when(F.length(whole_text()) == 0, 0).otherwise(F.length(whole_text()) - F.length(F.replace(whole_text(), F.lit("\n"), F.lit(""))) + 1)
     counted = docs.select("rid__", "doc_id", n_lines.cast("long").alias("n_lines"))
-    return counted.join(removed_lines(docs), "rid__", "left").select(
+    return counted.join(removed_lines(docs, EVERY_LINE), "rid__", "left").select(
         "doc_id",
         "n_lines",
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"),

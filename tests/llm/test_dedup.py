@@ -250,3 +250,25 @@ def test_rows_are_named_alike_when_the_scan_is_split_anew(spark, corpus, tmp_pat
         spark.conf.set("spark.sql.files.openCostInBytes", before)
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert got == want if decision == "mixed_order" else sorted(got) == sorted(want)
+
+
+def test_line_query_takes_short_lines(spark, tmp_path):
+    """Every line with a word goes if an earlier one is equal or similar, however short; blank lines stay."""
+    texts = [
+        "Read more\nHome\n\nalpha beta gamma delta\nHome",
+        "home\nread  more\nmore read\n\nalpha beta gamma delta epsilon\nRead",
+        "alpha beta gamma\nalpha beta beta\nbeta alpha\nx y z v\n \nHome page",
+        None,
+        "x y z\nRead\nalpha beta gamma delta zeta eta",
+    ] + ["\n".join(f"{'abcde'[(i * k) % 5]} {'fgh'[(i + k) % 3]}" + f" w{i % 4} q" * (k % 2) for k in range(9)) for i in range(30)]
+    lines, want = [], []
+    for i, text in enumerate(texts):
+        gone = []
+        for k, w in _line_words(text):
+            both = [len(set(w) & set(v)) / len(set(w) | set(v)) for v in lines] if w else []
+            if any(x >= 0.8 - 1e-9 for x in both):
+                gone.append(k)
+            lines += [w] if w else []
+        want.append((i, ",".join(map(str, gone))))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted((r.doc_id, r.removed) for r in line_dedup.query(spark, str(tmp_path)).collect()) == want
