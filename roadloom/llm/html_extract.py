@@ -41,12 +41,12 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _SCOPE = frozenset("ul ol dl table body article main section div blockquote".split())
 _CONTAINERS = frozenset("body article main section div td center blockquote".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
-_JUNK = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|banner|breadcrumb|breadcrumbs|byline-share|comment|comments|"
-    r"comment-list|consent|cookie|cookies|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notice|notices|overlay|pager|pagination|popup|promo|promoted|promotion|recommended|related|replies|respond|share|sharing|sidebar|"
-    r"signup|social|sponsor|sponsored|subscribe|subscription|toolbar|widget|widgets)(?:$|[\s_-])",
-    re.I,
+#: classes and ids whose elements are left out; whole names, not parts between hyphens
+_JUNK = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share comment comments comment-list consent "
+    "cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup "
+    "promo promoted promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription "
+    "toolbar widget widgets".split()
 )
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|prose|story|text)(?:$|[\s_-])", re.I)
 
@@ -61,11 +61,27 @@ class Page:
         self.last: list[int] = [0]
         self.net, self.linked, self.junk = [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []
-        self._read(source)
+        #: elements that stay in spite of their name, by place in the source
+        self._stay: set[int] = set()
+        while found := self._read(source):
+            # such an element shows only once its outer one stays, so one reading per level
+            self._stay |= found
+            self.paths, self.prior, self.last = ["body"], [0.7], [0]
+            self.net, self.linked, self.junk, self.blocks = [0], [0], [0], []
 
-    def _read(self, source: str) -> None:
+    def _read(self, source: str) -> set[int]:
+        """Read the page; gives elements left out by their name alone that hold what the page is about.
+
+        That is an article or main element while none is outside such elements, or
+        most of the page's text outside links.
+        """
         #: open elements: tag, container number, dropped
         stack: list[tuple[str, int, bool]] = [("body", 0, False)]
+        #: elements dropped by name: [characters outside links, holds an article], by place in the source
+        named_only: dict[int, list] = {}
+        #: how deep the stack was at the open one, its place, how deep at an element within that is dropped for more than its name
+        mark, mark_at, hard = 0, 0, 0
+        plain, has_article = 0, False
         piece: list[str] = []
         at, links = 0, 0
 
@@ -79,7 +95,12 @@ class Page:
         def pop() -> None:
             if stack[-1][0] not in _INLINE:
                 flush()
+            nonlocal mark, hard
             _, number, _ = stack.pop()
+            if len(stack) <= hard:
+                hard = 0
+            if len(stack) <= mark:
+                mark = 0
             if number != stack[-1][1]:
                 self.last[number] = len(self.paths) - 1
 
@@ -88,9 +109,12 @@ class Page:
                 text = source[at : found.start()]
                 if stack[-1][2]:
                     self.junk[stack[-1][1]] += len(text)
+                    if mark and not hard and not links:
+                        named_only[mark_at][0] += len(text.strip())
                 else:
                     piece.append(html.unescape(text) if "&" in text else text)
                     (self.linked if links else self.net)[stack[-1][1]] += len(text)
+                    plain += 0 if links else len(text.strip())
             at = found.end()
             _, close, tag, attributes, close2, tag2, attributes2 = found.groups()
             tag = tag or tag2
@@ -135,16 +159,25 @@ class Page:
                     pop()
             named = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(attributes)} if attributes else {}
             label = f"{named.get('class', '')} {named.get('id', '')}"
-            _, number, dropped = stack[-1]
-            dropped = (
-                dropped
-                or tag in _DROPPED
+            _, number, inside = stack[-1]
+            firm = (
+                tag in _DROPPED
                 or "hidden" in named
                 or named.get("aria-hidden") == "true"
                 or named.get("role", "") in _ROLES
                 or "display:none" in named.get("style", "").replace(" ", "")
-                or bool(_JUNK.search(label))
             )
+            dropped = inside or firm or (not _JUNK.isdisjoint(label.lower().split()) and found.start() not in self._stay)
+            if dropped and not inside and not firm and not (inline and tag == "a"):
+                mark, mark_at = len(stack), found.start()
+                named_only[mark_at] = [0, False]
+            elif mark and firm and not hard and not (inline and tag == "a"):
+                hard = len(stack)
+            if tag in ("article", "main"):
+                if not dropped:
+                    has_article = True
+                elif mark and not hard:
+                    named_only[mark_at][1] = True
             if inline:
                 if dropped and tag != "a":
                     stack.append((tag, number, dropped))
@@ -159,6 +192,7 @@ class Page:
                 number = len(self.paths) - 1
             stack.append((tag, number, dropped))
         rest = source[at:]
+        plain += 0 if stack[-1][2] else len(rest.strip())
         if rest.strip() and not stack[-1][2]:
             piece.append(html.unescape(rest))
             self.net[stack[-1][1]] += len(rest)
@@ -166,6 +200,8 @@ class Page:
             pop()
         flush()
         self.last[0] = len(self.paths) - 1
+        whole = plain + sum(n for n, _ in named_only.values())
+        return {at for at, (n, article) in named_only.items() if n and (2 * n > whole or (article and not has_article))}
 
     def scores(self) -> np.ndarray:
         """Per container: its share of the page's text outside links, times its purity and what its name promises."""

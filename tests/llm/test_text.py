@@ -157,6 +157,22 @@ def test_main_text(spark):
     assert html_extract.main_text(table.limit(0)).count() == 0
 
 
+def test_names_alone_drop_no_article(spark):
+    """Junk words inside longer names, and junk names around the article or most of the text, lose nothing."""
+    body = "<p>" + "</p><p>".join(f"Sentence {i} of the story." for i in range(6)) + "</p>"
+    want = "\n".join(f"Sentence {i} of the story." for i in range(6))
+    side = "<div class='sidebar'>Links</div><div class='comments'><p>Nice!</p></div>"
+    pages = [f"<div class='{c}'>{body}{side}</div>" for c in ("content has-sidebar", "no-sidebar", "with-comments", "post-header-wrap")]
+    pages += [f"<div id=page class='sticky-header'><article>{body}</article></div>", f"<div class=widget><div class='banner'>{body}</div></div>{side}"]
+    pages += [f"<p>Some text around that is far longer than all of the article taken together. {'So it is. ' * 30}</p><div class=modal><main>{body}</main></div>"]
+    table = spark.createDataFrame([(i, f"http://h{i}.example/x", f"<html><body>{p}</body></html>") for i, p in enumerate(pages)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.main_text(table).collect()}
+    assert [found[i] for i in range(6)] == [want] * 6
+    assert want in found[6]
+    chrome = html_extract.Page(f"<article>{body}</article><div class=comments><article>Nice!</article></div><div class=related hidden>{body * 9}</div>")
+    assert chrome.text(None) == want
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
