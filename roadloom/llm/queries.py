@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, mixing, packing, quality, secret_scan, simhash
+from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash
 
 QUERIES = {
     "op1_pfair_mixing": mixing.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_secret_scan": secret_scan.query,
     "op9_html_extract": html_extract.query,
     "op10_lattice_dedup": lattice.query,
+    "op11_merkle_manifest": merkle.query,
 }
 
 SQL = {
     "op1_pfair_mixing": mixing.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
