@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash
+from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_alignment
 
 QUERIES = {
     "op1_pfair_mixing": mixing.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_extract": html_extract.query,
     "op10_lattice_dedup": lattice.query,
     "op11_merkle_manifest": merkle.query,
+    "op12_token_alignment": token_alignment.query,
 }
 
 SQL = {
