@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadloom.llm import exact_dedup, html_extract, language_model, lattice, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_alignment
+from roadloom.llm import exact_dedup, html_extract, language_id, language_model, lattice, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_alignment
 
 QUERIES = {
     "op1_pfair_mixing": mixing.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_lattice_dedup": lattice.query,
     "op11_merkle_manifest": merkle.query,
     "op12_token_alignment": token_alignment.query,
+    "op13_language_id": language_id.query,
 }
 
 SQL = {
