@@ -26,6 +26,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ _ALIGNERS: dict[tuple[str, str], "Aligner"] = {}
 _SEGMENT = re.compile(r"\s*\S+|\s+")
 _END = re.compile(r"(?<=\S)(?=\s)")
 _SPACE = "▁"
+_LOW = (1 << 32) - 1
 
 
 def vocabulary_paths() -> tuple[str, str]:
@@ -125,8 +127,7 @@ def shared_group_links(ids_a: np.ndarray, group_a: np.ndarray, ids_b: np.ndarray
     of_group = np.append(0, np.cumsum(np.bincount(b >> 32, minlength=n_groups)))
     found = product(Csr(np.arange(len(a) + 1), a >> 32, n_a, n_groups), Csr(of_group, np.arange(len(b)), n_b, max(1, len(b))))
     row = np.repeat(np.arange(len(a)), np.diff(found.indptr))
-    low = (1 << 32) - 1
-    return a[row] >> 32, a[row] & low, b[found.indices] & low, found.values
+    return a[row] >> 32, a[row] & _LOW, b[found.indices] & _LOW, found.values
 
 
 # --- segments ------------------------------------------------------------------------------
@@ -169,6 +170,8 @@ class Aligner:
         self.bytes_a = [bytes(byte_of[c] for c in s) if all(c in byte_of for c in s) else s.encode() for s in spelled]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(t) for t in known], np.int64) for known in (self.bytes_a, self.bytes_b))
+        self.names = [str(i) for i in range(max(len(spelled), len(pieces)))]
         self.lead = self.b.piece_to_id(_SPACE)
         made = json.loads(self.a.to_str())
         level = made.get("pre_tokenizer") or {}
@@ -198,19 +201,22 @@ class Aligner:
 
     def aligned(self, segments: list[str]) -> dict[str, np.ndarray]:
         """Tokens, groups and links of segments; a segment with other bytes in its tokens is not ``good`` and has none."""
-        a, b = self.ids(segments)
-        good = np.zeros(len(segments), bool)
-        for k, s in enumerate(segments):
-            raw = s.encode()
-            good[k] = b"".join([self.bytes_a[i] for i in a[k]]) == raw and b"".join([self.bytes_b[i] for i in b[k]]) == raw
-            if not good[k]:
-                a[k], b[k] = [], []
+        ids = dict(zip("ab", self.ids(segments)))
+        raw = [s.encode() for s in segments]
+        good = np.ones(len(segments), bool)
+        length = np.fromiter(map(len, raw), np.int64, len(raw))
+        for side, known, size in (("a", self.bytes_a, self.size_a), ("b", self.bytes_b, self.size_b)):
+            flat = list(chain.from_iterable(ids[side]))
+            of = np.repeat(np.arange(len(raw)), np.fromiter(map(len, ids[side]), np.int64, len(raw)))
+            spelled = np.bincount(of, size[np.array(flat, np.int64)], len(raw)) if len(raw) else length
+            if (spelled != length).any() or b"".join([known[i] for i in flat]) != b"".join(raw):
+                good &= np.array([b"".join([known[i] for i in row]) == r for row, r in zip(ids[side], raw)], bool)
         out = {"good": good}
-        for name, ids, known in (("a", a, self.bytes_a), ("b", b, self.bytes_b)):
-            flat = [i for row in ids for i in row]
-            out[f"ids_{name}"] = np.array(flat, np.int64)
-            out[f"n_{name}"] = np.fromiter(map(len, ids), np.int64, len(ids))
-            out[f"len_{name}"] = np.fromiter((len(known[i]) for i in flat), np.int64, len(flat))
+        for side, known in (("a", self.size_a), ("b", self.size_b)):
+            rows = ids[side] if good.all() else [row if g else [] for row, g in zip(ids[side], good.tolist())]
+            out[f"ids_{side}"] = np.array(list(chain.from_iterable(rows)), np.int64)
+            out[f"n_{side}"] = np.fromiter(map(len, rows), np.int64, len(rows))
+            out[f"len_{side}"] = known[out[f"ids_{side}"]]
         out["overlaps"] = product(incidence(out["len_a"]), transposed(incidence(out["len_b"])))
         out["group_a"], out["group_b"] = groups(out["overlaps"])
         out["links"] = shared_group_links(out["ids_a"], out["group_a"], out["ids_b"], out["group_b"])
@@ -238,10 +244,10 @@ class Aligner:
             more[numbers[fresh] - len(self.pair_keys)] = keys[fresh]
             self.pair_keys = np.concatenate([self.pair_keys, more])
         rows, counts = _summed(seg << 32 | numbers[back], links)
-        self.pairs.add(np.bincount(rows >> 32, minlength=n), np.stack([rows & ((1 << 32) - 1), counts]))
+        self.pairs.add(np.bincount(rows >> 32, minlength=n), np.stack([rows & _LOW, counts]))
         self.sums = np.concatenate([self.sums, total], axis=1)
         self.good = np.concatenate([self.good, found["good"]])
-        self.spelled += _spelled(found, n_groups, seg_of, n)
+        self.spelled += _spelled(found, self.names, n_groups, seg_of, n)
 
     def learn(self, segments: list[str]) -> np.ndarray:
         """The segments' numbers, unknown ones learned."""
@@ -258,11 +264,11 @@ class Aligner:
         return out
 
 
-def _spelled(found: dict, n_groups: int, seg_of: np.ndarray, n: int) -> list[str]:
+def _spelled(found: dict, names: list[str], n_groups: int, seg_of: np.ndarray, n: int) -> list[str]:
     """Each segment's groups as ``a1,a2|b1;a3|b2``."""
     sides = []
     for side in "ab":
-        text = list(map(str, found[f"ids_{side}"].tolist()))
+        text = [names[i] for i in found[f"ids_{side}"].tolist()]
         ends = np.cumsum(np.bincount(found[f"group_{side}"], minlength=n_groups)).tolist()
         sides.append([",".join(text[lo:hi]) for lo, hi in zip([0, *ends], ends)])
     both = list(map("|".join, zip(*sides)))
@@ -309,31 +315,51 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _units(texts: list[str | None], odd: re.Pattern) -> Iterator[list[tuple[int, list[str]]]]:
+    """Texts' numbers and segments, window by window, in lists of about ``SLICE`` characters."""
+    held, size = [], 0
+    for doc, text in enumerate(texts):
+        for segments in _windows(text, odd) if text else ():
+            held.append((doc, segments))
+            size += min(len(text), WINDOW)
+            if size >= SLICE:
+                yield held
+                held, size = [], 0
+    yield held
+
+
 def _slice_rows(known: Aligner, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Totals and digests of the texts, and their distinct pairs: text, pair's number and links."""
-    totals, digests, keys, links = np.zeros((5, len(texts)), np.int64), [], [], []
-    for doc, text in enumerate(texts):
-        seen, sha, good, first = [], hashlib.sha256(), bool(text), True
-        for segments in _windows(text, known.odd) if text else ():
-            numbers = known.learn(segments)
-            if not known.good[numbers].all():
-                good = False
-                break
-            seen.append(numbers)
-            line = ";".join([known.spelled[i] for i in numbers.tolist()])
-            sha.update((line if first else ";" + line).encode())
-            first = False
-        digests.append(sha.hexdigest() if good else "")
-        if good:
-            numbers, times = np.unique(np.concatenate(seen), return_counts=True)
-            totals[:, doc] = known.sums[:, numbers] @ times
-            (pair, held), which = known.pairs.take(numbers)
-            pair, held = _summed(pair, held * times[which])
-            keys.append(doc << 32 | pair)
-            links.append(held)
-    none = [np.zeros(0, np.int64)]
-    keys = np.concatenate(none + keys)
-    return totals, digests, keys >> 32, keys & ((1 << 32) - 1), np.concatenate(none + links)
+    n = len(texts)
+    totals, good, none = np.zeros((5, n), np.int64), np.array([bool(t) for t in texts], bool), [np.zeros(0, np.int64)]
+    digests: dict[int, "hashlib._Hash"] = {}
+    keys, links = none, none
+    for unit in _units(texts, known.odd):
+        sizes = [len(segments) for _, segments in unit]
+        numbers = known.learn([s for _, segments in unit for s in segments])
+        doc = np.repeat(np.array([d for d, _ in unit], np.int64), sizes)
+        good[doc[~known.good[numbers]]] = False
+        at = 0
+        listed = numbers.tolist()
+        for (d, _), size in zip(unit, sizes):
+            line = ";".join([known.spelled[i] for i in listed[at : at + size]])
+            at += size
+            if d in digests:
+                digests[d].update((";" + line).encode())
+            else:
+                digests[d] = hashlib.sha256(line.encode())
+        # a text's distinct segments, then its distinct pairs
+        both, times = _summed(doc << 32 | numbers, np.ones(len(doc), np.int64))
+        doc, numbers = both >> 32, both & _LOW
+        for k in range(5):
+            totals[k] += np.bincount(doc, known.sums[k, numbers] * times, n).astype(np.int64)
+        (pair, held), which = known.pairs.take(numbers)
+        both, held = _summed(doc[which] << 32 | pair, held * times[which])
+        keys, links = [*keys, both], [*links, held]
+    key, held = _summed(np.concatenate(keys), np.concatenate(links)) if len(keys) > 2 else (np.concatenate(keys), np.concatenate(links))
+    keep = good[key >> 32]
+    totals[:, ~good] = 0
+    return totals, [digests[d].hexdigest() if good[d] else "" for d in range(n)], key[keep] >> 32, key[keep] & _LOW, held[keep]
 
 
 def _held(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
