@@ -15,6 +15,7 @@ corpus, while the counts cover all of it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ CELLS, HASHES = 1 << 19, 3
 RATE, SHARE = 5e-6, 0.1
 WORD = 63  # languages in a cell's word
 NO_LANGUAGE = "und"
+UNIT, HELD = 1 << 20, 300_000  # characters worked on at once; counts held before they are merged
+_GAP = re.compile(r"[\W\d_]")
 _LETTERS: list[np.ndarray] = []
 
 
@@ -48,6 +51,25 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+def _units(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Texts' numbers and the texts, about ``UNIT`` characters at a time; a longer one is cut where no letter is."""
+    numbers, parts, size = [], [], 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text or "") or at == 0:
+            gap = _GAP.search(text, at + UNIT) if text and len(text) - at > UNIT else None
+            upto = gap.start() if gap else len(text or "")
+            numbers.append(k)
+            parts.append((text or "")[at:upto])
+            size += upto - at
+            at = max(upto, 1)
+            if size >= UNIT:
+                yield np.array(numbers), parts
+                numbers, parts, size = [], [], 0
+    if parts:
+        yield np.array(numbers), parts
+
+
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all n-grams of the texts' words with their ends, the text of each, and which texts have letters.
 
@@ -56,7 +78,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = [(t or "").encode("utf-32-le", "surrogatepass") for t in texts]
     size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
     codes = _letters()[np.frombuffer(b"\0\0\0\0".join([*raw, b""]), "<u4")] if raw else np.zeros(0, np.uint32)
-    doc = np.repeat(np.arange(len(raw)), size + 1)  # with the mark that ends each text
+    doc = np.repeat(np.arange(len(raw), dtype=np.int32), size + 1)  # with the mark that ends each text
     letter = codes > 0
     lettered = np.bincount(doc[letter], minlength=len(raw)) > 0
     keep = letter.copy()
@@ -67,7 +89,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes, doc = np.append(np.uint64(0), codes), np.append(doc[0], doc)
     inner = codes == 0
     before = np.append(0, np.cumsum(inner))
-    found, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    found, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
     for n in GRAMS:
         count = len(codes) - n + 1
         if count <= 0:
@@ -117,13 +139,18 @@ class Filter:
 
     def judged(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language of each text and a score from 0 to 1: how far its n-grams are that language's rather than the next one's."""
-        found, of, lettered = grams(texts)
-        n = np.bincount(of, minlength=len(texts))
-        words = self.lookup(found)
-        counts = np.zeros((len(self.languages), len(texts)))
-        for k, chance in enumerate(self.chance):
-            seen = np.bincount(of[self._bit(words[k // WORD], k) > 0], minlength=len(texts))
-            counts[k] = np.maximum(0.0, seen - chance * n) / max(1e-9, 1 - chance)
+        size = len(texts)
+        lettered, n, counts = np.zeros(size, bool), np.zeros(size), np.zeros((len(self.languages), size))
+        for numbers, parts in _units(texts):
+            found, of, has = grams(parts)
+            lettered[numbers[has]] = True
+            of = numbers[of]
+            n += np.bincount(of, minlength=size)
+            words = self.lookup(found)
+            for k in range(len(self.languages)):
+                counts[k] += np.bincount(of[self._bit(words[k // WORD], k) > 0], minlength=size)
+        chance = self.chance[:, None]
+        counts = np.maximum(0.0, counts - chance * n) / np.maximum(1e-9, 1 - chance)
         if not len(self.languages):
             return [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
         best = counts.argmax(axis=0)
@@ -134,18 +161,51 @@ class Filter:
         return names, np.where(lettered, np.clip(score, 0.0, 1.0), 0.0)
 
 
+class _Counts:
+    """Counts by n-gram that add up in place of their slices."""
+
+    def __init__(self) -> None:
+        self.values, self.n, self.waiting, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+    def add(self, found: np.ndarray) -> None:
+        self.waiting.append(np.unique(found, return_counts=True))
+        self.size += len(self.waiting[-1][0])
+        if self.size > HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        values = np.concatenate([self.values, *(v for v, _ in self.waiting)])
+        n = np.concatenate([self.n, *(c for _, c in self.waiting)])
+        self.values, back = np.unique(values, return_inverse=True)
+        self.n = np.bincount(back, n, len(self.values)).astype(np.int64)
+        self.waiting, self.size = [], 0
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over whole texts; docs: ``lang, text``. A slice of texts adds up its own first."""
+    """``lang, gram, n`` over whole texts; docs: ``lang, text``. A task adds up its own first, as far as memory goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, _Counts] = {}
+
+        def told(names: list[str]) -> Iterator[pa.RecordBatch]:
+            for name in names:
+                counts = held.pop(name)
+                counts.merge()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(counts.n), pa.string()), pa.array(counts.values.view(np.int64)), pa.array(counts.n)], ["lang", "gram", "n"]
+                )
+
         for whole in batches:
-            for batch in slices(whole, most=8 << 20):
+            for batch in slices(whole, most=UNIT):
                 names, of_row = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
-                found, of, _ = grams(batch.column("text").to_pylist())
-                lang = of_row[of]
-                for k, name in enumerate(names):
-                    values, n = np.unique(found[lang == k], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                for numbers, parts in _units(batch.column("text").to_pylist()):
+                    found, of, _ = grams(parts)
+                    lang = of_row[numbers[of]]
+                    for k, name in enumerate(names):
+                        held.setdefault(name, _Counts()).add(found[lang == k])
+                while sum(len(c.n) for c in held.values()) > 4 * HELD:
+                    yield from told([max(held, key=lambda name: len(held[name].n))])
+        yield from told(list(held))
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -196,7 +256,7 @@ def identified(docs: DataFrame, learned: Filter, columns: list[str]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text__"):
+            for batch in slices(whole, "text__", UNIT):
                 names, score = shared.value.judged(batch.column("text__").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in columns), pa.array(names, pa.string()), pa.array(score)], [*columns, "lang_pred__", "score__"]

@@ -49,6 +49,25 @@ def test_grams_are_those_of_the_words():
     assert len(apart) == len(set(found.tolist()))
 
 
+def test_units_change_nothing(monkeypatch):
+    texts = ["ab cd1ef " * 30, None, "", "x", "nogap" * 20, "é日 " * 9]
+    want, of, lettered = li.grams(texts)
+    monkeypatch.setattr(li, "UNIT", 20)
+    got = [[] for _ in texts]
+    for numbers, parts in li._units(texts):
+        found, which, _ = li.grams(parts)
+        for g, k in zip(found.tolist(), numbers[which].tolist()):
+            got[k].append(g)
+    assert [sorted(g) for g in got] == [sorted(want[of == k].tolist()) for k in range(len(texts))]
+    counts = li._Counts()
+    monkeypatch.setattr(li, "HELD", 3)
+    for part in np.array_split(want, 7):
+        counts.add(part)
+    counts.merge()
+    values, n = np.unique(want, return_counts=True)
+    assert (counts.values == values).all() and (counts.n == n).all()
+
+
 def test_filter_never_misses_and_its_chance_is_its_false_positive_rate():
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 1 << 63, 20_000).astype(np.uint64)
