@@ -25,6 +25,9 @@ MERCH_SIGNATURE = 32
 LSH_THRESHOLD = 0.1  # driven with driven; the same for any number of routes
 STANDARD_LSH_THRESHOLD = 0.0  # driven with planned: any equal position
 JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
+L2_MAX = 0.1  # of the largest load a route could have
+#: pairs are listed up to these fused distances
+FUSED_MAX = {("mean", "jaccard"): 0.8, ("mean", "cosine"): 0.4, ("product", "jaccard"): 0.5, ("weighted product", "jaccard"): 0.7}
 REACH = 0.85  # clustering sees fused distances up to here
 DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
 MIN_CLUSTER = 3  # the tables hold no planted clusters: small ones count
@@ -187,11 +190,10 @@ def driver_pairs_cosine(spark, folder):
 
 def driver_pairs_l2(spark, folder):
     actual = _routes(spark, folder)
-    scale = ft.quantity_scale(actual, _standard(actual)).scalar()
+    scale = ft.quantity_scale(actual, _standard(actual)).first()[0]
     forms = cut_lineage(sj.collapse(ft.with_features(actual, DRIVER_K), DRIVER))
-    pairs = sj.jaccard_pairs(forms, JACCARD_MIN, DRIVER)
-    sums = measures.pair_sums("pa", "pb")
-    d = measures.l2(sums["dot"], sums["qa"], sums["qb"], scale)
+    pairs = sj.l2_pairs(forms, L2_MAX * scale, DRIVER)
+    d = F.col("l2") / F.lit(scale)
     return pairs.select(
         "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"),
         _r(d, "l2", 6), _r(measures.l2_similarity(d), "l2_sim", 6),
@@ -200,14 +202,10 @@ def driver_pairs_l2(spark, folder):
 
 def _fused_query(fusion: str, metric: str):
     def query(spark, folder):
-        pairs = sj.jaccard_pairs(_driver_forms(spark, folder), JACCARD_MIN, DRIVER)
-        sums = measures.pair_sums("pa", "pb")
-        d = measures.fuse(
-            1 - F.col("jaccard"), measures.merch_distance(metric, sums), fusion, CANONICAL.alpha
-        )
-        return pairs.select(
-            "driver", F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), _r(d, "d")
+        edges = sj.fused_edges(
+            _driver_forms(spark, folder), FUSED_MAX[fusion, metric], DRIVER, metric, CANONICAL.alpha, fusion
         )
+        return edges.select("driver", "a", "b", _r("d", "d"))
 
     return query
 
@@ -469,21 +467,25 @@ def _mean_distance_query(metric: str, fusion: str = "mean"):
     return query
 
 
-def _labels(signed: DataFrame) -> DataFrame:
-    return ideal.driver_labels(
-        signed.drop("sig", "msig"), "jaccard", CANONICAL.alpha, REACH, levels=8, min_size=2
-    )
+def _labels(features: DataFrame, largest: int) -> DataFrame:
+    return ideal.driver_labels(features, "jaccard", CANONICAL.alpha, REACH, 2, largest)
+
+
+def _largest(actual: DataFrame) -> int:
+    """Most routes in a cluster: driven routes per planned one."""
+    return tuning.forward_expansion(actual.count(), _standard(actual).count())
 
 
 def density_labels_driver(spark, folder):
-    return _labels(cut_lineage(ft.with_features(_actual(spark, folder), DRIVER_K)))
+    actual = _routes(spark, folder)
+    return _labels(cut_lineage(ft.with_features(actual, DRIVER_K)), _largest(actual))
 
 
 def ideal_route(spark, folder):
     actual = _routes(spark, folder)
     signed = cut_lineage(_signed(actual, True))
     means = cut_lineage(ideal.mean_distances(signed, "jaccard", CANONICAL.alpha))
-    best = ideal.ideal_routes(cut_lineage(_labels(signed)), means)
+    best = ideal.ideal_routes(cut_lineage(_labels(signed.drop("sig", "msig"), _largest(actual))), means)
     return ideal.fetch_routes(best, actual).select(
         "driver", "rid", "label", _r("best", "best"), _r("mean", "mean"),
         F.array_join(shape.nodes(), ">").alias("path"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.session import cut_lineage
+from roadloom.session import Scratch, cut_lineage
 
 MAX_ROUNDS = 60
 
@@ -41,35 +41,37 @@ def connected_components(
     gathered anywhere.
     """
     scope = scope or []
-    work = cut_lineage(
-        edges.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .filter("a <> b")
-        .distinct()
-    )
-    labels = nodes.select(*scope, F.col(node).alias("node"), F.col(node).alias("component"))
-    for turn in range(MAX_ROUNDS):
-        if work.isEmpty():
-            return _smallest_name(labels, scope).withColumnRenamed("node", node)
-        parent = cut_lineage(_parents(work, scope, turn))
-        step = parent.select(*scope, F.col("v").alias("component"), "p")
-        labels = labels.join(step, [*scope, "component"], "left").select(
-            *scope, "node", F.coalesce("p", "component").alias("component")
-        )
-        pa = parent.select(*scope, F.col("v").alias("a"), F.col("p").alias("pa"))
-        pb = parent.select(*scope, F.col("v").alias("b"), F.col("p").alias("pb"))
-        work = cut_lineage(
-            work.join(pa, [*scope, "a"])
-            .join(pb, [*scope, "b"])
-            .select(*scope, F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+    with Scratch(edges.sparkSession) as kept:
+        work = kept(
+            edges.select(*scope, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .filter("a <> b")
             .distinct()
         )
+        labels = nodes.select(*scope, F.col(node).alias("node"), F.col(node).alias("component"))
+        for turn in range(MAX_ROUNDS):
+            if work.isEmpty():
+                return _smallest_name(cut_lineage(labels), scope).withColumnRenamed("node", node)
+            parent = kept(_parents(work, scope, turn))
+            step = parent.select(*scope, F.col("v").alias("component"), "p")
+            labels = kept(
+                labels.join(step, [*scope, "component"], "left").select(
+                    *scope, "node", F.coalesce("p", "component").alias("component")
+                )
+            )
+            pa = parent.select(*scope, F.col("v").alias("a"), F.col("p").alias("pa"))
+            pb = parent.select(*scope, F.col("v").alias("b"), F.col("p").alias("pb"))
+            work = kept(
+                work.join(pa, [*scope, "a"])
+                .join(pb, [*scope, "b"])
+                .select(*scope, F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+                .filter("a <> b")
+                .distinct()
+            )
     raise RuntimeError(f"components did not converge in {MAX_ROUNDS} rounds")
 
 
 def _smallest_name(labels: DataFrame, scope: list[str]) -> DataFrame:
     """Rename each component to its smallest node."""
-    labels = cut_lineage(labels)
     names = labels.groupBy(*scope, "component").agg(F.min("node").alias("name"))
     return labels.join(names, [*scope, "component"]).select(
         *scope, "node", F.col("name").alias("component")

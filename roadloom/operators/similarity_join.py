@@ -193,37 +193,71 @@ def cosine_pairs(forms: DataFrame, threshold: float, group: list[str]) -> DataFr
     return pairs.withColumn("cosine", value).filter(F.col("cosine") >= threshold - EPS)
 
 
+L2_BANDS = 8
+
+
+def l2_pairs(forms: DataFrame, most: float, group: list[str]) -> DataFrame:
+    """Form pairs ``(*group, pa, pb, l2)`` whose loads are at most ``most`` apart (> 0).
+
+    What one load has and the other has not counts in full, so two loads that share none
+    of an item set with squared length above ``most`` squared are too far apart:
+    an item join on each load's leading items, up to that length, loses nothing.
+    Loads without a common item qualify only if their squared lengths add up to
+    ``most`` squared or less; these all belong in the result and meet by bands
+    of squared length.
+    """
+    limit = float(most) ** 2
+    shared = similar_pairs(forms, _entries(lambda x: x * x), F.col("q") - F.lit(limit), group, PAYLOAD)
+    width = limit / L2_BANDS
+    band = F.least(F.floor(F.col("q") / F.lit(width)), F.lit(L2_BANDS)).cast("int")
+    cells = F.transform(
+        F.sequence(F.lit(0), F.lit(L2_BANDS) - band),
+        lambda j: F.struct(F.concat_ws(",", F.least(band, j).cast("string"), F.greatest(band, j).cast("string")).alias("token"), F.lit(1.0).alias("x")),
+    )
+    light = forms.filter(F.col("q") <= limit)
+    apart = similar_pairs(light, cells, F.lit(1.0), group, PAYLOAD, unit=True).filter(
+        ~F.arrays_overlap(F.map_keys("pa.merch"), F.map_keys("pb.merch"))
+    )
+    sums = measures.pair_sums("pa", "pb")
+    value = measures.l2(sums["dot"], sums["qa"], sums["qb"])
+    found = shared.unionByName(apart).withColumn("l2", value)
+    return found.filter(F.col("l2") <= F.lit(float(most)) + F.lit(EPS))
+
+
+def _least_similarity(reach: float, metric: str, alpha: float, fusion: str) -> tuple[float, float | None]:
+    """Least Jaccard, and least merchandise similarity, one of which a pair within reach must have.
+
+    A weighted mean is at least its smaller part, and so is a weighted product; a
+    plain product of two factors above the root of the reach is above the reach.
+    """
+    if fusion == "mean" and (metric == "cosine" or alpha == 1):
+        return 1 - reach / alpha, None  # half cosine is never far: the routes alone must be alike
+    part = reach**0.5 if fusion == "product" else reach
+    return 1 - part, 1 - part if metric == "jaccard" else 1 - 2 * part
+
+
 def fused_edges(
-    forms: DataFrame, reach: float, group: list[str], metric: str = "jaccard", alpha: float = 0.5
+    forms: DataFrame, reach: float, group: list[str], metric: str = "jaccard", alpha: float = 0.5, fusion: str = "mean"
 ) -> DataFrame:
-    """All form pairs with mean-fused distance <= reach: ``*group, a, b, d``.
+    """All form pairs with fused distance <= reach: ``*group, a, b, d``.
 
-    The fused similarity is a weighted mean, so one of its parts is at least
-    1 - reach: the pairs come from a join on shingles and, for those whose routes
-    alone are not alike enough, from a join on merchandise. Half cosine is never
-    below one half and has no such join; there reach must stay below alpha.
+    The pairs come from a join on shingles and, for those whose routes alone are
+    not alike enough, from a join on merchandise (:func:`_least_similarity`).
     """
     if not 0 < reach < 1:
         raise ValueError("reach must lie between 0 and 1")
     if metric not in ("jaccard", "cosine"):
         raise ValueError("fused edges need a bounded merchandise metric")
-    if metric == "cosine" and reach >= alpha:
-        raise ValueError("with the cosine metric reach must be below alpha")
-    both = metric == "jaccard" and alpha < 1
-    least = 1 - reach if both else 1 - reach / alpha
+    least, merch = _least_similarity(reach, metric, alpha, fusion)
+    if least <= 0 or (merch is not None and merch <= 0):
+        raise ValueError("the reach is too large for this metric and fusion")
     found = jaccard_pairs(forms, least, group).select(*group, "pa", "pb", "jaccard")
-    if both:
-        sums = measures.pair_sums("pa", "pb")
-        loads = ruzicka_pairs(forms, least, group).withColumn(
-            "jaccard", measures.jaccard(sums["inter"], sums["na"], sums["nb"])
-        )
-        found = found.unionByName(
-            loads.filter(F.col("jaccard") < least - EPS).select(*group, "pa", "pb", "jaccard")
-        )
     sums = measures.pair_sums("pa", "pb")
-    d = measures.fuse(
-        1 - F.col("jaccard"), measures.merch_distance(metric, sums), "mean", alpha
-    )
+    if merch is not None:
+        join = ruzicka_pairs if metric == "jaccard" else cosine_pairs
+        loads = join(forms, merch, group).withColumn("jaccard", measures.jaccard(sums["inter"], sums["na"], sums["nb"]))
+        found = found.unionByName(loads.filter(F.col("jaccard") < least - EPS).select(*group, "pa", "pb", "jaccard"))
+    d = measures.fuse(1 - F.col("jaccard"), measures.merch_distance(metric, sums), fusion, alpha)
     return found.select(
         *group, F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), d.alias("d")
     ).filter(F.col("d") <= reach + EPS)

@@ -109,6 +109,9 @@ CTES: dict[str, tuple[str, str]] = {
             x.n na, y.n nb, x.w wa, y.w wb, x.q qa, y.q qb
             FROM (SELECT driver, a, b, coalesce(inter, 0) inter, smin, dot FROM dix FULL JOIN dmx USING (driver, a, b)) p
             JOIN dforms x ON x.form = a JOIN dforms y ON y.form = b"""),
+    "allpairs": ("dforms dix dmx", """SELECT x.driver, x.form a, y.form b, coalesce(inter, 0) inter, coalesce(smin, 0) smin, coalesce(dot, 0) dot,
+            x.n na, y.n nb, x.w wa, y.w wb, x.q qa, y.q qb FROM dforms x JOIN dforms y ON x.driver = y.driver AND x.form < y.form
+            LEFT JOIN dix i ON i.a = x.form AND i.b = y.form LEFT JOIN dmx m ON m.a = x.form AND m.b = y.form"""),
     "jpairs": ("dpairs", f"SELECT * FROM dpairs WHERE {JAC} >= {catalog.JACCARD_MIN} - 1e-9"),
     "dedges": ("dpairs", f"""SELECT driver, a, b, 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) d FROM dpairs
             WHERE 0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}) <= {catalog.REACH} + 1e-9"""),
@@ -287,13 +290,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         WHERE {RUZ} >= {catalog.RUZICKA_MIN} - 1e-9"""),
     "driver_pairs_cosine": ("dpairs", f"""SELECT {PAIR}, round({COS}, 10) cosine, round(({COS} + 1) / 2, 10) half_cosine
         FROM dpairs WHERE {COS} >= {catalog.COSINE_MIN} - 1e-9"""),
-    "driver_pairs_l2": ("jpairs legs routes", f"""SELECT {PAIR}, round(d, 6) l2, round(1 / (1 + d), 6) l2_sim FROM (
-        SELECT {PAIR}, {L2} / ((SELECT max(qty) FROM legs) * (SELECT max(trips) FROM routes)) d FROM jpairs)"""),
-    "driver_pairs_fused_mean": ("jpairs", f"SELECT {PAIR}, round(0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}), 10) d FROM jpairs"),
-    "driver_pairs_fused_mean_cosine": ("jpairs", f"""SELECT {PAIR},
-        round(0.5 * (1 - {JAC}) + 0.5 * (1 - ({COS} + 1) / 2), 10) d FROM jpairs"""),
-    "driver_pairs_fused_product": ("jpairs", f"SELECT {PAIR}, round((1 - {JAC}) * (1 - {RUZ}), 10) d FROM jpairs"),
-    "driver_pairs_fused_wproduct": ("jpairs", f"SELECT {PAIR}, round(sqrt(1 - {JAC}) * sqrt(1 - {RUZ}), 10) d FROM jpairs"),
+    "driver_pairs_l2": ("allpairs legs routes", f"""SELECT {PAIR}, round(d, 6) l2, round(1 / (1 + d), 6) l2_sim FROM (
+        SELECT {PAIR}, {L2} / ((SELECT max(qty) FROM legs) * (SELECT max(trips) FROM routes)) d FROM allpairs)
+        WHERE d <= {catalog.L2_MAX} + 1e-9"""),
+    **{f"driver_pairs_fused_{name}": ("allpairs", f"""SELECT {PAIR}, round(d, 10) d FROM (SELECT {PAIR}, {d} d FROM allpairs)
+        WHERE d <= {catalog.FUSED_MAX[key]} + 1e-9""") for name, key, d in (
+        ("mean", ("mean", "jaccard"), f"0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ})"),
+        ("mean_cosine", ("mean", "cosine"), f"0.5 * (1 - {JAC}) + 0.5 * (1 - ({COS} + 1) / 2)"),
+        ("product", ("product", "jaccard"), f"(1 - {JAC}) * (1 - {RUZ})"),
+        ("wproduct", ("weighted product", "jaccard"), f"sqrt(1 - {JAC}) * sqrt(1 - {RUZ})"))},
     "driver_edges": ("dedges", f"SELECT {PAIR}, round(d, 10) d FROM dedges"),
     "nan_scan": ("dedges", "SELECT count(*) pairs, count(CASE WHEN d IS NULL OR isnan(d) THEN 1 END) invalid FROM dedges"),
     "std_similarity": ("sims", f"""SELECT rid, std_no, inter, smin, dot, round({JAC}, 10) jaccard, round({RUZ}, 10) ruzicka,
@@ -454,6 +459,68 @@ STATEMENTS |= {
 }
 
 
+# --- the density hierarchy: parts of the graph at every distance of a driver ------------------------
+CTES |= {
+    "hn": ("dforms dedges", """SELECT driver, form x, weight w, greatest(CASE WHEN weight >= 2 THEN 0 ELSE d END, 1e-6) c FROM dforms
+        LEFT JOIN (SELECT f, min(d) d FROM (SELECT a f, d FROM dedges UNION ALL SELECT b, d FROM dedges) GROUP BY f) ON f = form
+        WHERE weight >= 2 OR d IS NOT NULL"""),
+    "hm": ("hn dedges", """SELECT e.driver, a, b, greatest(e.d, p.c, q.c) d FROM dedges e JOIN hn p ON p.x = a JOIN hn q ON q.x = b"""),
+    "hl": ("hn hm", "SELECT driver, d t FROM hm UNION SELECT driver, c FROM hn WHERE w >= 2"),
+    "hreach": ("hn hm hl", """SELECT l.driver, l.t, n.x, n.x y FROM hl l JOIN hn n USING (driver)
+        WHERE (n.w >= 2 AND n.c <= l.t) OR n.x IN (SELECT a FROM hm WHERE d <= l.t AND a = n.x) OR n.x IN (SELECT b FROM hm WHERE d <= l.t AND b = n.x)
+        UNION SELECT r.driver, r.t, r.x, e.y FROM hreach r
+        JOIN (SELECT a x, b y, d FROM hm UNION ALL SELECT b, a, d FROM hm) e ON e.x = r.y AND e.d <= r.t"""),
+    "hpart": ("hreach", "SELECT driver, t, x, min(y) part FROM hreach GROUP BY ALL"),
+    "hbig": ("hpart hn", """SELECT driver, t, part, x, w FROM (
+        SELECT p.driver, t, part, p.x, w, sum(w) OVER (PARTITION BY p.driver, t, part) size FROM hpart p JOIN hn USING (driver, x)) WHERE size >= 2"""),
+    "hlag": ("hl", "SELECT driver, t, lag(t) OVER (PARTITION BY driver ORDER BY t) before FROM hl"),
+    "hkids": ("hbig hlag", """SELECT b.driver, b.t, b.part, sum(b.w) size, count(DISTINCT o.part) kids FROM hbig b JOIN hlag USING (driver, t)
+        LEFT JOIN hbig o ON o.driver = b.driver AND o.t = before AND o.x = b.x GROUP BY ALL"""),
+    "hseen": ("hbig hkids", """SELECT b.driver, b.t, b.part, b.x, b.w,
+        max(CASE WHEN kids <> 1 THEN b.t END) OVER (PARTITION BY b.driver, b.x ORDER BY b.t) born FROM hbig b JOIN hkids USING (driver, t, part)"""),
+    "hborn": ("hseen", "SELECT driver, t, part, max(born) born FROM hseen GROUP BY ALL"),
+    "hof": ("hseen hborn", """SELECT s.driver, s.t, s.x, s.w, h.born, min(o.part) name FROM hseen s JOIN hborn h USING (driver, t, part)
+        JOIN hseen p ON p.driver = s.driver AND p.t = s.t AND p.part = s.part JOIN hseen o ON o.driver = p.driver AND o.t = h.born AND o.x = p.x
+        GROUP BY ALL"""),
+    "hhome": ("hof", "SELECT * FROM hof QUALIFY row_number() OVER (PARTITION BY driver, x ORDER BY t) = 1"),
+    "hsize": ("hkids hhome", """SELECT k.driver, k.t born, k.part name, any_value(k.size) + coalesce(sum(h.w), 0) size,
+        any_value(k.size) / k.t + coalesce(sum(h.w / h.t), 0) gained FROM hkids k
+        LEFT JOIN hhome h ON h.driver = k.driver AND h.born = k.t AND h.name = k.part AND h.t > k.t WHERE kids <> 1 GROUP BY k.driver, k.t, k.part"""),
+    "hup": ("hkids hbig hlag hof", """SELECT DISTINCT k.driver, o.born, o.name, k.t pborn, k.part pname FROM hkids k
+        JOIN hbig b ON b.driver = k.driver AND b.t = k.t AND b.part = k.part JOIN hlag l ON l.driver = k.driver AND l.t = k.t
+        JOIN hof o ON o.driver = k.driver AND o.t = l.before AND o.x = b.x WHERE kids > 1"""),
+    "hclusters": ("hsize hup", """SELECT *, gained - size / coalesce(pborn, 1.0) s, row_number() OVER (PARTITION BY driver ORDER BY born, name) i,
+        pborn IS NULL AND count(*) FILTER (pborn IS NULL) OVER (PARTITION BY driver) = 1 root
+        FROM hsize LEFT JOIN hup USING (driver, born, name)"""),
+    "hbelow": ("hclusters", """SELECT c.driver, c.i, any_value(c.s) s, any_value(c.size) size, any_value(c.root) root,
+        coalesce(list(k.i) FILTER (k.i IS NOT NULL), []) kids FROM hclusters c
+        LEFT JOIN hclusters k ON k.driver = c.driver AND k.pborn = c.born AND k.pname = c.name GROUP BY c.driver, c.i"""),
+    "hstep": ("hbelow routes stds", """SELECT driver, 0::BIGINT i, []::DOUBLE[] best, []::BOOLEAN[] keep FROM (SELECT DISTINCT driver FROM hbelow)
+        UNION ALL SELECT driver, i, list_append(best, CASE WHEN ok THEN s ELSE inner_ END), list_append(keep, ok) FROM (
+            SELECT *, NOT root AND size <= (SELECT count(*) FROM routes) // (SELECT count(*) FROM stds) AND s >= inner_ * (1 - 1e-12) ok FROM (
+                SELECT r.driver, b.i, r.best, r.keep, b.s, b.size, b.root, coalesce(list_sum(list_transform(b.kids, lambda k: r.best[k])), 0) inner_
+                FROM hstep r JOIN hbelow b ON b.driver = r.driver AND b.i = r.i + 1))"""),
+    "hkept": ("hstep hclusters", """SELECT c.*, f.keep[c.i] keep FROM hclusters c
+        JOIN (SELECT driver, arg_max(keep, i) keep FROM hstep GROUP BY driver) f USING (driver)"""),
+    "hwalk": ("hhome hkept", """SELECT h.x, k.driver, k.born, k.name, k.keep, k.pborn, k.pname FROM hhome h JOIN hkept k ON k.driver = h.driver AND k.born = h.born AND k.name = h.name
+        UNION ALL SELECT w.x, k.driver, k.born, k.name, k.keep, k.pborn, k.pname FROM hwalk w JOIN hkept k ON k.driver = w.driver AND k.born = w.pborn AND k.name = w.pname"""),
+    "hlabel": ("hwalk f2 dforms", """SELECT f.rid, f.driver, coalesce(l.label, -1) AS label
+        FROM f2 f JOIN (SELECT d.driver, d.form, g.sh, g.mk FROM dforms d JOIN f2 g ON g.rid = d.form) d
+        ON d.driver = f.driver AND d.sh = f.sh AND d.mk = f.mk
+        LEFT JOIN (SELECT x, arg_max(name, born) AS label FROM hwalk WHERE keep GROUP BY x) l ON l.x = d.form"""),
+    "iscore": ("hlabel dsum_jac", """SELECT driver, label, count(*) size, (1 - avg(sum_d / members)) * count(*) score
+        FROM hlabel JOIN dsum_jac USING (driver, rid) WHERE label >= 0 GROUP BY driver, label"""),
+}
+STATEMENTS["density_labels_driver"] = ("hlabel", "SELECT rid, driver, label FROM hlabel")
+STATEMENTS["ideal_route"] = ("hlabel iscore dsum_jac routes", """SELECT driver, rid, label, round(best, 10) best, round(mean, 10) mean,
+    array_to_string(nodes, '>') path FROM (
+        SELECT h.driver, h.rid, h.label, sum_d / members mean_d, min(sum_d / members) OVER w best, avg(sum_d / members) OVER w mean
+        FROM hlabel h JOIN dsum_jac d USING (rid) LEFT JOIN (SELECT driver, label FROM iscore
+            QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(score, 9), label) = 1) c ON c.driver = h.driver
+        WHERE h.label = coalesce(c.label, -1) WINDOW w AS (PARTITION BY h.driver)) JOIN (SELECT rid, nodes FROM routes) USING (rid)
+    QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(mean_d, 9), rid) = 1""")
+
+
 def _ordered(names: list[str], done: list[str]) -> list[str]:
     for name in names:
         if name not in done:
@@ -462,16 +529,19 @@ def _ordered(names: list[str], done: list[str]) -> list[str]:
     return done
 
 
-RECURSIVE = {"reach", "creach"}
+RECURSIVE = {
+    "reach": "node, c", "creach": "node, c", "hreach": "driver, t, x, y", "hstep": "driver, i, best, keep",
+    "hwalk": "x, driver, born, name, keep, pborn, pname",
+}
 
 
 def _statement(needs: str, body: str) -> str:
     names = _ordered(needs.split(), [])
     parts = []
     for name in names:
-        head = f"{name}(node, c) AS" if name in RECURSIVE else f"{name} AS MATERIALIZED"
+        head = f"{name}({RECURSIVE[name]}) AS" if name in RECURSIVE else f"{name} AS MATERIALIZED"
         parts.append(f"{head} ({CTES[name][1]})")
-    keyword = "WITH RECURSIVE" if RECURSIVE & set(names) else "WITH"
+    keyword = "WITH RECURSIVE" if RECURSIVE.keys() & set(names) else "WITH"
     return f"{keyword} {', '.join(parts)} {body}"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions import measures, tuning
-from roadloom.operators import density, features as ft, group_sums, minhash_lsh, reports, vectors
+from roadloom.operators import features as ft, group_sums, hierarchy, minhash_lsh, reports, vectors
 from roadloom.operators import similarity_join as sj, standards as st
 from roadloom.operators.ordering import best_per, dense_index
 from roadloom.session import cut_lineage
@@ -69,18 +69,14 @@ def candidate_edges(
 
 
 def cluster_routes(
-    actual_features: DataFrame, sizing: Sizing, settings: Settings, reach: float, levels: int = 8
+    actual_features: DataFrame, sizing: Sizing, settings: Settings, reach: float
 ) -> DataFrame:
-    """``rid, label`` by density over LSH candidate edges; -1 is noise."""
+    """``rid, label`` by the exact density hierarchy over LSH candidate edges; -1 is noise."""
     forms = cut_lineage(sj.collapse(actual_features, []))
-    edges = candidate_edges(forms, sizing.signature, sizing.threshold, settings)
-    labels = density.hierarchical_density(
-        forms.select(F.col("form").alias("node"), "weight"),
-        edges.filter(F.col("d") <= reach),
-        reach,
-        levels,
-        sizing.min_size,
-        sizing.max_size,
+    edges = cut_lineage(candidate_edges(forms, sizing.signature, sizing.threshold, settings).select("a", "b", "d"))
+    nodes = forms.select(F.col("form").alias("node"), "weight", F.lit("").alias("scope"))
+    labels = hierarchy.hierarchical_clusters(
+        nodes, edges.filter(F.col("d") <= reach), sizing.min_size, sizing.max_size
     )
     members = sj.members_of(actual_features, forms, [])
     return members.join(labels.withColumnRenamed("node", "form"), "form").select("rid", "label")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of a loop, written to the checkpoint folder and removed at its end.
+
+    A checkpointed table keeps the size that was estimated for its plan, and the
+    estimate for a join is a product, so over the rounds of a loop it grows to
+    numbers of millions of digits that take longer to plan with than the work
+    itself. A written table has the size of its files. What outlives the loop must
+    be cut from it first (:func:`cut_lineage`).
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{checkpoint_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self.count = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.count}"
+        self.count += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 BROADCAST_ROWS = 500_000
 
 
