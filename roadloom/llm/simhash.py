@@ -347,16 +347,36 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("rid__", "doc_id", "text").mapInArrow(run, f"rid__ long, doc_id {kind}, key long, fp long, check long, size long")
 
 
+def _centred(n: int, degree: np.ndarray, pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Of a crowd's pairs: each row's with its partner of most pairs, and some that join all that the pairs join.
+
+    Variants of one text are often near to it and too far from each other, and
+    the text is near to all of them, so it has most pairs. pairs: gives the pairs again, in bulk.
+    """
+    forest, best, taken = Forest(n), np.full(n, -1), []
+    for i, j in pairs():
+        for rows, partners in ((i, j), (j, i)):
+            order = np.argsort(degree[partners], kind="stable")
+            offer = np.full(n, -1)
+            offer[rows[order]] = partners[order]  # the last, of most pairs, stays
+            better = (offer >= 0) & (np.where(best >= 0, degree[best], -1) < degree[offer])
+            best[better] = offer[better]
+        some = thinned(forest, i, j)
+        taken.append((i[some], j[some]))
+    own = np.flatnonzero(best >= 0)
+    return tuple(np.concatenate([x, *(t[k] for t in taken)]) for k, x in enumerate((own, best[own])))
+
+
 def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded: DataFrame | None = None) -> DataFrame:
     """``a, b, trie, node, i, j``: pairs of keys within the bits and sizes of the similarity.
 
-    nodes: ``fp, key, size`` and maybe ``label``; pairs with equal labels are left out. A cell
-    with more than ``PAIRS_PER_ROW`` pairs for each of its rows only gives pairs
-    that join all that its pairs join, and its name. crowded: the only cells
-    asked for, which give all pairs.
+    nodes: ``fp, key, size, check`` and maybe ``label``; pairs with equal labels are left out, and
+    those whose second fingerprints are too far apart. A cell with more than
+    ``PAIRS_PER_ROW`` pairs for each of its rows only gives the pairs of :func:`_centred`,
+    and its name. crowded: the only cells asked for, which give all pairs.
     """
     head = most // QUARTERS
-    cells = _cells(nodes.select("fp", "key", "size", *(["label"] if "label" in nodes.columns else [])), depth, head)
+    cells = _cells(nodes.select("fp", "key", "size", "check", *(["label"] if "label" in nodes.columns else [])), depth, head)
     if crowded is not None:
         cells = cells.join(crowded, _CELL, "left_semi")
     whole = crowded is not None
@@ -367,28 +387,32 @@ def proposed(nodes: DataFrame, most: int, similarity: float, depth: int, crowded
                 continue
             name = [cell.column(c)[0].as_py() for c in _CELL]
             order = np.argsort(cell.column("turned").to_numpy().view(np.uint64), kind="stable")
-            turned, probe, side, key, size = (cell.column(c).to_numpy()[order] for c in ("turned", "probe", "side", "key", "size"))
+            turned, probe, side, key, size, check = (cell.column(c).to_numpy()[order] for c in ("turned", "probe", "side", "key", "size", "check"))
             label = cell.column("label").to_numpy()[order] if "label" in cell.column_names else key
-            held, n, forest = [], 0, None
-            for i, j in _meetings(turned.view(np.uint64), probe, side, name[2] != name[3], depth, most, head):
-                ok = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
-                i, j = i[ok], j[ok]
+
+            def likely() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for i, j in _meetings(turned.view(np.uint64), probe, side, name[2] != name[3], depth, most, head):
+                    ok = (label[i] != label[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9)
+                    ok &= np.bitwise_count((check[i] ^ check[j]).view(np.uint64)) <= CHECK_BITS
+                    yield i[ok], j[ok]
+
+            held, n, degree = [], 0, np.zeros(len(turned), np.int64)
+            for i, j in likely():
                 n += len(i)
-                if forest is None and not whole and n > PAIRS_PER_ROW * len(turned):
-                    forest = Forest(len(turned))
-                    i, j = (np.concatenate([*(h[k] for h in held), x]) for k, x in enumerate((i, j)))
-                    held = []
-                if forest is not None:
-                    some = np.argsort(np.bitwise_count(turned[i].view(np.uint64) ^ turned[j].view(np.uint64)), kind="stable")
-                    i, j = i[some], j[some]
-                    some = thinned(forest, i, j)
-                    i, j = i[some], j[some]
                 if whole:
                     yield from _pair_rows(key[i], key[j], None)
-                else:
+                    continue
+                degree += np.bincount(i, minlength=len(turned)) + np.bincount(j, minlength=len(turned))
+                if n <= PAIRS_PER_ROW * len(turned):
                     held.append((i, j))
-            for i, j in held:
-                yield from _pair_rows(key[i], key[j], name if forest is not None else None)
+            if whole:
+                continue
+            if n > PAIRS_PER_ROW * len(turned):
+                i, j = _centred(len(turned), degree, likely)
+                yield from _pair_rows(key[i], key[j], name)
+            else:
+                for i, j in held:
+                    yield from _pair_rows(key[i], key[j], None)
 
     return cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(run, "a long, b long, trie int, node long, i int, j int")
 
@@ -401,16 +425,8 @@ def _pair_rows(a: np.ndarray, b: np.ndarray, cell: list | None) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *names], ["a", "b", *_CELL])
 
 
-def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. rows: ``key, check``; a key is the id of a row with the set."""
-    sketch = rows.select("key", "check")
-    likely = (
-        pairs.join(sketch.select(F.col("key").alias("a"), F.col("check").alias("ca")), "a")
-        .join(sketch.select(F.col("key").alias("b"), F.col("check").alias("cb")), "b")
-        .filter(F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= CHECK_BITS)
-        .select("a", "b")
-    )
-    likely = cut_lineage(likely)
+def _verified(docs: DataFrame, likely: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. A key is the id of a row with the set."""
     asked = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,15 +479,15 @@ def similar_groups(docs: DataFrame, words: int = NEAR_WORDS, most: int = NEAR_BI
         return cut_lineage(one.join(sets, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component"))
 
     first = cut_lineage(proposed(one, most, similarity, depth))
-    tried = first.select("a", "b").distinct()
-    edges = _verified(docs, one, tried, words, similarity)
+    tried = cut_lineage(first.select("a", "b").distinct())
+    edges = _verified(docs, tried, words, similarity)
     labelled = joined(edges)
     crowded = cut_lineage(first.filter("trie IS NOT NULL").select(*_CELL).distinct())
     if not crowded.isEmpty():
         rest = proposed(labelled, most, similarity, depth, crowded).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         rest = cut_lineage(rest)
         if not rest.isEmpty():
-            labelled = joined(edges.unionByName(_verified(docs, one, rest, words, similarity)))
+            labelled = joined(edges.unionByName(_verified(docs, rest, words, similarity)))
     grouped = nodes.select(F.col("key").alias("set"), "best", F.col("best.rid__").alias("key")).join(labelled.select("key", "label"), "key")
     best = grouped.groupBy("label").agg(F.min("best").alias("first"))
     decided = grouped.select(F.col("set").alias("key"), "label").join(best, "label").select("key", "first")
