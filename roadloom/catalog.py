@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import hashing, measures, shape, tuning
 from roadloom.operators import components as cc
-from roadloom.operators import density, driver_scores as ds, features as ft, group_sums as gs
+from roadloom.operators import density, driver_scores as ds, features as ft, group_sums as gs, hierarchy
 from roadloom.operators import minhash_lsh as lsh, reports, similarity_join as sj
 from roadloom.operators import standards as st, vectors as vx
 from roadloom.operators.ordering import best_per
@@ -30,6 +30,7 @@ L2_MAX = 0.1  # of the largest load a route could have
 FUSED_MAX = {("mean", "jaccard"): 0.8, ("mean", "cosine"): 0.4, ("product", "jaccard"): 0.5, ("weighted product", "jaccard"): 0.7}
 REACH = 0.85  # clustering sees fused distances up to here
 DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
+POSITIONAL_EPS, POSITIONAL_LEAST = 0.32, 10
 MIN_CLUSTER = 3  # the tables hold no planted clusters: small ones count
 KMEANS_ROUNDS = 300  # K-means ends when it converges, at the latest here
 CANONICAL = Settings()
@@ -748,18 +749,46 @@ def route_svd(spark, folder):
     return vx.truncated_svd(vecs, _standard(actual).count()).select("rid", "component", _r("value", "value", 6))
 
 
-def positional_density(spark, folder):
-    vecs, _ = _positional_by_sroute(spark, folder)
+def _positional_graph(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Routes with their form, forms as nodes, edges of near forms, and driven routes per planned one.
+
+    Routes with the same positional vector are one form, named by the lowest number.
+    """
+    actual, standard, cities, items = _coded(spark, folder)
+    vecs = cut_lineage(vx.positional_vectors(actual, cities, items))
     forms = cut_lineage(
-        vecs.withColumn("weight", F.lit(1)).withColumnRenamed("rid", "form").drop("driver")
-    )
-    threshold = 0.98
-    pairs = vx.vector_cosine_pairs(forms, threshold, ["sroute"], [])
-    edges = pairs.select(
-        F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), (1 - F.col("cosine")).alias("d")
+        vecs.groupBy(F.array_sort(F.map_entries("vec")).alias("content"))
+        .agg(F.min("rid").alias("form"), F.count("*").alias("weight"), F.first("vec").alias("vec"), F.first("q").alias("q"))
     )
-    return density.hierarchical_density(
-        forms.select(F.col("form").alias("node"), "weight"), edges, 1 - threshold, 4, 3, min_samples=1
+    members = vecs.withColumn("content", F.array_sort(F.map_entries("vec"))).join(forms.select("content", "form"), "content").drop("content")
+    pairs = vx.vector_cosine_pairs(forms, 1 - POSITIONAL_EPS, [], [])
+    edges = pairs.select(F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), (1 - F.col("cosine")).alias("d"))
+    nodes = forms.select(F.col("form").alias("node"), "weight", F.lit("").alias("scope"))
+    return members, nodes, cut_lineage(edges), tuning.forward_expansion(actual.count(), standard.count())
+
+
+def positional_dbscan(spark, folder):
+    _, nodes, edges, fan = _positional_graph(spark, folder)
+    return density.dbscan(nodes, edges, fan // 2)
+
+
+def _positional_clusters(spark, folder, least: int | None = None) -> DataFrame:
+    members, nodes, edges, fan = _positional_graph(spark, folder)
+    labels = hierarchy.hierarchical_clusters(nodes, edges, least or fan // 2, fan, min_samples=1)
+    return cut_lineage(members.join(labels.withColumnRenamed("node", "form"), "form"))
+
+
+def positional_density(spark, folder):
+    return _positional_clusters(spark, folder).select("rid", "label")
+
+
+def positional_centers(spark, folder):
+    """The medoid of each cluster, small ones too, and how long its centroid is."""
+    inside = _positional_clusters(spark, folder, POSITIONAL_LEAST).filter("label >= 0")
+    medoids = gs.medoids(recommend.cosine_distance_sums(inside, "label"), "label")
+    centers = vx.cluster_centers(inside)
+    return medoids.join(centers.select("label", "q"), "label").select(
+        "label", "rid", "members", _r("sum_d", "sum_d", 6), _r(F.sqrt("q"), "length", 6)
     )
 
 
@@ -850,5 +879,7 @@ QUERIES = {
     "kmeans_labels": kmeans_labels,
     "kmeans_clustroids": kmeans_clustroids,
     "route_svd": route_svd,
+    "positional_dbscan": positional_dbscan,
     "positional_density": positional_density,
+    "positional_centers": positional_centers,
 }

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -13,9 +16,9 @@ from roadloom.functions import measures, shape
 from roadloom.operators.features import dictionary, with_merch
 from roadloom.operators.ordering import best_per
 from roadloom.operators.similarity_join import EPS, similar_pairs
-from roadloom.session import broadcast_if_small, cut_lineage
+from roadloom.session import Scratch, broadcast_if_small, cut_lineage
 
-MAX_SVD_FEATURES = 4_000
+SVD_BROADCAST_ROWS = 50_000
 
 
 def code_tables(*routes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -233,40 +236,87 @@ def cluster_centers(vectors: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def truncated_svd(vectors: DataFrame, components: int) -> DataFrame:
-    """``rid, component, value``: projection on the leading right singular vectors.
+def _gram(rows: DataFrame, columns: list[str]) -> np.ndarray:
+    """The products of all columns, added up by Spark; small whatever the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(columns), len(columns)))
+        for batch in batches:
+            block = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+            total += block.T @ block
+        i, j = np.indices(total.shape)
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "g"])
+
+    parts = rows.select(*columns).mapInArrow(run, "i long, j long, g double")
+    out = np.zeros((len(columns), len(columns)))
+    for r in parts.groupBy("i", "j").agg(F.sum("g").alias("g")).collect():  # the square of the columns
+        out[r["i"], r["j"]] = r["g"]
+    return out
+
+
+def _turned(rows: DataFrame, key: str, columns: list[str], by: np.ndarray) -> DataFrame:
+    """The columns times a small matrix."""
+    names = [f"c{k}" for k in range(by.shape[1])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = np.stack([batch.column(c).to_numpy() for c in columns], axis=1) @ by if columns else np.zeros((batch.num_rows, 0))
+            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(block[:, k]) for k in range(len(names)))], [key, *names])
+
+    schema = ", ".join([f"`{key}` {dict(rows.dtypes)[key]}", *(f"{c} double" for c in names)])
+    return rows.select(key, *columns).mapInArrow(run, schema)
+
+
+def _whitening(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What makes columns with this Gram matrix orthonormal, largest first, without null directions; and its eigenvalues."""
+    values, axes = np.linalg.eigh(gram)
+    values, axes = values[::-1], axes[:, ::-1]
+    some = values > max(float(values[0]), 0.0) * 1e-13 if len(values) else np.zeros(0, bool)
+    return axes[:, some] / np.sqrt(values[some]), values[some]
 
-    The Gram matrix of the features is summed on the cluster, one small row per
-    feature pair; its size is checked before its eigenvectors are computed.
+
+def _times(long: DataFrame, table: DataFrame, on: str, to: str, columns: list[str]) -> DataFrame:
+    """A sparse matrix (``rid, key, x``) times a table of columns: one row per ``to``."""
+    sums = [F.sum(F.col("x") * F.col(c)).alias(c) for c in columns]
+    if not sums:
+        return long.select(to).distinct()
+    return long.join(broadcast_if_small(table, SVD_BROADCAST_ROWS), on).groupBy(to).agg(*sums)
+
+
+def truncated_svd(vectors: DataFrame, components: int, oversample: int = 10, rounds: int = 5) -> DataFrame:
+    """``rid, component, value``: projection on the leading right singular vectors, by randomized subspace iteration.
+
+    vectors: ``rid, vec``. A block of ``components + oversample`` columns, started from
+    hashes of the features, is multiplied by the matrix and its transpose in
+    turn, as joins and sums, and made orthonormal after each from its Gram matrix. Only
+    matrices of the block's width reach the driver, whatever the number of
+    features. In each component the feature of largest weight is positive.
     """
-    features = vectors.select(F.explode(F.map_keys("vec")).alias("key")).distinct()
-    if features.limit(MAX_SVD_FEATURES + 1).count() > MAX_SVD_FEATURES:
-        raise ValueError(f"SVD supports at most {MAX_SVD_FEATURES} features")
-    codes = cut_lineage(dictionary(features, "key", first_code=0))
-    gram = (
-        vectors.select("vec", F.explode("vec").alias("k1", "x"))
-        .select("k1", "x", F.explode("vec").alias("k2", "y"))
-        .groupBy("k1", "k2")
-        .agg(F.sum(F.col("x") * F.col("y")).alias("g"))
-    )
-    coded = (
-        gram.join(codes.select(F.col("value").alias("k1"), F.col("code").alias("i")), "k1")
-        .join(codes.select(F.col("value").alias("k2"), F.col("code").alias("j")), "k2")
-        .select("i", "j", "g")
-        .toPandas()
-    )
-    size = codes.count()
-    matrix = np.zeros((size, size))
-    matrix[coded["i"].to_numpy(), coded["j"].to_numpy()] = coded["g"].to_numpy()
-    _, axes = np.linalg.eigh(matrix)
-    axes = axes[:, ::-1][:, :components]
-    spark = vectors.sparkSession
-    weights = spark.createDataFrame(
-        [(int(i), [float(v) for v in axes[i]]) for i in range(size)], "code bigint, axis array<double>"
-    ).join(codes, "code").select(F.col("value").alias("key"), F.posexplode("axis").alias("component", "c"))
-    long = vectors.select("rid", F.explode("vec").alias("key", "x"))
-    return (
-        long.join(broadcast_if_small(cut_lineage(weights)), "key")
-        .groupBy("rid", "component")
-        .agg(F.sum(F.col("x") * F.col("c")).alias("value"))
-    )
+    width = components + oversample
+    with Scratch(vectors.sparkSession) as kept:
+        long = kept(vectors.select("rid", F.explode("vec").alias("key", "x")).filter("x <> 0"))
+        start = [(F.pmod(F.xxhash64("key", F.lit(j)), F.lit(1 << 20)) / float(1 << 19) - 1).alias(f"c{j}") for j in range(width)]
+        axes = kept(long.select("key").distinct().select("key", *start))
+
+        def orthonormal(rows: DataFrame, key: str) -> DataFrame:
+            names = [c for c in rows.columns if c != key]
+            return kept(_turned(rows, key, names, _whitening(_gram(rows, names))[0]))
+
+        axes = orthonormal(axes, "key")
+        for _ in range(rounds):
+            before = kept.count
+            scores = orthonormal(kept(_times(long, axes, "key", "rid", axes.columns[1:])), "rid")
+            axes = orthonormal(kept(_times(long, scores, "rid", "key", scores.columns[1:])), "key")
+            kept.free(1, before)
+            kept.free(before, kept.count - 1)
+        scores = kept(_times(long, axes, "key", "rid", axes.columns[1:]))
+        names = scores.columns[1:]
+        values, turn = np.linalg.eigh(_gram(scores, names)) if names else (np.zeros(0), np.zeros((0, 0)))
+        turn = turn[:, ::-1][:, : min(components, int((values > 0).sum()))]
+        leading = _turned(axes, "key", names, turn)
+        taken = leading.columns[1:]
+        largest = leading.agg(*[F.max_by(c, F.struct(F.round(F.abs(c), 9), "key")).alias(c) for c in taken]).first() if taken else []
+        signs = np.array([-1.0 if w is not None and w < 0 else 1.0 for w in largest])
+        found = _turned(scores, "rid", names, turn * signs)
+        pairs = F.posexplode(F.array(*[F.col(c) for c in taken]) if taken else F.array().cast("array<double>")).alias("component", "value")
+        return cut_lineage(found.select("rid", pairs))

@@ -459,6 +459,26 @@ STATEMENTS |= {
 }
 
 
+CTES |= {
+    "pforms": ("slots", """SELECT min(rid) form, count(*) weight FROM (
+        SELECT rid, list(slot || '=' || value ORDER BY slot) content FROM slots GROUP BY rid) GROUP BY content"""),
+    "pvec": ("pforms posu", """SELECT form, any_value(weight) weight, list(coalesce(u, 0.0) ORDER BY slot) v
+        FROM (SELECT form, weight, slot FROM pforms CROSS JOIN (SELECT DISTINCT slot FROM posu))
+        LEFT JOIN (SELECT rid form, slot, u FROM posu) USING (form, slot) GROUP BY form"""),
+    "pedges": ("pvec", f"""SELECT x.form a, y.form b FROM pvec x JOIN pvec y ON x.form < y.form
+        WHERE list_dot_product(x.v, y.v) >= 1 - {catalog.POSITIONAL_EPS} - 1e-9"""),
+    "pboth": ("pedges", "SELECT a x, b y FROM pedges UNION ALL SELECT b, a FROM pedges"),
+    "pcore": ("pforms pboth routes stds", """SELECT form, weight + coalesce(near, 0) >= (SELECT count(*) FROM routes) // (SELECT count(*) FROM stds) // 2 core
+        FROM pforms LEFT JOIN (SELECT x form, sum(weight) near FROM pboth JOIN pforms ON form = y GROUP BY x) USING (form)"""),
+    "preach": ("pcore pboth", """SELECT form node, form c FROM pcore WHERE core
+        UNION SELECT e.y, r.c FROM preach r JOIN pboth e ON e.x = r.node JOIN pcore k ON k.form = e.y AND k.core"""),
+    "plabel": ("preach", "SELECT node, min(c) label FROM preach GROUP BY node"),
+}
+STATEMENTS["positional_dbscan"] = ("pcore plabel pboth", """SELECT form node, coalesce(own.label, edge.label, -1) AS label, core
+    FROM pcore LEFT JOIN plabel own ON own.node = form
+    LEFT JOIN (SELECT x, min(label) AS label FROM pboth JOIN plabel ON node = y GROUP BY x) edge ON edge.x = form""")
+
+
 # --- the density hierarchy: parts of the graph at every distance of a driver ------------------------
 CTES |= {
     "hn": ("dforms dedges", """SELECT driver, form x, weight w, greatest(CASE WHEN weight >= 2 THEN 0 ELSE d END, 1e-6) c FROM dforms
@@ -530,7 +550,7 @@ def _ordered(names: list[str], done: list[str]) -> list[str]:
 
 
 RECURSIVE = {
-    "reach": "node, c", "creach": "node, c", "hreach": "driver, t, x, y", "hstep": "driver, i, best, keep",
+    "reach": "node, c", "creach": "node, c", "preach": "node, c", "hreach": "driver, t, x, y", "hstep": "driver, i, best, keep",
     "hwalk": "x, driver, born, name, keep, pborn, pname",
 }
 

@@ -70,12 +70,20 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def free(self, first: int, last: int) -> None:
+        """Remove the tables written as number ``first`` up to, not including, ``last``."""
+        for number in range(first, last):
+            self._remove(f"{self.folder}/{number}")
+
+    def _remove(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._remove(self.folder)
 
 
 BROADCAST_ROWS = 500_000

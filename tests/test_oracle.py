@@ -14,7 +14,8 @@ NAMES = [
     "lsh_refined_top5", "driver_ideal_pairvec", "driver_mean_distance_jaccard", "components", "dbscan_routes",
     "decoded_routes", "standard_spread", "tuning", "driver_edges", "driver_top5_maxsim", "cluster_scores_by_trips",
     "ideal_by_trips", "recommended_by_plan", "improvement_by_plan", "cluster_sizes_by_plan", "medoids_in_plan_order",
-    "written_plans", "written_top5", "written_ideal",
+    "written_plans", "written_top5", "written_ideal", "density_labels_driver", "ideal_route", "driver_pairs_l2",
+    "driver_pairs_fused_product", "driver_pairs_fused_mean_cosine", "positional_dbscan",
 ]
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,6 +217,26 @@ def test_svd_keeps_the_gram_matrix(spark):
             assert kept == pytest.approx(full, abs=1e-9)
 
 
+def test_svd_of_more_features_than_a_driver_would_hold(spark):
+    rng = np.random.default_rng(4)
+    n, f, rank = 30, 4500, 4
+    plain = rng.normal(size=(n, rank)) * [9, 6, 4, 3] @ rng.normal(size=(rank, f)) / f**0.5 + 0.01 * rng.normal(size=(n, f)) / f**0.5
+    df = spark.createDataFrame([(i, {f"f{j}": float(plain[i, j]) for j in range(f)}) for i in range(n)], "rid bigint, vec map<string,double>")
+    got = np.zeros((n, rank))
+    for r in vx.truncated_svd(df, rank, rounds=3).collect():
+        got[r.rid, r.component] = r.value
+    left, values, _ = np.linalg.svd(plain, full_matrices=False)
+    want = left[:, :rank] * values[:rank]
+    assert np.linalg.norm(got, axis=0) == pytest.approx(values[:rank], rel=1e-6)
+    assert np.abs(np.abs(got) - np.abs(want)).max() < 1e-4
+    residue = np.linalg.norm(got @ np.linalg.lstsq(got, plain, rcond=None)[0] - plain)
+    assert residue == pytest.approx(np.linalg.norm(values[rank:]), rel=1e-4)
+
+
+def test_svd_of_nothing(spark):
+    assert vx.truncated_svd(spark.createDataFrame([], "rid bigint, vec map<string,double>"), 3).collect() == []
+
+
 def test_vector_pairs_complete(spark):
     rng = random.Random(2)
     rows = []
