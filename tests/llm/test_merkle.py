@@ -73,14 +73,17 @@ def drop_lines(row):
     return row[1].replace("\n", "") if row[1] is not None and zlib.crc32(("" if row[0] is None else str(row[0])).encode()) % 2 == 0 else row[1]
 
 
-CHANGED = F.when(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+def changed():
+    """The same as a column."""
+    even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0
+    return F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
 
 
 @pytest.mark.parametrize("n_of", [{"a": 1}, {"a": 300, None: 1, "b": 2, "é": 3, "z": 82, "y": 81, "": 4}, {f"s{k}": 1 + k % 3 for k in range(90)}])
 def test_manifest_equals_a_tree_in_python(spark, n_of):
     rows = made(n_of)
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
-    got = sorted(map(tuple, merkle.manifest(docs, CHANGED).collect()), key=str)
+    got = sorted(map(tuple, merkle.manifest(docs, changed()).collect()), key=str)
     assert got == expected(rows, drop_lines)
 
 
@@ -95,6 +98,6 @@ def test_only_changed_texts_fail(spark):
 def test_awkward_rows(spark, awkward, empty):
     rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in awkward.collect()]
     clashing = awkward.withColumn("leaf", F.lit("x")).withColumn("tree", F.lit(1)).withColumn("lo", F.lit(2)).withColumn("root", F.lit(None))
-    assert sorted(map(tuple, merkle.manifest(clashing, CHANGED).collect()), key=str) == expected(rows, drop_lines)
+    assert sorted(map(tuple, merkle.manifest(clashing, changed()).collect()), key=str) == expected(rows, drop_lines)
     assert merkle.manifest(empty).collect() == []
     assert merkle.manifest(empty).columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
