@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import hashing, measures, shape, tuning
 from roadloom.operators import components as cc
-from roadloom.operators import density, driver_scores as ds, features as ft, group_sums as gs, hierarchy
+from roadloom.operators import density, diameter, driver_scores as ds, features as ft, group_sums as gs, hierarchy
 from roadloom.operators import minhash_lsh as lsh, reports, similarity_join as sj
 from roadloom.operators import standards as st, vectors as vx
 from roadloom.operators.ordering import best_per
@@ -33,6 +33,7 @@ DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
 POSITIONAL_EPS, POSITIONAL_LEAST = 0.32, 10
 MIN_CLUSTER = 3  # the tables hold no planted clusters: small ones count
 KMEANS_ROUNDS = 300  # K-means ends when it converges, at the latest here
+ID_CHUNK = 10  # ids per list; small, so that the tables' drivers have several
 CANONICAL = Settings()
 DRIVER = ["driver"]
 
@@ -323,6 +324,13 @@ def driver_routes(spark, folder):
     )
 
 
+def driver_route_lists(spark, folder):
+    rows = ft.driver_standard_table(_actual(spark, folder, False))
+    return reports.id_lists(rows, "driver", "rid", ID_CHUNK).select(
+        "driver", "chunk", F.size("ids").alias("n"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("rids")
+    )
+
+
 def driver_standard_table(spark, folder):
     return ft.driver_standard_table(_actual(spark, folder, False))
 
@@ -362,6 +370,11 @@ def merch_signatures(spark, folder):
     return signed.select("rid", F.array_join("msig", ",").alias("signature"))
 
 
+def merch_weighted_signatures(spark, folder):
+    signed = lsh.with_weighted_signature(ft.with_features(_actual(spark, folder), K), MERCH_SIGNATURE)
+    return signed.select("rid", F.array_join("msig", ",").alias("signature"))
+
+
 def _candidates(spark, folder) -> tuple[DataFrame, DataFrame]:
     forms = _set_forms(spark, folder)
     bands, rows = tuning.bands_and_rows(SIGNATURE, LSH_THRESHOLD)
@@ -468,6 +481,12 @@ def _mean_distance_query(metric: str, fusion: str = "mean"):
     return query
 
 
+def driver_mean_distance_weighted(spark, folder):
+    signed = _signed(_actual(spark, folder), False)
+    means = ideal.mean_distances(cut_lineage(lsh.with_weighted_signature(signed, MERCH_SIGNATURE)), "jaccard", CANONICAL.alpha)
+    return means.select("driver", "rid", _r("mean_d", "mean_d"))
+
+
 def _labels(features: DataFrame, largest: int) -> DataFrame:
     return ideal.driver_labels(features, "jaccard", CANONICAL.alpha, REACH, 2, largest)
 
@@ -590,6 +609,13 @@ def ideal_by_trips(spark, folder):
     )
 
 
+def running_divergence_by_trips(spark, folder):
+    """As ``running_divergence``, but over each driver's chosen cluster only."""
+    _, labels, means = _scored_by_trips(spark, folder)
+    out = reports.running_ratio(ideal.ideal_routes(labels, means).select("driver", "best", "mean"))
+    return out.select(*[_r(c, c, 6) for c in out.columns])
+
+
 def _labelled_by_plan(spark, folder):
     """Routes of one plan as clusters, named by the plan's number."""
     actual = _routes(spark, folder)
@@ -715,6 +741,24 @@ def standard_pair_spread(spark, folder):
     return spread.select("sroute", "n", _r("mean_dist", "mean_dist", 6))
 
 
+def standard_pair_extremes(spark, folder):
+    vecs, _ = _positional_by_sroute(spark, folder)
+    mean = reports.mean_pair_distance(vecs, "sroute")
+    return mean.join(diameter.largest_distance(vecs, "sroute"), "sroute").select(
+        "sroute", "n", _r("mean_dist", "mean_dist", 6), _r("max_dist", "max_dist", 6)
+    )
+
+
+def standard_pair_report(spark, folder):
+    rows = standard_pair_extremes(spark, folder)
+    return rows.agg(_r(F.avg("max_dist"), "mean_max", 5), _r(F.avg("mean_dist"), "mean_mean", 5))
+
+
+def standard_spread_report(spark, folder):
+    out = reports.spread_improvement(standard_spread(spark, folder), "clustroid_d", "plan_d")
+    return out.select("clusters", *[_r(c, c, 3) for c in out.columns[1:]])
+
+
 def nearest_center_by_sroute(spark, folder):
     vecs, planned = _positional_by_sroute(spark, folder)
     labelled = vecs.withColumnRenamed("sroute", "label")
@@ -722,6 +766,13 @@ def nearest_center_by_sroute(spark, folder):
     return found.select("std_no", "label", _r("dist", "dist", 6))
 
 
+def nearest_center_walk(spark, folder):
+    vecs, planned = _positional_by_sroute(spark, folder)
+    labelled = vecs.withColumnRenamed("sroute", "label")
+    found = cut_lineage(recommend.nearest_clusters(labelled.select("label", "vec", "q"), planned))
+    return recommend.first_clash(found).select("std_no", "label", "placed", "stopped_at", "valid")
+
+
 def cluster_purity(spark, folder):
     rows = _actual(spark, folder, False).select("sroute", F.size("route").alias("label"))
     return reports.cluster_purity(rows).select("sroute", _r("purity", "purity"))
@@ -743,6 +794,18 @@ def kmeans_clustroids(spark, folder):
     return clustroids.select("label", "rid", "members", _r("sum_d", "sum_d", 6))
 
 
+def written_kmeans(spark, folder):
+    """The K-means answer through its file: each cluster's clustroid, decoded from its vector."""
+    actual, standard, cities, items = _coded(spark, folder)
+    labelled, clustroids = recommend.kmeans_recommended(actual, standard, standard.count(), max_iter=KMEANS_ROUNDS)
+    planned = vx.positional_vectors(standard, cities, items, "std_no")
+    chosen = recommend.numbered(cut_lineage(recommend.clustroid_matches(labelled, clustroids, planned)))
+    path = _file(spark, "standardKMeans")
+    route_files.write_standard(recommend.decoded_clustroids(chosen, labelled, cities, items), path)
+    again = route_files.read_standard(spark, path, multiline=False)
+    return again.select(F.col("std_no").alias("new_no"), F.size("route").alias("trips"), F.array_join(shape.nodes(), ">").alias("path"))
+
+
 def route_svd(spark, folder):
     actual = _routes(spark, folder)
     vecs = cut_lineage(vx.pair_vectors(actual, "rid"))
@@ -882,4 +945,13 @@ QUERIES = {
     "positional_dbscan": positional_dbscan,
     "positional_density": positional_density,
     "positional_centers": positional_centers,
+    "standard_pair_extremes": standard_pair_extremes,
+    "standard_pair_report": standard_pair_report,
+    "standard_spread_report": standard_spread_report,
+    "nearest_center_walk": nearest_center_walk,
+    "written_kmeans": written_kmeans,
+    "driver_route_lists": driver_route_lists,
+    "merch_weighted_signatures": merch_weighted_signatures,
+    "driver_mean_distance_weighted": driver_mean_distance_weighted,
+    "running_divergence_by_trips": running_divergence_by_trips,
 }

@@ -52,6 +52,34 @@ def signature(tokens: str, size: int, seed: int = 17) -> Column:
     )
 
 
+def sampling_parameters(item: str, position: str) -> Column:
+    """What consistent weighted sampling draws per (item, position): ``r, c`` ~ Gamma(2, 1) and ``beta`` in (0, 1).
+
+    Five numbers of 24 bits each from one md5; a Gamma(2, 1) is the negative
+    logarithm of a product of two of them.
+    """
+    digest = F.md5(F.concat_ws("#", F.lit("w"), F.col(item), F.col(position).cast("string")))
+
+    def uniform(i: int) -> Column:
+        return (F.conv(F.substring(digest, 6 * i + 1, 6), 16, 10).cast("double") + 0.5) / float(1 << 24)
+
+    return F.struct(
+        (-F.log(uniform(0) * uniform(1))).alias("r"),
+        (-F.log(uniform(2) * uniform(3))).alias("c"),
+        uniform(4).alias("beta"),
+    )
+
+
+def weighted_sample(weight: str, r: str, c: str, beta: str) -> Column:
+    """Level ``t`` and rank ``a`` of one item at one position; per position the item of least rank is the sample.
+
+    Two loads draw the same (item, level) with the probability of their weighted
+    Jaccard. The work does not depend on the weight, which may be fractional.
+    """
+    t = F.floor(F.log(F.col(weight).cast("double")) / F.col(r) + F.col(beta))
+    return F.struct((F.log(c) - F.col(r) * (t - F.col(beta) + 1)).alias("a"), t.alias("t"))
+
+
 def matching_share(left: str, right: str, size: int) -> Column:
     """MinHash estimate of the Jaccard index: share of equal positions."""
     equal = F.filter(F.zip_with(left, right, lambda x, y: x == y), lambda z: z)

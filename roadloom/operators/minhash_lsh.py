@@ -43,6 +43,34 @@ def with_merch_signature(features: DataFrame, size: int) -> DataFrame:
     return features.join(minima, "rid", "left").withColumn("msig", F.coalesce("msig", empty))
 
 
+def with_weighted_signature(features: DataFrame, size: int) -> DataFrame:
+    """Add ``msig`` by consistent weighted sampling: the weighted Jaccard with constant work per item and position.
+
+    Unlike :func:`with_merch_signature` the work does not grow with the
+    quantities. An item without a positive quantity does not count; an empty load
+    has an empty signature.
+    """
+    loads = merch_rows(features, "rid").filter("qty > 0")
+    drawn = cut_lineage(
+        loads.select("item")
+        .distinct()
+        .select("item", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("i"))
+        .withColumn("p", hashing.sampling_parameters("item", "i"))
+        .groupBy("item")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "p"))), lambda x: x["p"]).alias("drawn"))
+    )
+    rows = loads.join(broadcast_if_small(drawn, MERCH_KINDS), "item").select("rid", "item", "qty", F.posexplode("drawn").alias("i", "p"))
+    ranked = rows.select("rid", "item", "i", hashing.weighted_sample("qty", "p.r", "p.c", "p.beta").alias("s"))
+    # The least rank per position is found per route before anything is hashed.
+    least = ranked.groupBy("rid", "i").agg(F.min(F.struct("s.a", "item", "s.t")).alias("s"))
+    named = shape.stable_hash(F.concat_ws("#", "s.item", F.col("s.t").cast("string"))) % F.lit(hashing.MODULUS)
+    signed = least.groupBy("rid").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", named.alias("v")))), lambda x: x["v"]).alias("msig")
+    )
+    empty = F.array().cast("array<bigint>")
+    return features.join(signed, "rid", "left").withColumn("msig", F.coalesce("msig", empty))
+
+
 def candidate_pairs(forms: DataFrame, bands: int, rows: int) -> DataFrame:
     """Form pairs whose share of equal bands reaches the band threshold: ``a, b, share``.
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from roadloom.functions import shape
 from roadloom.operators.group_sums import unit_vector_sums
-from roadloom.session import cut_lineage
+from roadloom.operators.ordering import dense_index
+from roadloom.session import broadcast_if_small, cut_lineage
 
 
 def spread(costs: DataFrame, column: str) -> DataFrame:
@@ -169,3 +170,27 @@ def invalid_distances(edges: DataFrame, column: str = "d") -> DataFrame:
     return edges.agg(
         F.count("*").alias("pairs"), F.count(F.when(bad, 1)).alias("invalid")
     )
+
+
+def spread_improvement(spreads: DataFrame, chosen: str, given: str) -> DataFrame:
+    """One row: mean and deviation of two columns, and by what share the first mean is lower."""
+    return spreads.agg(
+        F.count("*").alias("clusters"),
+        *[f(c).alias(f"{name}_{c}") for c in (chosen, given) for f, name in ((F.avg, "mean"), (F.stddev_pop, "std"))],
+    ).withColumn("improvement", 1 - F.try_divide(f"mean_{chosen}", f"mean_{given}"))
+
+
+def id_lists(rows: DataFrame, group: str, key: str, length: int) -> DataFrame:
+    """``group, chunk, ids``: each group's keys in order, in lists of at most ``length``.
+
+    Rows are numbered over all groups at once, and a group's chunks count from its
+    first number, so a group with a third of all rows is spread over many tasks.
+    """
+    placed = cut_lineage(dense_index(rows.select(group, key), group, "_at", tie=key))
+    first = placed.groupBy(group).agg(F.min("_at").alias("_first"))
+    chunk = F.expr(f"(_at - _first) div {length}").alias("chunk")
+    return (
+        placed.join(broadcast_if_small(first), group)
+        .groupBy(group, chunk)
+        .agg(F.array_sort(F.collect_list(key)).alias("ids"))
+    )

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import Normalizer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadloom.functions import measures, shape
 from roadloom.operators.features import dictionary, with_merch
@@ -174,21 +175,22 @@ def standard_cosine(actual: DataFrame, standard: DataFrame, keep: tuple[str, ...
     )
 
 
-def ml_vectors(vectors: DataFrame, dimension: int) -> DataFrame:
-    """``features`` as an ML vector; the assembler stores it sparse when that is smaller.
+def ml_vectors(vectors: DataFrame, dimension: int, kept: Scratch) -> DataFrame:
+    """``features`` as a sparse ML vector beside the other columns; no dense array is ever built.
 
-    ``vec`` must have ascending keys, as :func:`positional_vectors` builds it:
-    each entry is preceded by the zeros of the gap before it.
+    The column is written in the storage form of an ML vector (kind, size,
+    positions, values) and read back as one, so positions are sorted, and K-means
+    reads a table in its rounds instead of building the vectors again.
     """
-    dense = F.expr(
-        f"""flatten(concat(
-            transform(map_entries(vec), (e, j) -> concat(
-                array_repeat(0D, e.key - if(j = 0, -1, map_keys(vec)[j - 1]) - 1),
-                array(cast(e.value AS double)))),
-            array(array_repeat(0D, {dimension} - 1 - coalesce(array_max(map_keys(vec)), -1)))))"""
+    entries = F.array_sort(F.filter(F.map_entries("vec"), lambda e: e["value"] != 0))
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(dimension).alias("size"),
+        F.transform("_entries", lambda e: e["key"].cast("int")).alias("indices"),
+        F.transform("_entries", lambda e: e["value"].cast("double")).alias("values"),
     )
-    raw = vectors.withColumn("raw", array_to_vector(dense))
-    return VectorAssembler(inputCols=["raw"], outputCol="features").transform(raw).drop("raw")
+    plain = shape.once(vectors, "_entries", entries).withColumn("features", stored).drop("_entries")
+    return kept.read_as(plain, T.StructType([*vectors.schema.fields, T.StructField("features", VectorUDT())]))
 
 
 def normalized(vectors: DataFrame) -> DataFrame:
@@ -196,10 +198,19 @@ def normalized(vectors: DataFrame) -> DataFrame:
     return Normalizer(inputCol="features", outputCol="unit", p=2.0).transform(vectors)
 
 
-def kmeans(vectors: DataFrame, k: int, seed: int = 1, max_iter: int = 20) -> tuple[KMeansModel, DataFrame]:
-    """Model and the input with ``label``."""
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="label").fit(vectors)
-    return model, model.transform(vectors)
+def kmeans(
+    vectors: DataFrame, k: int, seed: int = 1, max_iter: int = 20, rows_per_part: int = 100_000
+) -> tuple[KMeansModel, DataFrame]:
+    """Model and the input with ``label``.
+
+    The start is drawn per partition, so rows are dealt by ``rid`` to a number of
+    parts that follows from their count alone and sorted there: the same seed
+    gives the same start on any cluster and in any order of input.
+    """
+    parts = 1 + vectors.count() // rows_per_part
+    dealt = vectors.repartition(parts, "rid").sortWithinPartitions("rid")
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="label").fit(dealt)
+    return model, model.transform(dealt)
 
 
 def nearest_center(centers: DataFrame, standard: DataFrame) -> DataFrame:

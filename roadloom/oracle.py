@@ -541,6 +541,44 @@ STATEMENTS["ideal_route"] = ("hlabel iscore dsum_jac routes", """SELECT driver,
     QUALIFY row_number() OVER (PARTITION BY driver ORDER BY round(mean_d, 9), rid) = 1""")
 
 
+# --- consistent weighted sampling, largest distances, clashes, lists --------------------------------
+_U = [f"((('0x' || substr(dig, {6 * i + 1}, 6))::BIGINT::DOUBLE + 0.5) / {1 << 24}.0)" for i in range(5)]
+CTES |= {
+    "draws": ("merch", f"""SELECT item, i, -ln({_U[0]} * {_U[1]}) r, -ln({_U[2]} * {_U[3]}) c, {_U[4]} beta
+        FROM (SELECT item, i, md5('w#' || item || '#' || i) dig FROM (SELECT DISTINCT item FROM merch), range({catalog.MERCH_SIGNATURE}) p(i))"""),
+    "wsig": ("draws merch", f"""SELECT rid, i, {_token("item || '#' || t")} v FROM (
+        SELECT rid, i, item, t, ln(c) - r * (t - beta + 1) a
+        FROM (SELECT *, floor(ln(qty::DOUBLE) / r + beta)::BIGINT t FROM merch JOIN draws USING (item)))
+        QUALIFY row_number() OVER (PARTITION BY rid, i ORDER BY a, item) = 1"""),
+    "walk": ("slots stds routes", STATEMENTS["nearest_center_by_sroute"][1]),
+    "extremes": ("posu possum", """SELECT p.sroute, p.n, p.mean_dist, 1 - min(coalesce(dot, 0)) max_dist
+        FROM (SELECT sroute, n, sum(sum_d) / (n * (n - 1)) mean_dist FROM possum GROUP BY sroute, n) p
+        JOIN (SELECT a.sroute, a.rid x, b.rid y, sum(a.u * b.u) dot FROM posu a JOIN posu b ON a.sroute = b.sroute AND a.slot = b.slot AND a.rid < b.rid
+              GROUP BY ALL) d USING (sroute) GROUP BY ALL"""),
+    "spreads": ("possum posu poscent stds", STATEMENTS["standard_spread"][1]),
+}
+_group_distance("dsum_weighted", "driver", "jaccard")
+CTES["dsum_weighted"] = ("routes sig2 wsig", CTES["dsum_weighted"][1].replace("FROM msig", "FROM wsig"))
+STATEMENTS |= {
+    "merch_weighted_signatures": ("wsig", "SELECT rid, string_agg(v::VARCHAR, ',' ORDER BY i) signature FROM wsig GROUP BY rid"),
+    "driver_mean_distance_weighted": ("dsum_weighted", "SELECT driver, rid, round(sum_d / members, 10) mean_d FROM dsum_weighted"),
+    "standard_pair_extremes": ("extremes", "SELECT sroute, n, round(mean_dist, 6) mean_dist, round(max_dist, 6) max_dist FROM extremes"),
+    "standard_pair_report": ("extremes", """SELECT round(avg(round(max_dist, 6)), 5) mean_max,
+        round(avg(round(mean_dist, 6)), 5) mean_mean FROM extremes"""),
+    "standard_spread_report": ("spreads", """SELECT count(*) clusters, round(avg(clustroid_d), 3) mean_clustroid_d,
+        round(stddev_pop(clustroid_d), 3) std_clustroid_d, round(avg(plan_d), 3) mean_plan_d, round(stddev_pop(plan_d), 3) std_plan_d,
+        round(1 - avg(clustroid_d) / avg(plan_d), 3) improvement FROM spreads"""),
+    "nearest_center_walk": ("walk", """SELECT std_no, label, stopped_at IS NULL OR std_no < stopped_at placed, stopped_at, stopped_at IS NULL valid
+        FROM walk, (SELECT min(b.std_no) stopped_at FROM walk a JOIN walk b ON a.label = b.label AND a.std_no < b.std_no)"""),
+    "driver_route_lists": ("routes", f"""SELECT driver, chunk, count(*)::INTEGER n, string_agg(rid::VARCHAR, ',' ORDER BY rid) rids FROM (
+        SELECT driver, rid, (row_number() OVER (PARTITION BY driver ORDER BY rid) - 1) // {catalog.ID_CHUNK} chunk FROM routes) GROUP BY driver, chunk"""),
+    "running_divergence_by_trips": ("tideal", """SELECT round(avg(best), 6) mean_best, round(avg(mean), 6) mean_mean,
+        round(avg(rb / rm), 6) running_ratio, round(avg(coalesce(round(best, 9) / nullif(round(mean, 9), 0), 0)), 6) driver_ratio,
+        round((1 - avg(rb / rm)) * 100, 6) change FROM (
+        SELECT best, mean, sum(best) OVER w rb, sum(mean) OVER w rm FROM tideal WINDOW w AS (ORDER BY driver ROWS UNBOUNDED PRECEDING))"""),
+}
+
+
 def _ordered(names: list[str], done: list[str]) -> list[str]:
     for name in names:
         if name not in done:

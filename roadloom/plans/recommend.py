@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from roadloom.functions import measures, tuning
 from roadloom.operators import features as ft, group_sums, hierarchy, minhash_lsh, reports, vectors
 from roadloom.operators import similarity_join as sj, standards as st
-from roadloom.operators.ordering import best_per, dense_index
-from roadloom.session import cut_lineage
+from roadloom.operators.ordering import best_per, dense_index, top_per
+from roadloom.session import Scratch, cut_lineage
 from roadloom.settings import Settings
 
 
@@ -120,12 +120,51 @@ def kmeans_recommended(
     cities, items = vectors.code_tables(actual, standard)
     vecs = cut_lineage(vectors.positional_vectors(actual, cities, items))
     last = vecs.agg(F.max(F.array_max(F.map_keys("vec"))).alias("last")).first()["last"]
-    _, labelled = vectors.kmeans(vectors.ml_vectors(vecs, last + 1), k, seed, max_iter)
-    labelled = cut_lineage(labelled.select("rid", "label", "vec", "q"))
+    with Scratch(vecs.sparkSession) as kept:
+        _, labelled = vectors.kmeans(vectors.ml_vectors(vecs, (last or 0) + 1, kept), k, seed, max_iter)
+        labelled = cut_lineage(labelled.select("rid", "label", "vec", "q"))
     sums = cosine_distance_sums(labelled, "label")
     return labelled, group_sums.medoids(sums, "label")
 
 
+def clustroid_matches(labelled: DataFrame, clustroids: DataFrame, planned: DataFrame) -> DataFrame:
+    """``label, rid, members, sum_d, std_no, sim``: each clustroid with the planned route of highest positional cosine.
+
+    labelled: ``rid, label, vec, q``; planned: ``std_no, vec, q``. A clustroid
+    that shares no slot with any plan is left without one.
+    """
+    chosen = labelled.select("rid", "vec", "q").join(clustroids.select("rid"), "rid", "left_semi")
+    sims = vectors.standard_cosine(chosen, planned)
+    best = best_per(sims, ["rid"], -F.round("sim", 9), F.col("std_no"), keep=["std_no", "sim"])
+    return clustroids.join(best, "rid", "left")
+
+
+def numbered(matches: DataFrame) -> DataFrame:
+    """``new_no`` by matched plan if every clustroid has its own plan, otherwise by label."""
+    pairs_off = matches.agg((F.count("*") == F.count_distinct("std_no")).alias("ok")).first()["ok"]
+    return dense_index(matches, "std_no" if pairs_off else "label", "new_no").withColumn("by_plan", F.lit(pairs_off))
+
+
+def decoded_clustroids(chosen: DataFrame, labelled: DataFrame, cities: DataFrame, items: DataFrame) -> DataFrame:
+    """``chosen`` (with ``rid``) and the ``route`` that each clustroid's positional vector stands for."""
+    rows = labelled.join(chosen.select("rid"), "rid", "left_semi").select("rid", F.explode("vec").alias("slot", "value"))
+    return chosen.join(vectors.decode_positional(rows, cities, items), "rid")
+
+
+def first_clash(matches: DataFrame) -> DataFrame:
+    """``matches`` (``std_no, label, dist``) as a walk in plan order that ends at the first label seen before.
+
+    Adds ``placed`` (the plan comes before that clash), ``stopped_at`` (the plan
+    of the clash; null without one) and ``valid`` (no clash). A label's second plan
+    is the only one of it that can be the first clash, so two plans per label are
+    all that is shuffled.
+    """
+    seconds = top_per(matches, "label", [F.col("std_no")], 2).filter("rank = 2")
+    walk = matches.join(F.broadcast(seconds.agg(F.min("std_no").alias("stopped_at"))))  # one row
+    clear = F.col("stopped_at").isNull()
+    return walk.withColumn("placed", clear | (F.col("std_no") < F.col("stopped_at"))).withColumn("valid", clear)
+
+
 def cosine_distance_sums(vecs: DataFrame, group: str) -> DataFrame:
     """``group, rid, members, sum_d``: summed cosine distance of each vector to its group."""
     sums = group_sums.cosine_sums(vecs, vecs, group, "vec", "q")

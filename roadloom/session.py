@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str | int = "*", app: str = "roadloom", **conf: str) -> SparkSession:
@@ -65,10 +66,14 @@ class Scratch:
         self.count = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
+        return self.read_as(df, df.schema)
+
+    def read_as(self, df: DataFrame, schema: StructType) -> DataFrame:
+        """The same, read with another schema of the same storage form."""
         path = f"{self.folder}/{self.count}"
         self.count += 1
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     def free(self, first: int, last: int) -> None:
         """Remove the tables written as number ``first`` up to, not including, ``last``."""
