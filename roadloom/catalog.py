@@ -28,6 +28,7 @@ JACCARD_MIN, RUZICKA_MIN, COSINE_MIN = 0.1, 0.2, 0.6
 L2_MAX = 0.1  # of the largest load a route could have
 #: pairs are listed up to these fused distances
 FUSED_MAX = {("mean", "jaccard"): 0.8, ("mean", "cosine"): 0.4, ("product", "jaccard"): 0.5, ("weighted product", "jaccard"): 0.7}
+METRIC_MAX = {"worse": 0.85, "better": 0.5}
 REACH = 0.85  # clustering sees fused distances up to here
 DBSCAN_EPS, DBSCAN_MIN = 0.5, 4
 POSITIONAL_EPS, POSITIONAL_LEAST = 0.32, 10
@@ -212,6 +213,32 @@ def _fused_query(fusion: str, metric: str):
     return query
 
 
+#: Both parts must be near: the larger of the two distances counts, so the routes alone bound it.
+WORSE_PART = sj.Metric(
+    lambda s: F.greatest(1 - measures.jaccard(s["inter"], s["na"], s["nb"]), 1 - measures.ruzicka(s["smin"], s["wa"], s["wb"])),
+    least_jaccard=lambda reach: 1 - reach,
+)
+#: One near part is enough: the smaller distance counts, and either join may find the pair.
+BETTER_PART = sj.Metric(
+    lambda s: F.least(1 - measures.jaccard(s["inter"], s["na"], s["nb"]), 1 - measures.ruzicka(s["smin"], s["wa"], s["wb"])),
+    least_jaccard=lambda reach: 1 - reach,
+    least_ruzicka=lambda reach: 1 - reach,
+)
+
+
+def _metric_query(metric: sj.Metric, reach: float):
+    def query(spark, folder):
+        return sj.metric_edges(_driver_forms(spark, folder), metric, reach, DRIVER).select("driver", "a", "b", _r("d", "d"))
+
+    return query
+
+
+def candidate_distances(spark, folder):
+    forms = cut_lineage(sj.collapse(ft.with_features(_actual(spark, folder), DRIVER_K), []))
+    edges = recommend.candidate_edges(forms, SIGNATURE, LSH_THRESHOLD, CANONICAL)
+    return edges.select("a", "b", "share", _r("d", "d"))
+
+
 def driver_edges(spark, folder):
     edges = sj.fused_edges(_driver_forms(spark, folder), REACH, DRIVER)
     return edges.select("driver", "a", "b", _r("d", "d"))
@@ -539,6 +566,11 @@ def dbscan_routes(spark, folder):
     return density.dbscan(forms.select(F.col("form").alias("node"), "weight"), edges, DBSCAN_MIN)
 
 
+def dbscan_cluster_sizes(spark, folder):
+    """Forms per cluster; noise is left out."""
+    return reports.cluster_sizes(dbscan_routes(spark, folder))
+
+
 def medoid_by_sroute(spark, folder):
     signed = cut_lineage(_signed(_actual(spark, folder), False))
     sums = gs.fused_distance_sums(signed, signed, "sroute", "cosine", CANONICAL.alpha)
@@ -668,6 +700,15 @@ def written_plans(spark, folder):
     return again.select("std_no", "sroute", F.size("route").alias("trips"), F.array_join(shape.nodes(), ">").alias("path"))
 
 
+def written_routes(spark, folder):
+    path = _file(spark, "actual")
+    driven = _actual(spark, folder)
+    route_files.write_actual(driven.withColumn("driver", F.col("driver").cast("string")), path)
+    again = route_files.read_actual(spark, path, multiline=False)
+    load = F.aggregate(shape.trip_loads(), F.lit(0).cast("bigint"), lambda acc, e: acc + e["value"])
+    return again.select("rid", "driver", "sroute", F.array_join(shape.nodes(), ">").alias("path"), load.alias("units"))
+
+
 def written_top5(spark, folder):
     path = _file(spark, "driver")
     actual, standard, sims = _sims(spark, folder)
@@ -954,4 +995,9 @@ QUERIES = {
     "merch_weighted_signatures": merch_weighted_signatures,
     "driver_mean_distance_weighted": driver_mean_distance_weighted,
     "running_divergence_by_trips": running_divergence_by_trips,
+    "driver_pairs_worse_part": _metric_query(WORSE_PART, METRIC_MAX["worse"]),
+    "driver_pairs_better_part": _metric_query(BETTER_PART, METRIC_MAX["better"]),
+    "candidate_distances": candidate_distances,
+    "dbscan_cluster_sizes": dbscan_cluster_sizes,
+    "written_routes": written_routes,
 }

@@ -16,6 +16,9 @@ things bound the work of one task:
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -261,3 +264,46 @@ def fused_edges(
     return found.select(
         *group, F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), d.alias("d")
     ).filter(F.col("d") <= reach + EPS)
+
+
+@dataclass(frozen=True)
+class Metric:
+    """A distance of one's own that the joins can prune by.
+
+    ``distance`` builds a column from the sums of :func:`measures.pair_sums`
+    (``inter, na, nb, smin, dot, wa, wb, qa, qb``). ``least_jaccard`` and
+    ``least_ruzicka`` map a reach to similarities of which every pair within that reach
+    has at least one: shingle Jaccard, or weighted Jaccard of the loads. One of them
+    may be missing if the other alone always holds.
+    """
+
+    distance: Callable[[Mapping[str, Column]], Column]
+    least_jaccard: Callable[[float], float] | None = None
+    least_ruzicka: Callable[[float], float] | None = None
+
+
+def metric_edges(forms: DataFrame, metric: Metric, reach: float, group: list[str]) -> DataFrame:
+    """All form pairs of a group with ``metric`` <= reach: ``*group, a, b, d``.
+
+    A metric without a bound, or whose bounds say nothing at this reach (both
+    similarities 0 or less), is refused, since it would need all pairs.
+    """
+    least = metric.least_jaccard(reach) if metric.least_jaccard else None
+    merch = metric.least_ruzicka(reach) if metric.least_ruzicka else None
+    if least is None and merch is None:
+        raise ValueError("a metric needs a bound that the joins can use")
+    if any(bound is not None and bound <= 0 for bound in (least, merch)):
+        raise ValueError("the metric's bound says nothing at this reach")
+    sums = measures.pair_sums("pa", "pb")
+    parts = []
+    if least is not None:
+        parts.append(jaccard_pairs(forms, least, group).select(*group, "pa", "pb"))
+    if merch is not None:
+        loads = ruzicka_pairs(forms, merch, group)
+        if least is not None:  # the pairs that the first join has already
+            loads = loads.filter(measures.jaccard(sums["inter"], sums["na"], sums["nb"]) < least - EPS)
+        parts.append(loads.select(*group, "pa", "pb"))
+    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return found.select(
+        *group, F.col("pa.form").alias("a"), F.col("pb.form").alias("b"), metric.distance(sums).alias("d")
+    ).filter(F.col("d") <= reach + EPS)

@@ -579,6 +579,26 @@ STATEMENTS |= {
 }
 
 
+CTES |= {
+    "gbands": ("sig2 gforms", f"""SELECT rid, i // {SIZE // BANDS} band, string_agg(v::VARCHAR, ',' ORDER BY i) key
+        FROM sig2 WHERE rid IN (SELECT form FROM gforms) GROUP BY rid, i // {SIZE // BANDS}"""),
+    "glsh": ("gbands", f"""SELECT a.rid a, b.rid b, count(*) / {BANDS} share FROM gbands a JOIN gbands b
+        ON a.band = b.band AND a.key = b.key AND a.rid < b.rid GROUP BY a.rid, b.rid HAVING count(*) / {BANDS} >= {LIMIT!r}"""),
+    "dbsizes": ("gcore clabel gboth", STATEMENTS["dbscan_routes"][1]),
+}
+STATEMENTS |= {
+    **{f"driver_pairs_{name}_part": ("allpairs", f"""SELECT {PAIR}, round(d, 10) d FROM (
+        SELECT {PAIR}, {pick}(1 - {JAC}, 1 - {RUZ}) d FROM allpairs) WHERE d <= {catalog.METRIC_MAX[name]} + 1e-9""")
+       for name, pick in (("worse", "greatest"), ("better", "least"))},
+    "candidate_distances": ("glsh gpairs gforms", f"""SELECT a, b, share, round(0.5 * (1 - {JAC}) + 0.5 * (1 - {RUZ}), 10) d FROM (
+        SELECT l.*, coalesce(inter, 0) inter, coalesce(smin, 0) smin, x.n na, y.n nb, x.w wa, y.w wb FROM glsh l
+        JOIN gforms x ON x.form = l.a JOIN gforms y ON y.form = l.b LEFT JOIN gpairs g ON g.a = l.a AND g.b = l.b)"""),
+    "dbscan_cluster_sizes": ("dbsizes", "SELECT label, count(*) size FROM dbsizes WHERE label >= 0 GROUP BY label"),
+    "written_routes": ("routes legs", """SELECT rid, driver::VARCHAR driver, sroute, array_to_string(nodes, '>') path, units
+        FROM routes JOIN (SELECT rid, sum(qty)::BIGINT units FROM legs GROUP BY rid) USING (rid)"""),
+}
+
+
 def _ordered(names: list[str], done: list[str]) -> list[str]:
     for name in names:
         if name not in done:
@@ -603,29 +623,21 @@ def _statement(needs: str, body: str) -> str:
     return f"{keyword} {', '.join(parts)} {body}"
 
 
-def _tuning_statement() -> str:
-    """Counts decide; the tiers are spelled out by the rules in :mod:`tuning`."""
-    size = " ".join(
-        f"WHEN words = {v} THEN {tuning.signature_size(v)}" for v in range(1, 1001)
-    )
-    large = " ".join(
-        f"WHEN words < {bound} THEN {value + value % 2}"
-        for bound, value in tuning.SIZE_BY_LARGE_VOCABULARY[:-1]
-    )
-    pairs = " ".join(
-        f"WHEN n * n < {bound} THEN {value}" for bound, value in tuning.THRESHOLD_BY_PAIRS[:-1]
-    )
-    body = f"""SELECT n routes, k, (CASE {size} {large} ELSE 510 END)::INTEGER signature,
-        (CASE {pairs} ELSE 0.9 END)::DOUBLE threshold, greatest(2, n // s // 3)::INTEGER min_size,
-        greatest(2, n // s)::INTEGER max_size
-        FROM (SELECT n, s, k, CASE WHEN k = 2 THEN w2 ELSE w3 END words FROM (
-            SELECT *, (CASE WHEN shortest < 2 OR w3 * n > {tuning.MAX_DENSE_SHINGLES} THEN 2 ELSE 3 END)::INTEGER k FROM (
-            SELECT count(*) n, min(trips) shortest, (SELECT count(*) FROM stds) s,
-            (SELECT count(DISTINCT shingle) FROM sh2) w2, (SELECT count(DISTINCT shingle) FROM sh3) w3 FROM routes)))"""
-    return _statement("routes stds sh2 sh3", body)
+# Signature lengths and thresholds, spelled out: the number of most divisors near the (divided) vocabulary, then fixed tiers.
+TUNING = """, divisors AS (SELECT m, count(*) c FROM range(1, 300) a(m), range(1, 300) b(x) WHERE m % x = 0 GROUP BY m),
+    counts AS (SELECT n, s, k, CASE WHEN k = 2 THEN w2 ELSE w3 END words FROM (
+        SELECT *, (CASE WHEN shortest < 2 OR w3 * n > 100000000 THEN 2 ELSE 3 END)::INTEGER k FROM (
+        SELECT count(*) n, min(trips) shortest, (SELECT count(*) FROM stds) s,
+        (SELECT count(DISTINCT shingle) FROM sh2) w2, (SELECT count(DISTINCT shingle) FROM sh3) w3 FROM routes))),
+    base AS (SELECT words // CASE WHEN words < 125 THEN 1 WHEN words < 500 THEN 2 ELSE 4 END near FROM counts),
+    divisible AS (SELECT arg_max(m, c * 1000 + m) m FROM divisors, base WHERE m BETWEEN near - 14 AND near + 15)
+    SELECT n routes, k, (CASE WHEN words < 1000 THEN m + m % 2 WHEN words < 10000 THEN 300 WHEN words < 100000 THEN 420 ELSE 510 END)::INTEGER signature,
+        (CASE WHEN n * n <= 100000000 THEN 0 WHEN n * n < 500000000 THEN 0.1 WHEN n * n < 1000000000 THEN 0.2
+              WHEN n * n < 10000000000 THEN 0.4 ELSE 0.9 END)::DOUBLE threshold,
+        greatest(2, n // s // 3)::INTEGER min_size, greatest(2, n // s)::INTEGER max_size FROM counts, divisible"""
 
 
 def statements() -> dict[str, str]:
     out = {name: _statement(needs, body) for name, (needs, body) in STATEMENTS.items()}
-    out["tuning"] = _tuning_statement()
+    out["tuning"] = _statement("routes stds sh2 sh3", TUNING)
     return out

@@ -78,6 +78,12 @@ def write_standard(recommended: DataFrame, path: str) -> None:
     ).write.mode("errorifexists").json(path)
 
 
+def write_actual(actual: DataFrame, path: str) -> None:
+    """``rid, driver, sroute, route`` as records ``{id: "a<n>", driver, sroute, route}``."""
+    named = F.concat(F.lit("a"), F.col("rid").cast("string")).alias("id")
+    actual.select(named, "driver", "sroute", "route").write.mode("errorifexists").json(path)
+
+
 def write_driver_top(top: DataFrame, path: str) -> None:
     """``driver, rank, std_no`` as ``{driver, routes: ["s<n>", ...]}``; at most five per driver."""
     named = F.concat(F.lit("s"), F.col("std_no").cast("string"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadloom import catalog
-from roadloom.operators import diameter, minhash_lsh as lsh, reports, vectors as vx
+from roadloom.operators import diameter, minhash_lsh as lsh, reports, similarity_join as sj, vectors as vx
 from roadloom.plans import recommend
 from roadloom.session import Scratch, cut_lineage
 
@@ -74,6 +74,39 @@ def test_walk_stops_at_the_first_label_seen_before(spark, labels, stopped, place
     assert {r.stopped_at for r in out} == {stopped} and {r.valid for r in out} == {stopped is None}
 
 
+@pytest.mark.parametrize("name, reach", [("WORSE_PART", 0.9), ("BETTER_PART", 0.6)])
+def test_own_metric_finds_every_pair_within_reach(spark, name, reach):
+    """Loads and routes at random, some empty; all pairs of a driver by plain Python."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(90):
+        route = [f"s{j}" for j in rng.choice(8, rng.integers(0, 5), replace=False)]
+        merch = {f"i{j}": int(rng.integers(1, 6)) for j in rng.choice(7, rng.integers(0, 4), replace=False)}
+        rows.append((i, int(i % 3 > 0), 1, route, len(route), merch, sum(merch.values()), sum(v * v for v in merch.values())))
+    forms = spark.createDataFrame(rows, "form long, driver int, weight long, shingles array<string>, n int, merch map<string,bigint>, w long, q long")
+    got = {(r.a, r.b): r.d for r in sj.metric_edges(forms, getattr(catalog, name), reach, ["driver"]).collect()}
+    want = {}
+    for r in rows:
+        for s in rows:
+            if r[0] < s[0] and r[1] == s[1]:
+                union, keys = set(r[3]) | set(s[3]), r[5].keys() | s[5].keys()
+                jac = len(set(r[3]) & set(s[3])) / len(union) if union else 0
+                ruz = sum(min(r[5].get(k, 0), s[5].get(k, 0)) for k in keys) / sum(max(r[5].get(k, 0), s[5].get(k, 0)) for k in keys) if keys else 0
+                d = (max if name == "WORSE_PART" else min)(1 - jac, 1 - ruz)
+                if d <= reach + 1e-9:
+                    want[r[0], s[0]] = d
+    assert got.keys() == want.keys() and len(want) > 20
+    assert all(got[p] == pytest.approx(want[p]) for p in want)
+
+
+def test_metric_without_a_bound_is_refused(spark):
+    forms = spark.createDataFrame([], "form long, shingles array<string>, n int, merch map<string,bigint>, w long, q long")
+    with pytest.raises(ValueError, match="needs a bound"):
+        sj.metric_edges(forms, sj.Metric(lambda s: s["inter"]), 0.5, [])
+    with pytest.raises(ValueError, match="says nothing"):
+        sj.metric_edges(forms, sj.Metric(lambda s: s["inter"], lambda reach: 0.0), 0.5, [])
+
+
 def test_walk_over_no_plans(spark):
     rows = spark.createDataFrame([], "std_no long, label int, dist double")
     assert recommend.first_clash(rows).count() == 0
