@@ -3,16 +3,20 @@ r"""Secrets in texts: named patterns, and strings that a battery of randomness t
 Candidates are runs of 20 or more characters of ``[A-Za-z0-9+/_-]``, with up to
 two ``=`` behind. The encoding is inferred from the characters used (hex, base32,
 base36, base62, base64); a run that fits none, such as a word, a number or
-a path in one case, is not tested, nor is one that overlaps a named pattern.
-
-Three tests ask whether the characters could be uniform noise over the
-inferred alphabet: chi-squared of the counts, Wald-Wolfowitz runs above and
-below the middle, and serial correlation of neighbours. Fisher's method joins
-the p-values. Structured strings are those whose p-value is discovered by
-Benjamini-Hochberg within their band of lengths (powers of two), at rate
-``FALSE_RATE``: of what is set aside as ordinary, at most that share is expected
-to be noise, and short strings are not judged by the power of long ones.
-What is not set aside is reported as kind ``random``.
+a path in one case, is not tested.
+
+Four tests ask whether the characters could be uniform noise over the inferred
+alphabet: chi-squared of the single characters and of their classes (digits,
+capitals, vowels, consonants, signs: with few characters to a letter, classes tell a
+name from noise where letters don't), Wald-Wolfowitz runs of digits, capitals,
+small letters and signs given how many there are of each, and serial correlation
+of neighbours. Fisher's method joins the p-values. Structured strings are those
+whose p-value is discovered by Benjamini-Hochberg within their band of lengths
+(powers of two), at rate ``FALSE_RATE``: of what is set aside as ordinary, at most
+that share is expected to be noise, and short strings are not judged by the power
+of long ones. What is not set aside is reported as kind ``random``. Runs that a
+named pattern claims are judged with the others: their spans stay whatever the
+verdict, which is in ``n_base_noise``.
 """
 
 from __future__ import annotations
@@ -43,6 +47,10 @@ ENCODINGS = [
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9a-zA-Z+/]+$", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64_url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9a-zA-Z_-]+$", _UPPER + _LOWER + _DIGITS + "-_"),
 ]
+_VOWELS = "aeiou"
+#: the class of every character an encoding may hold: digit, capital, vowel, consonant, sign
+_LETTERS = _DIGITS + _UPPER + _LOWER + "+/-_"
+_KINDS = "d" * 10 + "U" * 26 + "".join("v" if c in _VOWELS else "c" for c in _LOWER) + "s" * 4
 ORDER = {"assign": 0, "access": 1, "hex": 2, "random": 3}
 _SPANS = "array<struct<start:int,kind:int,end:int,body:string>>"
 
@@ -98,40 +106,59 @@ def _tested(runs: DataFrame) -> DataFrame:
         .withColumn("n", F.size("codes").cast("double"))
         .withColumn("k", F.length("letters").cast("double"))
         .withColumn("later", F.slice("codes", F.lit(2), F.size("codes")))
-        .withColumn("high", F.transform("codes", lambda c: c * 2 >= F.col("k")))
+        .withColumn("kinds", F.split(F.translate("core", _LETTERS, _KINDS), "", -1))
+        .withColumn("kinds", F.filter("kinds", lambda c: c != ""))
         .withColumn("counts", F.transform(F.array_distinct("codes"), lambda c: F.size(F.filter("codes", lambda x: x == c)).cast("double")))
         .withColumn("mean", total("codes", lambda c: c) / F.col("n"))
     )
     n, k, mean = F.col("n"), F.col("k"), F.col("mean")
     steps = (
         steps.withColumn("squares", total("counts", square))
-        .withColumn("n_high", F.size(F.filter("high", lambda h: h)).cast("double"))
-        .withColumn("next_high", F.slice("high", F.lit(2), F.size("high")))
-        .withColumn("changes", total(F.zip_with("high", "next_high", lambda a, b: F.when(b.isNotNull() & (a != b), 1.0).otherwise(0.0)), lambda x: x))
+        .withColumn("coarse", F.transform("kinds", lambda c: F.when(c == "v", F.lit("c")).otherwise(c)))
+        .withColumn("next_kind", F.slice("coarse", F.lit(2), F.size("coarse")))
+        .withColumn("runs", 1 + total(F.zip_with("coarse", "next_kind", lambda a, b: F.when(b.isNotNull() & (a != b), 1.0).otherwise(0.0)), lambda x: x))
+        .withColumn("sizes", F.transform(F.array_distinct("coarse"), lambda c: F.size(F.filter("coarse", lambda x: x == c)).cast("double")))
+        .withColumn("s2", total("sizes", square))
+        .withColumn("s3", total("sizes", lambda x: x * x * x))
+        .withColumn("shares", F.split(F.translate("letters", _LETTERS, _KINDS), "", -1))
+        .withColumn("cells", F.transform(F.array_distinct(F.filter("shares", lambda c: c != "")), lambda c: F.struct(
+            F.size(F.filter("kinds", lambda x: x == c)).cast("double").alias("seen"),
+            (F.size(F.filter("shares", lambda x: x == c)) * n / k).alias("due"))))
         .withColumn("variance", total("codes", lambda c: square(c - mean)))
         .withColumn("product", total(F.zip_with("codes", "later", lambda a, b: F.coalesce((a - mean) * (b - mean), F.lit(0.0))), lambda x: x))
-        .withColumn("expected", 2 * F.col("n_high") * (n - F.col("n_high")) / n)
-        .withColumn("spread", F.sqrt(F.col("expected") * F.greatest(F.lit(0.0), F.col("expected") - 1) / (n - 1)))
+        .withColumn("expected", 1 + (n * n - F.col("s2")) / n)
+        .withColumn("spread", F.sqrt(F.greatest(
+            F.lit(0.0), (F.col("s2") * (F.col("s2") + n * (n + 1)) - 2 * n * F.col("s3") - n * n * n) / (n * n * (n - 1)))))
+        .withColumn("free", F.size("cells") - F.lit(1.0))
+        .withColumn("class_chi", total("cells", lambda c: square(c["seen"] - c["due"]) / c["due"]))
     )
     chi = (k / n * F.col("squares") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
-    runs_z = F.when(F.col("spread") > 0, F.abs(F.col("changes") - F.col("expected")) / F.col("spread")).otherwise(F.lit(9.0))
+    # Wilson and Hilferty: the cube root of a chi-squared value over its degrees of freedom is nearly normal
+    class_z = (F.pow(F.col("class_chi") / F.col("free"), F.lit(1 / 3)) - (1 - 2 / (9 * F.col("free")))) / F.sqrt(2 / (9 * F.col("free")))
+    runs_z = F.when(F.col("spread") > 0, F.abs(F.col("runs") - F.col("expected")) / F.col("spread")).otherwise(F.lit(9.0))
     serial = F.when(F.col("variance") > 0, F.abs(F.col("product") / F.col("variance") + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
     tail = lambda p: F.log(F.greatest(F.lit(1e-12), F.least(F.lit(1.0), p)))
     logs = F.col("logs")
     return (
-        steps.withColumn("logs", -(tail(_upper_tail(chi)) + tail(2 * _upper_tail(runs_z)) + tail(2 * _upper_tail(serial))))
-        .withColumn("p", F.exp(-logs) * (1 + logs + logs * logs / 2))
+        steps.withColumn("logs", -(tail(_upper_tail(chi)) + tail(_upper_tail(class_z)) + tail(2 * _upper_tail(runs_z)) + tail(2 * _upper_tail(serial))))
+        .withColumn("p", F.exp(-logs) * (1 + logs + logs * logs / 2 + logs * logs * logs / 6))
     )
 
 
 def _candidates(scanned: DataFrame) -> DataFrame:
-    """``rid__, start, end, band, grid``: tested runs with their length band and p-value on the grid."""
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    runs = scanned.select("rid__", F.explode(free).alias("r")).select("rid__", "r.start", "r.end", "r.body")
+    """``rid__, start, end, claimed, band, grid``: tested runs with their length band and p-value on the grid.
+
+    ``claimed`` says that a named pattern has a part of the run.
+    """
+    judged = F.transform("runs", lambda r: F.struct(
+        r["start"].alias("start"), r["end"].alias("end"), r["body"].alias("body"),
+        F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])).alias("claimed")))
+    runs = scanned.select("rid__", F.explode(judged).alias("r")).select("rid__", "r.*")
     return _tested(runs).select(
         "rid__",
         "start",
         "end",
+        "claimed",
         F.floor(F.log2("n")).cast("int").alias("band"),
         F.floor(-F.log10(F.greatest(F.lit(1e-30), "p")) * GRID).cast("int").alias("grid"),
     )
@@ -157,7 +184,7 @@ def _listed(spans: Column) -> Column:
 
 
 def secrets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random`` for every row.
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random, n_tested, n_base_noise`` for every row.
 
     A span is a whole match, in code points, its end exclusive. A null text is
     empty and has no spans (the digest is then that of the empty string); a null
@@ -173,8 +200,11 @@ def secrets(docs: DataFrame) -> DataFrame:
     least = F.lit(1 << 30)
     for band, grid in ordinary.items():  # at most 31
         least = F.when(F.col("band") == band, F.lit(grid)).otherwise(least)
-    noise = candidates.filter(F.col("grid") < least).groupBy("rid__").agg(
-        F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("random")
+    is_noise = F.col("grid") < least
+    noise = candidates.groupBy("rid__").agg(
+        F.collect_list(F.when(is_noise & ~F.col("claimed"), F.struct("start", F.lit(3).alias("kind"), "end"))).alias("random"),
+        F.count("*").alias("n_tested"),
+        F.count(F.when(is_noise & F.col("claimed"), 1)).alias("n_base_noise"),
     )
     spans = lambda a: F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     none = F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)")
@@ -188,6 +218,7 @@ def secrets(docs: DataFrame) -> DataFrame:
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.array_sort(F.concat("base", "random"))).alias("spans"),
         F.size("random").cast("long").alias("n_random"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_tested", "n_base_noise")],
     )
 
 
