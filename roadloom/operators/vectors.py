@@ -175,13 +175,17 @@ def standard_cosine(actual: DataFrame, standard: DataFrame, keep: tuple[str, ...
     )
 
 
-def ml_vectors(vectors: DataFrame, dimension: int, kept: Scratch) -> DataFrame:
+def ml_vectors(vectors: DataFrame, dimension: int, kept: Scratch | None = None) -> DataFrame:
     """``features`` as a sparse ML vector beside the other columns; no dense array is ever built.
 
     The column is written in the storage form of an ML vector (kind, size,
     positions, values) and read back as one, so positions are sorted, and K-means
-    reads a table in its rounds instead of building the vectors again.
+    reads a table in its rounds instead of building the vectors again. The table is
+    one of ``kept``, or else is checkpointed and removed.
     """
+    if kept is None:
+        with Scratch(vectors.sparkSession) as own:
+            return cut_lineage(ml_vectors(vectors, dimension, own))
     entries = F.array_sort(F.filter(F.map_entries("vec"), lambda e: e["value"] != 0))
     stored = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
