@@ -51,3 +51,10 @@ def test_every_oracle_has_a_query():
 def test_no_cross_join_in_plan(spark, name):
     plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@needs_tables
+def test_mean_cosine_lists_every_jaccard_pair(spark):
+    pairs = entry.queries()["driver_pairs_jaccard"](spark, FOLDER).select("driver", "a", "b")
+    fused = entry.queries()["driver_pairs_fused_mean_cosine"](spark, FOLDER).select("driver", "a", "b")
+    assert pairs.count() > 0 and pairs.exceptAll(fused).count() == 0 and fused.exceptAll(pairs).count() == 0
