@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadloom.functions import hashing, measures, tuning
 from roadloom.operators import driver_scores as ds, minhash_lsh, standards as st, vectors
 from roadloom.operators.ordering import best_per
-from roadloom.session import broadcast_if_small, cut_lineage
+from roadloom.session import broadcast_if_small, stored
 from roadloom.settings import Settings
 
 PLANS_IN_MEMORY = 20_000  # planned routes with signatures, a few kilobytes each
@@ -33,8 +33,8 @@ def lsh_similarity(
     ``signature ruzicka`` (minima over maxima of the signature values).
     """
     bands, rows = tuning.bands_and_rows(signature, threshold)
-    left = cut_lineage(minhash_lsh.with_signature(actual, signature))
-    right = cut_lineage(minhash_lsh.with_signature(standard, signature))
+    left = stored(minhash_lsh.with_signature(actual, signature))
+    right = stored(minhash_lsh.with_signature(standard, signature))
     found = minhash_lsh.standard_candidates(left, right, bands, rows)
     columns = ["sig", "shingles", "n", "merch", "w", "q"]
     pairs = found.join(left.select("rid", "driver", "sroute", F.struct(*columns).alias("pa")), "rid").join(
@@ -66,8 +66,8 @@ def positional_similarity(actual: DataFrame, standard: DataFrame) -> DataFrame:
     The driver travels with its route: nothing is joined to the pairs afterwards.
     """
     cities, items = vectors.code_tables(actual, standard)
-    a = vectors.positional_vectors(actual, cities, items, keep=("driver",))
-    s = vectors.positional_vectors(standard, cities, items, "std_no")
+    a = stored(vectors.positional_vectors(actual, cities, items, keep=("driver",)))
+    s = stored(vectors.positional_vectors(standard, cities, items, "std_no"))
     return vectors.standard_cosine(a, s, ("driver",))
 
 
