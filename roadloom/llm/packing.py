@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import slices, with_row_id
+from roadloom.llm.common import slices, with_fixed_id, with_row_id
+from roadloom.operators.ordering import dense_index
 from roadloom.session import cut_lineage
 
 CAPACITY, END_ID, GROUPS, SMALL_PART, BUCKETS = 4096, 1, 16, 3, 1024
+BUCKET_BITS = 20  # of row ids, which count a file's or a partition's rows
 MEMO_WORDS = 600_000
 _MEMO: dict[str, tuple] = {}
 
@@ -169,7 +171,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"rid__ long, doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return with_row_id(docs.select("doc_id", "text")).mapInArrow(cut, schema)
+    return with_row_id(docs.select("doc_id", "text", *[c for c in docs.columns if c == "rid__"])).mapInArrow(cut, schema)
 
 
 # --- the plan ------------------------------------------------------------------------------
@@ -332,17 +334,31 @@ def places(kinds: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 # --- the operator --------------------------------------------------------------------------
 
 
-def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, groups: int = GROUPS, with_ids: bool = False) -> DataFrame:
+def packed(
+    docs: DataFrame,
+    path: str | None = None,
+    capacity: int = CAPACITY,
+    groups: int = GROUPS,
+    with_ids: bool = False,
+    in_order: bool = False,
+) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``) for every piece.
 
     A null or empty text is the end id alone; a null id is kept; repeated rows
     are packed each. Texts longer than the capacity are cut, others never. An
     empty table gives no rows.
+
+    ``in_order`` keeps to the order of the rows (files by path, rows in files): of pieces
+    of one length the earlier ones come into the earlier sequences of a kind, and
+    sequences are numbered by their earliest piece. As many sequences either way.
     """
+    if in_order:
+        docs = with_fixed_id(docs.select("doc_id", "text"))
     pieces = cut_lineage(token_pieces(docs, path, capacity, with_ids))
     hist = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
     at = places(plan(hist, capacity, groups))
-    bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("rid__", "piece"), F.lit(BUCKETS)))
+    bucket = F.shiftright("rid__", BUCKET_BITS) if in_order else F.pmod(F.xxhash64("rid__", "piece"), F.lit(BUCKETS))
+    bucketed = pieces.withColumn("bucket", bucket)
     counts = bucketed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -360,10 +376,17 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, g
             found = [pa.array(at["sequence"][row] + nth - at["lo"][row]), pa.array(at["offset"][row])]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *found], [*kept, "sequence_id", "offset"])
 
-    kept = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    out = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    kept = ["rid__"] * in_order + out
     kinds = dict(pieces.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in kept) + ", sequence_id long, offset long"
-    return numbered.select(*kept, "nth").mapInArrow(look_up, schema)
+    found = numbered.select(*kept, "nth").mapInArrow(look_up, schema)
+    if not in_order:
+        return found
+    found = cut_lineage(found)
+    first = found.groupBy("sequence_id").agg(F.min(F.struct("rid__", "piece")).alias("first"))
+    turns = dense_index(first, "first", "turn").select("sequence_id", "turn")
+    return found.join(turns, "sequence_id").select(*out, F.col("turn").alias("sequence_id"), "offset")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
