@@ -54,3 +54,8 @@ def test_pairs_with_plans_are_dealt_by_their_number(monkeypatch, features):
     monkeypatch.setattr(st, "TASK_PAIRS", 50)
     plans = features.limit(5).select(F.col("rid").alias("std_no"), "shingles", "n", "merch", "w", "q")
     assert st.by_route(features, plans).rdd.getNumPartitions() == 9
+
+
+def test_stored_tables_can_be_read_by_many_tasks(spark):
+    kept = stored(spark.range(0, 50_000, 1, 1))
+    assert len(kept.inputFiles()) == 3 and kept.count() == 50_000
