@@ -12,7 +12,8 @@ A line needs one earlier match only. So each line proposes, per shared token,
 the ``ENOUGH`` earliest lines that pass the filters, and only lines that have
 more of them and whose proposals all fail are matched with everything that
 passes. A crowd of similar lines is therefore linear work. Equal lines are one entry per task before anything
-moves; what moves are packed arrays.
+moves; what moves are packed arrays, byte plane by byte plane, so that the high bytes of small numbers
+cost nothing once compressed.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.llm.common import Words, key_groups, mixed, slices, whole_text, with_fixed_id
-from roadloom.session import cut_lineage
+from roadloom.session import stored
 
 #: the query takes every line that has a word; LEAST_WORDS is what the functions take if not told
 SIMILARITY, LEAST_WORDS, EVERY_LINE, ENOUGH = 0.8, 5, 1, 4
 SHARD_BITS, SKETCH_BITS, CHUNK_BITS = 6, 23, 6
 TOKEN_BITS = 44
+TOKEN_BYTES = (TOKEN_BITS + 7) // 8
+_TOKEN = np.dtype((np.uint8, TOKEN_BYTES))
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _NO_ID = np.iinfo(np.int64).max
 
@@ -80,27 +83,45 @@ class Lines:
         return tokens, np.cumsum(sizes) - sizes, sizes
 
 
+def _whole(short: np.ndarray) -> np.ndarray:
+    """Tokens of ``TOKEN_BYTES`` bytes as 64-bit numbers."""
+    return np.pad(short, ((0, 0), (0, 8 - TOKEN_BYTES))).view(np.uint64).reshape(-1)
+
+
 def _shards(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys) >> np.uint64(64 - SHARD_BITS)).astype(np.int64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """All lowest bytes, then all next ones, and so on, compressed."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T), "zstd", asbytes=True)
+
+
+def _values(packed: bytes, n: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(packed, n * width, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).reshape(-1).view(kind)
+
+
 def _packed(shard: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """A row per shard with the arrays' bytes."""
+    """A row per shard with the arrays' bytes (:func:`_planes`) and their length."""
     order = np.argsort(shard, kind="stable")
     found, first = np.unique(shard[order], return_index=True)
     bounds = np.append(first, len(order))
     if len(found):
-        arrays = [[c[order[lo:hi]].tobytes() for lo, hi in zip(bounds, bounds[1:])] for c in columns]
-        names = [f"c{i}" for i in range(len(columns))]
-        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), *(pa.array(a, pa.binary()) for a in arrays)], ["shard", *names])
+        arrays = [[_planes(c[order[lo:hi]]) for lo, hi in zip(bounds, bounds[1:])] for c in columns]
+        names = ["shard", "n", *(f"c{i}" for i in range(len(columns)))]
+        numbers = [pa.array(found.astype(np.int32)), pa.array(np.diff(bounds).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*numbers, *(pa.array(a, pa.binary()) for a in arrays)], names)
 
 
 def _schema(n: int) -> str:
-    return "shard int, " + ", ".join(f"c{i} binary" for i in range(n))
+    return "shard int, n int, " + ", ".join(f"c{i} binary" for i in range(n))
 
 
 def _unpacked(group: pa.Table, kinds: list) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(group.column(f"c{i}").to_pylist()), k) for i, k in enumerate(kinds)]
+    sizes = group.column("n").to_pylist()
+    return [np.concatenate([_values(b, n, k) for b, n in zip(group.column(f"c{i}").to_pylist(), sizes)]) for i, k in enumerate(kinds)]
 
 
 def _dealt(packed: DataFrame) -> DataFrame:
@@ -133,11 +154,22 @@ def _summed_table(counts: DataFrame, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), "c0": pa.array([cells.tobytes()], pa.binary())})
 
     out = np.zeros((1 << CHUNK_BITS, size), np.uint16)
-    for row in _dealt(counts).mapInArrow(total, _schema(1)).collect():
+    for row in _dealt(counts).mapInArrow(total, "shard int, c0 binary").collect():
         out[row["shard"]] = np.frombuffer(row["c0"], np.uint16)
     return out.reshape(-1)
 
 
+def _marks(table: np.ndarray) -> np.ndarray:
+    """Which cells of a table are not empty, in bits: an eighth of a byte a cell goes to the tasks."""
+    return np.packbits(table > 0)
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the cells that ``keys`` fall into are marked."""
+    at = (keys & np.uint64(8 * len(marks) - 1)).astype(np.int64)
+    return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
 def _prefix(n: np.ndarray) -> np.ndarray:
     return n - np.ceil(n * SIMILARITY - 1e-9).astype(np.int64) + 1
 
@@ -171,7 +203,7 @@ def _entries(docs: DataFrame, sketch, least: int, wanted=None) -> DataFrame:
                 parity = np.bitwise_xor.reduceat(bits, begin) if len(begin) else np.zeros(0, np.uint64)
                 use = (place < _prefix(size)[line]) & ((tokens >> np.uint64(TOKEN_BITS - 16)) > 1)
                 if wanted is not None:
-                    use &= wanted.value[_token_cells(tokens)] > 0
+                    use &= _marked(wanted.value, mixed(tokens))
                 token, line, place = tokens[use], line[use], place[use]
                 at = which[line]
                 columns = [token, lines.key[at], parity[line], lines.doc_id[at], lines.line[at], size[line].astype(np.int32), place.astype(np.int32)]
@@ -210,7 +242,7 @@ def _proposals(entries: list[np.ndarray], open_lines: np.ndarray | None) -> tupl
     later, earlier = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     active, turn, had = np.flatnonzero(nth > 0), 0, np.zeros(len(token), np.int64)
     if open_lines is not None:
-        active = active[open_lines[(key[active] & np.uint64(len(open_lines) - 1)).astype(np.int64)] > 0]
+        active = active[_marked(open_lines, key[active])]
     more = np.zeros(len(token), bool)
     while len(active):
         x = start[active] + turn
@@ -251,32 +283,41 @@ def _token_cells(tokens: np.ndarray) -> np.ndarray:
     return (mixed(tokens) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
-def _prefix_cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for packed in batch.column("tokens").to_pylist():
-        tokens = np.frombuffer(packed, np.uint64)
-        yield _token_cells(tokens[: int(_prefix(np.array([len(tokens)]))[0])])
+def _prefix_tokens(docs: DataFrame, sketch, least: int, open_lines) -> np.ndarray:
+    """Marks of the leading tokens of open lines (and of some more that share their cells)."""
+
+    def add(whole: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for batch in slices(whole):
+            lines = Lines(batch, least)
+            tokens, begin, size = lines.sets(np.flatnonzero(_marked(open_lines.value, lines.key)), sketch.value)
+            place = np.arange(len(tokens)) - np.repeat(begin, size)
+            yield _token_cells(tokens[place < np.repeat(_prefix(size), size)])
+
+    return _marks(_fixed_table(docs, add, SKETCH_BITS))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, sketch, least: int) -> tuple[DataFrame, DataFrame]:
-    """``key``: lines with a verified earlier match among the pairs; and ``key, tokens`` of all their lines."""
-    needed = docs.sparkSession.sparkContext.broadcast(_fixed_table(pairs, _cells_of(["later", "earlier"], SKETCH_BITS), SKETCH_BITS))
+def _verified(docs: DataFrame, pairs: DataFrame, sketch, least: int) -> DataFrame:
+    """``key``: lines with a verified earlier match among the pairs."""
+    needed = docs.sparkSession.sparkContext.broadcast(_marks(_fixed_table(pairs, _cells_of(["later", "earlier"], SKETCH_BITS), SKETCH_BITS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, sent = needed.value, np.zeros(0, np.uint64)
         for whole in batches:
             for batch in slices(whole):
                 lines = Lines(batch, least)
-                which = np.flatnonzero(table[(lines.key & np.uint64(len(table) - 1)).astype(np.int64)])
+                which = np.flatnonzero(_marked(table, lines.key))
                 which = which[np.unique(lines.key[which], return_index=True)[1]]
                 which = np.sort(which[~np.isin(lines.key[which], sent)])
                 sent = np.union1d(sent, lines.key[which])[-1_000_000:]
                 tokens, begin, size = lines.sets(which, sketch.value)
+                short = tokens.view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]  # little-endian: the rest is zero
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines.key[which].view(np.int64)), pa.array([tokens[b : b + n].tobytes() for b, n in zip(begin, size)], pa.binary())],
+                    [pa.array(lines.key[which].view(np.int64)), pa.array([short[b : b + n].tobytes() for b, n in zip(begin, size)], pa.binary())],
                     ["key", "tokens"],
                 )
 
-    sets = cut_lineage(docs.mapInArrow(run, "key long, tokens binary").dropDuplicates(["key"]))
+    # Both joins read the one shuffle of the sets that the removal of repeats makes.
+    sets = docs.mapInArrow(run, "key long, tokens binary").dropDuplicates(["key"])
     both = (
         pairs.join(sets.select(F.col("key").alias("later"), F.col("tokens").alias("a")), "later")
         .join(sets.select(F.col("key").alias("earlier"), F.col("tokens").alias("b")), "earlier")
@@ -287,29 +328,28 @@ def _verified(docs: DataFrame, pairs: DataFrame, sketch, least: int) -> tuple[Da
         for batch in batches:
             near = np.zeros(batch.num_rows, bool)
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
+                a, b = np.frombuffer(a, _TOKEN), np.frombuffer(b, _TOKEN)
+                common = len(np.intersect1d(_whole(a), _whole(b), assume_unique=True))
                 near[i] = common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("later").filter(pa.array(near))], ["key"])
 
-    return both.mapInArrow(check, "key long").distinct(), sets
+    return both.mapInArrow(check, "key long").distinct()
 
 
 def _similar_to_earlier(docs: DataFrame, sketch, least: int) -> DataFrame:
     """``key`` of every line that is similar to an earlier, different one."""
     context = docs.sparkSession.sparkContext
-    first = cut_lineage(_candidates(_entries(docs, sketch, least)))
-    found, sets = _verified(docs, first, sketch, least)
-    found = cut_lineage(found)
-    left = cut_lineage(first.filter("more").select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
+    first = stored(_candidates(_entries(docs, sketch, least)))
+    found = stored(_verified(docs, first, sketch, least))
+    left = stored(first.filter("more").select(F.col("later").alias("key")).distinct().join(found, "key", "left_anti"))
     if left.isEmpty():
         return found
     # the second round moves only entries at the tokens of lines that are still open
-    cells = context.broadcast(_fixed_table(left, _cells_of(["key"], SKETCH_BITS), SKETCH_BITS))
-    wanted = context.broadcast(_fixed_table(sets.join(left, "key", "left_semi").select("tokens"), _prefix_cells, SKETCH_BITS))
+    cells = context.broadcast(_marks(_fixed_table(left, _cells_of(["key"], SKETCH_BITS), SKETCH_BITS)))
+    wanted = context.broadcast(_prefix_tokens(docs, sketch, least, cells))
     rest = _candidates(_entries(docs, sketch, least, wanted), cells).join(left.withColumnRenamed("key", "later"), "later", "left_semi")
-    rest = cut_lineage(rest.join(first, ["later", "earlier"], "left_anti"))
-    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch, least)[0])
+    rest = stored(rest.join(first, ["later", "earlier"], "left_anti"))
+    return found if rest.isEmpty() else found.unionByName(_verified(docs, rest, sketch, least))
 
 
 _WHERE = [np.uint64, np.int64, np.int64, np.int32]
@@ -340,8 +380,8 @@ def removed_lines(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
         none = np.zeros(len(some), np.uint8)
         yield from _packed(-1 - some // size, [(some % size).astype(np.uint32), np.minimum(cells[some], 65_535).astype(np.uint16), none, none])
 
-    parts = cut_lineage(rows.mapInArrow(read, _schema(4)))
-    counts = parts.filter("shard < 0").select((-1 - F.col("shard")).alias("shard"), "c0", "c1")
+    parts = stored(rows.mapInArrow(read, _schema(4)))
+    counts = parts.filter("shard < 0").select((-1 - F.col("shard")).alias("shard"), "n", "c0", "c1")
     sketch = docs.sparkSession.sparkContext.broadcast(_summed_table(counts, SKETCH_BITS))
     similar = _similar_to_earlier(texts, sketch, least)
 
