@@ -59,3 +59,21 @@ def test_pairs_with_plans_are_dealt_by_their_number(monkeypatch, features):
 def test_stored_tables_can_be_read_by_many_tasks(spark):
     kept = stored(spark.range(0, 50_000, 1, 1))
     assert len(kept.inputFiles()) == 3 and kept.count() == 50_000
+
+
+def test_candidates_move_signatures_only(features):
+    found = []
+    for block in (1000, 7):  # no crowd, crowds in blocks
+        ids = lsh.candidate_ids(features, 8, 2, block)
+        plan = ids._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange" in line or "FileScan" in line]
+        assert moved and not any("shingles#" in line or "merch#" in line or "bands#" in line for line in moved)
+        found.append(sorted((r.a, r.b, r.share) for r in ids.collect()))
+    sig = {r.form: r.sig for r in features.collect() if r.sig}
+    want = []
+    for a in sig:
+        for b in sig:
+            share = sum(sig[a][i:i + 2] == sig[b][i:i + 2] for i in range(0, 16, 2)) / 8
+            if a < b and share >= (1 / 8) ** (1 / 2):
+                want.append((a, b, share))
+    assert want and found[0] == found[1] == sorted(want)
