@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from roadloom.functions import measures
 from roadloom.operators.features import token_rows, tokens_of
 from roadloom.operators.ordering import best_per
-from roadloom.session import broadcast_if_small
+from roadloom.session import broadcast_if_small, stored
 from roadloom.settings import Settings
 
 
@@ -103,9 +103,16 @@ def _in_memory(standard: DataFrame) -> _Postings | None:
 def _sums_by_route(actual: DataFrame, standard: DataFrame, postings: _Postings) -> DataFrame:
     """``rid, driver, sroute, na, wa, qa`` and ``plans``, an array of the planned routes that share something, with the sums."""
     keys = ["rid", "driver", "sroute", "n", "w", "q"]
-    dealt = by_route(actual, standard).select(*keys, tokens_of().alias("tokens"))
-    # a route that is there several times has the sums of all its rows
-    whole = dealt.groupBy(*keys).agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    rows = actual.select(*keys, tokens_of().alias("tokens"))
+    # Only a route that is there several times moves: it has the sums of all its rows.
+    several = stored(actual.groupBy("rid").agg(F.count("*").alias("rows")).filter("rows > 1 OR rid IS NULL").select("rid"))
+    whole = rows
+    if not several.isEmpty():
+        several = broadcast_if_small(several)
+        again = F.col("rid").eqNullSafe(F.col("again"))
+        repeated = rows.join(several.withColumnRenamed("rid", "again"), again, "left_semi")
+        summed = repeated.groupBy(*keys).agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+        whole = rows.join(several.withColumnRenamed("rid", "again"), again, "left_anti").unionByName(summed)
     whole = whole.select("rid", "driver", "sroute", F.col("n").alias("na"), F.col("w").alias("wa"), F.col("q").alias("qa"), "tokens")
     plan_fields = [T.StructField(f.name, f.dataType) for f in _plan_rows(standard).schema.fields if f.name in ("std_no", "nb", "wb", "qb")]
     plan = T.StructType([*plan_fields, *(T.StructField(name, T.LongType()) for name in SUMS)])

@@ -77,3 +77,17 @@ def test_candidates_move_signatures_only(features):
             if a < b and share >= (1 / 8) ** (1 / 2):
                 want.append((a, b, share))
     assert want and found[0] == found[1] == sorted(want)
+
+
+def test_routes_stay_in_place_unless_repeated(features):
+    plans = features.limit(5).select(F.col("rid").alias("std_no"), "shingles", "n", "merch", "w", "q")
+    routes = features.withColumn("sroute", F.lit("s"))
+    once = st.standard_pair_sums(routes, plans)
+    assert not [x for x in once._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x and "tokens#" in x]
+    names = ["rid", "std_no", *st.SUMS]
+    single = {tuple(r) for r in once.select(*names).collect()}
+    again = stored(routes.unionByName(routes.filter("rid = 7")))
+    doubled = {tuple(r) for r in st.standard_pair_sums(again, plans).select(*names).collect()}
+    joined = {tuple(r) for r in st._joined_pair_sums(again, plans).select(*names).collect()}
+    assert single and doubled == joined and len(doubled) == len(single)
+    assert {r for r in doubled if r[0] != 7} == {r for r in single if r[0] != 7} and doubled != single
