@@ -18,10 +18,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.session import cut_lineage
+from roadloom.session import cut_lineage, stored
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ROW_BITS = 36
+MASKS_IN_MEMORY = 1_000_000  # of 64 rows each; more are not sent to every task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,9 +66,27 @@ def fold(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
 
 
+def among(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (with fixed ids) whose row id is in ``asked``; texts stay where they are.
+
+    Ids are dense, so those asked for go to every task as a bit per row, in masks of 64 rows.
+    """
+    bit = F.expr("shiftleft(1L, cast(rid__ & 63 AS int))")
+    masks = stored(
+        asked.select(F.shiftrightunsigned("rid__", 6).alias("mask__"), bit.alias("bit"))
+        .filter("bit IS NOT NULL")
+        .groupBy("mask__")
+        .agg(F.bit_or("bit").alias("bits__"))
+    )
+    if masks.count() > MASKS_IN_MEMORY:
+        return docs.join(asked.select("rid__"), "rid__", "left_semi")
+    placed = docs.withColumn("mask__", F.shiftrightunsigned("rid__", 6)).join(F.broadcast(masks), "mask__")
+    return placed.filter(bit.bitwiseAND(F.col("bits__")) != 0).select(*docs.columns)
+
+
 def only_rows(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of ``docs`` (with fixed ids) whose row id is in ``kept``, with the named columns."""
-    return docs.select("rid__", *columns).join(kept.select("rid__"), "rid__", "left_semi").select(*columns)
+    return among(docs.select("rid__", *columns), kept).select(*columns)
 
 
 # --- words of whole Arrow columns, without a Python object per word ---------------------------

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.common import Forest, key_groups, mixed, only_rows, slices, with_fixed_id, with_row_id
+from roadloom.llm.common import Forest, among, key_groups, mixed, only_rows, slices, with_fixed_id, with_row_id
 from roadloom.operators.components import connected_components
 from roadloom.session import cut_lineage
 
@@ -427,7 +427,7 @@ def _pair_rows(a: np.ndarray, b: np.ndarray, cell: list | None) -> Iterator[pa.R
 
 def _verified(docs: DataFrame, likely: DataFrame, words: int, similarity: float) -> DataFrame:
     """``a, b``: the pairs of keys whose sets of shingles have at least the similarity. A key is the id of a row with the set."""
-    asked = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    asked = likely.select(F.explode(F.array("a", "b")).alias("rid__")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -436,7 +436,7 @@ def _verified(docs: DataFrame, likely: DataFrame, words: int, similarity: float)
                 found = [np.unique(shingle_hashes(t or b"", words)).tobytes() for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "shingles"])
 
-    texts = docs.select(F.col("rid__").alias("key"), "text").join(asked, "key", "left_semi")
+    texts = among(docs.select("rid__", "text"), asked).withColumnRenamed("rid__", "key")
     shingles = cut_lineage(texts.mapInArrow(sets, "key long, shingles binary"))
     both = (
         likely.join(shingles.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
