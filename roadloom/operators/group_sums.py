@@ -10,7 +10,12 @@ since the totals of a group combine map-side and are looked up.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +25,8 @@ METRICS = ("jaccard", "cosine", "raw cosine")
 GROUP_ROWS = 20_000  # a group of more rows is not added up in one task
 TASK_ENTRIES = 4_000_000  # entries of whole rows, and so of whole groups, that a task opens
 TOTALS_IN_MEMORY = 1_000_000
+CHUNK_ROWS = 4_096  # rows whose groups are added up at once
+DENSE_CELLS = 1 << 23
 
 
 def _signed(sig: str) -> Column:
@@ -92,41 +99,99 @@ def _add_up(probes: DataFrame, group: str, parts: dict[str, DataFrame]) -> DataF
     return rows.groupBy(group, "rid").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _inside(rows: DataFrame, group: str, parts: dict[str, Column], entries: int) -> DataFrame:
-    """The same for groups that fit a task: whole rows move once, by group, and are opened where they arrive."""
-    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, 1 + entries // TASK_ENTRIES)
-    names = list(parts)
-    placed = rows.repartition(tasks, group).select(group, "rid", *[c.alias(n) for n, c in parts.items()])
-    types = {n: placed.schema[n].dataType.elementType for n in names}
-    columns = {f.name: f.dataType for t in types.values() for f in t.fields}
-    entry = T.StructType([T.StructField("part", T.IntegerType()), *[T.StructField(c, t) for c, t in columns.items()]])
-
-    def opened(name: str, number: int) -> Column:
-        own = types[name].fieldNames()
-        values = F.transform(
-            name,
-            lambda e: F.struct(
-                F.lit(number).alias("part"),
-                *[(e[c] if c in own else F.lit(None).cast(columns[c])).alias(c) for c in columns],
-            ),
-        )
-        return F.coalesce(values, F.array().cast(T.ArrayType(entry)))
-
-    long = placed.select(group, "rid", F.inline_outer(F.concat(*[opened(n, k) for k, n in enumerate(names)])))
-    keys = [c for c in columns if c not in ("given", "own")]
-    total = F.sum("given").over(Window.partitionBy(group, "part", *keys))
-    found = long.withColumn("total", total).groupBy(group, "rid")
-    return found.agg(
-        *[F.coalesce(F.sum(F.when(F.col("part") == k, F.col("own") * F.col("total"))), F.lit(0.0)).alias(n) for k, n in enumerate(names)]
+class _Entries:
+    """Of some rows the entries of one part: row, cell (what is added up together), given and own."""
+
+    def __init__(self, column: pa.ChunkedArray, group: np.ndarray, signature: bool) -> None:
+        lists = column.combine_chunks()
+        self.count = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.first = np.cumsum(self.count) - self.count
+        self.row = np.repeat(np.arange(len(self.count)), self.count)
+        flat = lists.flatten()
+        if signature:  # position and value
+            at, width = np.arange(len(self.row)) - np.repeat(self.first, self.count), int(self.count.max(initial=1))
+            cell = ((group[self.row] * width + at) << 31) + flat.to_numpy(zero_copy_only=False)
+            self.cell = np.unique(cell, return_inverse=True)[1]
+            self.given, self.own = np.ones(len(cell)), np.repeat(1 / np.maximum(self.count, 1), self.count)
+            return
+        key, given, own = flat.flatten()
+        self.key = key.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.keys = int(self.key.max(initial=0)) + 1
+        self.cell = group[self.row] * self.keys + self.key
+        self.given, self.own = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (given, own))
+
+
+def _weighed(cell: np.ndarray, given: np.ndarray, own: np.ndarray, row: np.ndarray, rows: int, dense: int) -> np.ndarray:
+    """Per row the sum, over its entries, of own share times the total given in the entry's cell."""
+    if int(cell.max(initial=0)) >= dense:
+        cell = np.unique(cell, return_inverse=True)[1]
+    return np.bincount(row, own * np.bincount(cell, given)[cell], rows) if len(cell) else np.zeros(rows)
+
+
+def _sums_of(table: pa.Table, group: str, names: list[str], signatures: set[str], crossed: str | None, dense: int) -> pa.Table:
+    """``group, rid, members, *names`` and ``crossed`` of whole groups."""
+    code = table.column(group).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = [_Entries(table.column(n), code, n in signatures) for n in names]
+    found = {n: _weighed(p.cell, p.given, p.own, p.row, len(code), dense) for n, p in zip(names, parts)}
+    if crossed:
+        # Every position of a row's signature with every entry of its vector.
+        one, two = parts
+        times = two.count[one.row]
+        row = np.repeat(one.row, times)
+        other = np.arange(len(row)) + np.repeat(two.first[one.row] - (np.cumsum(times) - times), times)
+        own = two.own[other] * np.repeat(one.own, times)
+        found[crossed] = _weighed(np.repeat(one.cell, times) * two.keys + two.key[other], two.given[other], own, row, len(code), dense)
+    sums = pa.table(
+        [table.column(group), table.column("rid"), pa.array(np.bincount(code)[code]), *(pa.array(x) for x in found.values())],
+        [group, "rid", "members", *found],
     )
+    added = sums.group_by([group, "rid", "members"]).aggregate([(n, "sum") for n in found])  # rows of one id are one probe
+    return added.select([group, "rid", "members", *(f"{n}_sum" for n in found)]).rename_columns(sums.column_names)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: str, most: int) -> Iterator[pa.Table]:
+    """Tables of whole groups, of about ``most`` rows or one group, from batches sorted by group."""
+    held = None
+    for batch in batches:
+        one = pa.Table.from_batches([batch])
+        held = one if held is None else pa.concat_tables([held, one])
+        if held.num_rows < most:
+            continue
+        code = held.column(group).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        starts, lo = np.flatnonzero(np.diff(code, prepend=-1)), 0
+        for upto in starts[1:].tolist():  # the last group may go on
+            if upto - lo >= most or upto == starts[-1]:
+                yield held.slice(lo, upto - lo)
+                lo = upto
+        held = held.slice(lo)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _inside(rows: DataFrame, group: str, parts: dict[str, Column], signatures: dict[str, str], entries: int) -> DataFrame:
+    """``group, rid, members, *parts`` for groups that fit a task: whole rows move once, by group, and are added up where they arrive."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, 1 + entries // TASK_ENTRIES)
+    crossed = "both_sim" if "both_sim" in parts else None
+    names = [n for n in parts if n != crossed]
+    opened = [(F.col(signatures[n]) if n in signatures else parts[n]).alias(n) for n in names]
+    placed = rows.repartition(tasks, group).sortWithinPartitions(group).select(group, "rid", *opened)
+
+    most, dense = CHUNK_ROWS, DENSE_CELLS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, group, most):
+            yield from _sums_of(table, group, names, set(signatures), crossed, dense).combine_chunks().to_batches()
+
+    fields = [*(placed.schema[c] for c in (group, "rid")), T.StructField("members", T.LongType())]
+    return placed.mapInArrow(run, T.StructType([*fields, *(T.StructField(n, T.DoubleType()) for n in parts)]))
 
 
-def _group_totals(rows: DataFrame, group: str, parts: dict[str, Column], width: Column) -> DataFrame:
+def _group_totals(rows: DataFrame, group: str, parts: dict[str, Column], width: Column, signatures: dict[str, str] | None = None) -> DataFrame:
     """``group, rid, members, *parts``: per row and part the sum, over its entries, of own share times its group's total.
 
     A group of up to ``GROUP_ROWS`` rows is added up in one task; larger ones, of which
-    there are few, by totals that all tasks look up. ``width`` counts a row's entries. A
-    group that is null is left out.
+    there are few, by totals that all tasks look up. ``width`` counts a row's entries, ``signatures``
+    names the columns of parts that are signatures. A group that is null is left out.
     """
     names = list(parts)
     known = rows.filter(F.col(group).isNotNull())
@@ -139,13 +204,13 @@ def _group_totals(rows: DataFrame, group: str, parts: dict[str, Column], width:
     found = []
     if counted["small"] or not counted["large"]:
         small = known.join(keys, group, "left_anti") if counted["large"] else known
-        found.append(_inside(small, group, parts, counted["entries"] or 0))
+        found.append(_inside(small, group, parts, signatures or {}, counted["entries"] or 0))
     if counted["large"]:
         big = known.join(keys, group, "left_semi") if counted["small"] else known
         big = big.select(group, "rid", *[c.alias(n) for n, c in parts.items()])
-        found.append(_add_up(big, group, {n: _looked_up(big, big, group, n) for n in names}))
-    sums = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    return sums.join(sizes.drop("entries"), group).select(group, "rid", "members", *names)
+        sums = _add_up(big, group, {n: _looked_up(big, big, group, n) for n in names})
+        found.append(sums.join(sizes.drop("entries"), group).select(group, "rid", "members", *names))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def cosine_sums(
@@ -192,7 +257,8 @@ def fused_distance_sums(
         parts["both_sim"] = _crossed("sig", "merch", "q")
     if members is probes:
         route, load = F.size("sig"), F.size("msig" if metric == "jaccard" else "merch")
-        sums = _group_totals(members, group, parts, route + load + (route * load if fusion == "product" else F.lit(0)))
+        signatures = {"route_sim": "sig"} | ({"merch_sim": "msig"} if metric == "jaccard" else {})
+        sums = _group_totals(members, group, parts, route + load + (route * load if fusion == "product" else F.lit(0)), signatures)
     else:
         given = members.select(group, *[c.alias(name) for name, c in parts.items()])
         asked = probes.select(group, "rid", *[c.alias(name) for name, c in parts.items()])
