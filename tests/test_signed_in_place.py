@@ -57,3 +57,14 @@ def test_lines_wait_for_no_shuffle_with_suppliers(spark, tmp_path):
         assert [tuple(r) for r in routes.select("rid", "driver", "sroute", F.transform("route", lambda t: F.concat(t["from"], t["to"]))).collect()] == [(9, 5, "B", ["AB", "BB"])]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dominant_plans_are_made_once(spark):
+    from roadloom.plans import ideal
+
+    rows = [(i, f"d{i % 2}", f"s{i % 3}", {f"p:{i % 4}": 1.0, "i:m": 0.5}, 1.25) for i in range(12)]
+    vecs = stored(spark.createDataFrame(rows, "rid bigint, driver string, sroute string, vec map<string,double>, q double"))
+    best = ideal.ideal_by_pairs(vecs)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Generate explode(vec" in line]
+    assert sorted(r.driver for r in best.collect()) == ["d0", "d1"]
